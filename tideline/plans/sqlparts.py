@@ -38,3 +38,35 @@ RECORD_JSON = (
 CAPTURE_TEXT = f"CASE WHEN tomb THEN NULL WHEN i % 29 = 0 THEN '{{bad' ELSE {RECORD_JSON} END"
 
 TS_TEXT = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
+
+# Producer-topic shapes by kind (see fixtures.producer_value_text).
+TEST_JSON = ("'{\"id\":' || i || ',\"name\":\"Customer ' || user_id || '\",\"email\":\"user' || user_id"
+             " || '@example.com\",\"timestamp\":\"' || strftime(ts, '%Y-%m-%dT%H:%M:%S')"
+             " || '\",\"action\":\"test_message\"}'")
+PRODUCER_SHAPES = [
+    TEST_JSON, "'{}'", "'[]'", "'0'", "'\"\"'", "'false'", "'[1]'",
+    "'\"' || event_type || '\"'", "'true'",
+    "'{\"event_type\":\"' || event_type || '\",\"value\":' || CAST(value AS VARCHAR) || '}'",
+    "'{\"op\":null,\"id\":' || i || '}'", "'{bad'", "'0.0'", "'\"0\"'", "'{\"x\":{\"op\":1}}'",
+    "'[null]'", "'null'", "' {\"created_at\": ' || created_us || '} '",
+]
+PRODUCER_REASONS = [
+    "Valid JSON message", "Empty message", "Empty message", "Empty message", "Empty message",
+    "Empty message", "Message is not a JSON object", "Message is not a JSON object",
+    "Message is not a JSON object", "Valid JSON message (no timestamp field)", "Valid JSON message",
+    "JSON validation error", "Empty message", "Message is not a JSON object",
+    "Valid JSON message (no timestamp field)", "Message is not a JSON object", "Empty message",
+    "Valid JSON message",
+]
+
+
+def _case(items) -> str:
+    return "CASE kind " + " ".join(f"WHEN {n} THEN {v}" for n, v in enumerate(items)) + " END"
+
+
+PRODUCER_TEXT = _case(PRODUCER_SHAPES)
+MIXED_TEXT = f"CASE WHEN tomb THEN NULL WHEN i % 2 = 0 THEN {CAPTURE_TEXT} ELSE {PRODUCER_TEXT} END"
+MIXED_REASON = ("CASE WHEN tomb THEN 'Empty message' WHEN i % 2 = 0 THEN CASE WHEN i % 29 = 0 "
+                "THEN 'JSON validation error' ELSE 'Valid JSON message' END ELSE "
+                + _case([f"'{r}'" for r in PRODUCER_REASONS]) + " END")
+VALID_OF = "({0} IN ('Valid JSON message', 'Valid JSON message (no timestamp field)'))"
