@@ -131,3 +131,42 @@ def mixed_wire(events: DataFrame) -> DataFrame:
     topic = F.when(i % 2 == 0, F.lit(CAPTURE_TOPIC)).otherwise(F.lit(PRODUCER_TOPIC))
     value = F.when(i % 2 == 0, capture_value_text()).otherwise(producer_value_text())
     return _wire(events, topic, value, _div(i, 6))
+
+
+# Change envelopes as the capture connector emits them (before unwrapping),
+# on one raw topic with the capture wire's partition/offset rules.
+#   op by i % 10: 0 -> d, 1 -> r, 2..4 -> u, else c
+#   source.schema: 'staging' when i % 7 = 0 else 'public'
+#   source.table by i % 4: business_ncr_ride_bookings, business_<event_type>,
+#                          <event_type>_log, xbusiness_<event_type>
+#   before = row for d; after = row otherwise; ts_ms = ms(ts) + 500
+ENVELOPE_TOPIC = "business_postgres.raw_changes"
+
+
+def envelope_op() -> Column:
+    k = _i() % 10
+    return (F.when(k == 0, F.lit("d")).when(k == 1, F.lit("r"))
+            .when(k <= 4, F.lit("u")).otherwise(F.lit("c")))
+
+
+def envelope_wire(events: DataFrame) -> DataFrame:
+    i = _i()
+    rec = record_struct()
+    row = F.struct(*[rec.getField(n).alias(n) for n in
+                     ("id", BOOKING_FIELD, RIDE_FIELD, "created_at", "updated_at")])
+    ms = _div(ts_to_micros(F.col("ts")), 1000)
+    t = F.col("event_type")
+    table = (F.when(i % 4 == 0, F.lit("business_ncr_ride_bookings"))
+             .when(i % 4 == 1, F.concat(F.lit("business_"), t))
+             .when(i % 4 == 2, F.concat(t, F.lit("_log")))
+             .otherwise(F.concat(F.lit("xbusiness_"), t)))
+    op = envelope_op()
+    env = F.struct(
+        F.when(op == "d", row).alias("before"),
+        F.when(op != "d", row).alias("after"),
+        F.struct(F.lit("business_db").alias("db"),
+                 F.when(i % 7 == 0, F.lit("staging")).otherwise(F.lit("public")).alias("schema"),
+                 table.alias("table"), ms.alias("ts_ms")).alias("source"),
+        op.alias("op"),
+        (ms + 500).alias("ts_ms"))
+    return _wire(events, F.lit(ENVELOPE_TOPIC), F.to_json(env), _div(i, 3))

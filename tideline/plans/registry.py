@@ -45,4 +45,4 @@ def oracles() -> dict[str, str]:
 
 
 def _load_all() -> None:
-    from . import changes, messages, streams  # noqa: F401  (registers on import)
+    from . import capture, changes, messages, streams  # noqa: F401  (registers on import)

@@ -70,3 +70,17 @@ MIXED_REASON = ("CASE WHEN tomb THEN 'Empty message' WHEN i % 2 = 0 THEN CASE WH
                 "THEN 'JSON validation error' ELSE 'Valid JSON message' END ELSE "
                 + _case([f"'{r}'" for r in PRODUCER_REASONS]) + " END")
 VALID_OF = "({0} IN ('Valid JSON message', 'Valid JSON message (no timestamp field)'))"
+
+# Envelope rules (see fixtures.envelope_wire).
+ENV_CTE = """
+env AS (
+  SELECT *, CASE WHEN i % 10 = 0 THEN 'd' WHEN i % 10 = 1 THEN 'r' WHEN i % 10 <= 4 THEN 'u' ELSE 'c' END AS env_op,
+         CASE WHEN i % 7 = 0 THEN 'staging' ELSE 'public' END AS env_schema,
+         CASE i % 4 WHEN 0 THEN 'business_ncr_ride_bookings' WHEN 1 THEN 'business_' || event_type
+                    WHEN 2 THEN event_type || '_log' ELSE 'xbusiness_' || event_type END AS env_table,
+         epoch_us(ts) // 1000 AS env_ms
+  FROM ev
+),
+cap AS (
+  SELECT * FROM env WHERE regexp_full_match(env_schema || '.' || env_table, 'public.business_.*')
+)"""
