@@ -170,3 +170,67 @@ def envelope_wire(events: DataFrame) -> DataFrame:
         op.alias("op"),
         (ms + 500).alias("ts_ms"))
     return _wire(events, F.lit(ENVELOPE_TOPIC), F.to_json(env), _div(i, 3))
+
+
+# --- CSV datasets derived from the TPC-H-style tables --------------------------
+# All columns are text, headers carry spaces, hyphens and parentheses, and
+# missing values are injected by key:
+#   customer: name NULL when key % 11 = 0; balance 'NA' when % 13 = 0;
+#             segment NULL when % 17 = 0; Active NULL when % 19 = 0,
+#             else 'True' when balance > 0 else 'False'
+#   orders:   value 'NULL' when key % 53 = 0; priority NULL when % 41 = 0
+#   part:     Promo 'True' when the type starts with PROMO else 'False'
+def _txt(c: str) -> Column:
+    return F.col(c).cast("string")
+
+
+def customer_view(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    return customer.select(
+        _txt("c_custkey").alias("Customer Key"),
+        F.when(k % 11 != 0, F.col("c_name")).alias("Customer-Name"),
+        _txt("c_nationkey").alias("Nation Key"),
+        F.when(k % 13 == 0, F.lit("NA")).otherwise(_txt("c_acctbal")).alias("Account Balance (USD)"),
+        F.when(k % 17 != 0, F.col("c_mktsegment")).alias("Market Segment"),
+        F.when(k % 19 == 0, F.lit(None).cast("string")).when(F.col("c_acctbal") > 0, F.lit("True"))
+        .otherwise(F.lit("False")).alias("Active"),
+    )
+
+
+def orders_view(orders: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    return orders.select(
+        _txt("o_orderkey").alias("Booking ID"),
+        _txt("o_custkey").alias("Customer ID"),
+        F.col("o_orderstatus").alias("Booking Status"),
+        F.when(k % 53 == 0, F.lit("NULL")).otherwise(_txt("o_totalprice")).alias("Booking Value"),
+        F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("Date"),
+        F.when(k % 41 != 0, F.col("o_orderpriority")).alias("Priority (Level)"),
+    )
+
+
+def part_view(part: DataFrame) -> DataFrame:
+    return part.select(
+        _txt("p_partkey").alias("Part Key"), F.col("p_name").alias("Name"),
+        F.col("p_brand").alias("Brand"), F.col("p_type").alias("Type"),
+        _txt("p_size").alias("Size"), _txt("p_retailprice").alias("Retail Price"),
+        F.when(F.col("p_type").startswith("PROMO"), F.lit("True")).otherwise(F.lit("False"))
+        .alias("Promo"),
+    )
+
+
+def text_view(df: DataFrame) -> DataFrame:
+    return df.select(*[_txt(c).alias(c) for c in df.columns])
+
+
+# dataset name -> (source table, view builder); the first two match the
+# downloaded-file pattern, the others are loaded as local files.
+CSV_DATASETS = {
+    "ncr_ride_bookings": ("orders", orders_view),
+    "ncr_ride_bookings_customers": ("customer", customer_view),
+    "parts": ("part", part_view),
+    "regions": ("region", text_view),
+    "nations": ("nation", text_view),
+    "suppliers": ("supplier", text_view),
+}
+LOCAL_FILES = ("parts.csv", "regions.csv", "nations.csv", "suppliers.csv", "missing.csv")

@@ -45,4 +45,4 @@ def oracles() -> dict[str, str]:
 
 
 def _load_all() -> None:
-    from . import capture, changes, messages, offsets, streams  # noqa: F401  (registers on import)
+    from . import capture, changes, messages, offsets, streams, tables  # noqa: F401  (registers on import)

@@ -84,3 +84,46 @@ env AS (
 cap AS (
   SELECT * FROM env WHERE regexp_full_match(env_schema || '.' || env_table, 'public.business_.*')
 )"""
+
+# CSV views (see fixtures.customer_view / orders_view / part_view).
+CUST_V = """
+cust_v AS (
+  SELECT c_custkey AS k,
+         CAST(c_custkey AS VARCHAR) AS "Customer Key",
+         CASE WHEN c_custkey % 11 <> 0 THEN c_name END AS "Customer-Name",
+         CAST(c_nationkey AS VARCHAR) AS "Nation Key",
+         CASE WHEN c_custkey % 13 = 0 THEN 'NA' ELSE CAST(c_acctbal AS VARCHAR) END AS "Account Balance (USD)",
+         CASE WHEN c_custkey % 17 <> 0 THEN c_mktsegment END AS "Market Segment",
+         CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_acctbal > 0 THEN 'True' ELSE 'False' END AS "Active"
+  FROM customer
+)"""
+ORD_V = """
+ord_v AS (
+  SELECT o_orderkey AS k,
+         CAST(o_orderkey AS VARCHAR) AS "Booking ID",
+         CAST(o_custkey AS VARCHAR) AS "Customer ID",
+         o_orderstatus AS "Booking Status",
+         CASE WHEN o_orderkey % 53 = 0 THEN 'NULL' ELSE CAST(o_totalprice AS VARCHAR) END AS "Booking Value",
+         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "Date",
+         CASE WHEN o_orderkey % 41 <> 0 THEN o_orderpriority END AS "Priority (Level)"
+  FROM orders
+)"""
+PART_V = """
+part_v AS (
+  SELECT p_partkey AS k,
+         CAST(p_partkey AS VARCHAR) AS "Part Key", p_name AS "Name", p_brand AS "Brand", p_type AS "Type",
+         CAST(p_size AS VARCHAR) AS "Size", CAST(p_retailprice AS VARCHAR) AS "Retail Price",
+         CASE WHEN p_type LIKE 'PROMO%' THEN 'True' ELSE 'False' END AS "Promo"
+  FROM part
+)"""
+CSV_VIEWS = f"{CUST_V}, {ORD_V}, {PART_V}"
+
+# Typed customer table as the loader stores it.
+CUST_TYPED = """
+  CAST("Customer Key" AS INTEGER) AS "Customer_Key",
+  COALESCE("Customer-Name", 'NULL') AS "Customer_Name",
+  CAST("Nation Key" AS INTEGER) AS "Nation_Key",
+  CAST(CASE WHEN "Account Balance (USD)" <> 'NA' THEN "Account Balance (USD)" END AS DECIMAL(15,4)) AS "Account_Balance_USD",
+  COALESCE("Market Segment", 'NULL') AS "Market_Segment",
+  COALESCE("Active", 'NULL') AS "Active"
+"""
