@@ -1,59 +1,67 @@
-"""Message validation as Column expressions.
+"""Message validation.
 
 A message is judged the way a Python consumer judges ``json.loads(value)``:
 falsy values (null, empty text, ``{}``, ``[]``, ``0``, ``""``, ``false``) are
 empty; anything but an object is rejected; objects are valid, and say whether
 one of the timestamp keys is present (presence counts, a null value too).
 Unparseable text gets the error reason and the stream goes on.
+
+Cost: one full parse (validity) per message, one key scan per object and an
+element count per array, each in its own projection so Catalyst never
+evaluates them twice; the root kind comes from the first significant
+character.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (REASON_EMPTY, REASON_ERROR, REASON_NOT_OBJECT,
-                         REASON_VALID, REASON_VALID_NO_TS, TIMESTAMP_KEYS)
+from ..constants import (REASON_EMPTY, REASON_ERROR, REASON_NOT_OBJECT, REASON_VALID,
+                         REASON_VALID_NO_TS, TIMESTAMP_KEYS)
+
+JSON_WS = " \t\n\r"
+ZERO_RE = r"^-?0(\.0+)?([eE][+-]?[0-9]+)?$"
 
 
-def _strip(text: Column) -> Column:
-    """Drop JSON whitespace (space, tab, LF, CR) at both ends."""
-    return F.regexp_replace(text, r"^[ \t\n\r]+|[ \t\n\r]+$", "")
+def _trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(JSON_WS))
 
 
 def json_kind(text: Column) -> Column:
-    """Root kind of JSON text from its first significant character:
-    object, array, string, boolean, null, number; NULL for NULL/blank."""
-    first = F.substring(_strip(text), 1, 1)
+    """Root kind from the first significant character: object, array,
+    string, boolean, null, number; NULL for NULL/blank text."""
+    first = F.substring(_trimmed(text), 1, 1)
     return (F.when(first == "{", "object").when(first == "[", "array")
             .when(first == '"', "string").when(first.isin("t", "f"), "boolean")
             .when(first == "n", "null").when(first.rlike(r"^[-0-9]$"), "number"))
 
 
-def validation_reason(text: Column) -> Column:
-    """(valid, reason) struct for one message's text."""
-    body = _strip(text)
-    parsed = F.try_parse_json(text)
-    kind = json_kind(text)
-    keys = F.json_object_keys(text)
+def add_validation(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``reason`` (and nothing else) for the JSON text column ``text``."""
+    t = F.col(text)
+    staged = (df.withColumn("_kind", json_kind(t))
+              .withColumn("_ok", F.try_parse_json(t).isNotNull())
+              .withColumn("_keys", F.when((F.col("_kind") == "object") & F.col("_ok"),
+                                          F.json_object_keys(t))))
+    kind, keys = F.col("_kind"), F.col("_keys")
     has_ts = F.exists(keys, lambda k: k.isin(list(TIMESTAMP_KEYS)))
-    falsy = (
-        ((kind == "object") & (F.size(keys) == 0))
-        | ((kind == "array") & (F.json_array_length(text) == 0))
-        | ((kind == "string") & (body == '""'))
-        | ((kind == "boolean") & (body == "false"))
-        | (kind == "null")
-        | ((kind == "number") & (F.try_variant_get(parsed, "$", "double") == 0.0))
-    )
     reason = (
-        F.when(text.isNull() | (text == ""), F.lit(REASON_EMPTY))
-        .when(parsed.isNull(), F.lit(REASON_ERROR))
-        .when(falsy, F.lit(REASON_EMPTY))
-        .when(kind != "object", F.lit(REASON_NOT_OBJECT))
-        .when(has_ts, F.lit(REASON_VALID))
-        .otherwise(F.lit(REASON_VALID_NO_TS))
+        F.when(t.isNull() | (t == ""), F.lit(REASON_EMPTY))
+        .when(~F.col("_ok"), F.lit(REASON_ERROR))
+        .when(kind == "object", F.when(F.size(keys) == 0, F.lit(REASON_EMPTY))
+              .when(has_ts, F.lit(REASON_VALID)).otherwise(F.lit(REASON_VALID_NO_TS)))
+        .when(kind == "array", F.when(F.json_array_length(t) == 0, F.lit(REASON_EMPTY))
+              .otherwise(F.lit(REASON_NOT_OBJECT)))
+        .when(kind == "string", F.when(_trimmed(t) == '""', F.lit(REASON_EMPTY))
+              .otherwise(F.lit(REASON_NOT_OBJECT)))
+        .when(kind == "null", F.lit(REASON_EMPTY))
+        .when(kind == "boolean", F.when(_trimmed(t) == "false", F.lit(REASON_EMPTY))
+              .otherwise(F.lit(REASON_NOT_OBJECT)))
+        .otherwise(F.when(_trimmed(t).rlike(ZERO_RE), F.lit(REASON_EMPTY))
+                   .otherwise(F.lit(REASON_NOT_OBJECT)))
     )
-    return reason
+    return staged.withColumn("reason", reason).drop("_kind", "_ok", "_keys")
 
 
 def is_valid_reason(reason: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Message validation (row level) and its counts."""
+"""Message validation (row level), its counts, previews and value matches."""
 
 from __future__ import annotations
 
@@ -6,17 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PREVIEW_CHARS, TEST_ACTION
-from ..functions.jsonkinds import is_valid_reason, validation_reason
+from ..functions.jsonkinds import add_validation, is_valid_reason
 from .flatten import decode_value
 
+KEYS = ("topic", "partition", "offset")
 
-def validate_messages(wire: DataFrame, keep=("topic", "partition", "offset")) -> DataFrame:
+
+def _validated(wire: DataFrame, keep) -> DataFrame:
+    return add_validation(wire.select(*keep, decode_value("value").alias("_text")), "_text")
+
+
+def validate_messages(wire: DataFrame, keep=KEYS) -> DataFrame:
     """One row per message: ``valid`` and ``reason``.  Malformed JSON is a
     row with the error reason; the stream goes on."""
-    text = decode_value("value")
-    reason = validation_reason(text)
-    return (wire.select(*keep, reason.alias("reason"))
-            .select(*keep, is_valid_reason(F.col("reason")).alias("valid"), "reason"))
+    return _validated(wire, keep).select(*keep, is_valid_reason(F.col("reason")).alias("valid"),
+                                         "reason")
 
 
 def validation_summary(validated: DataFrame) -> DataFrame:
@@ -28,19 +32,19 @@ def validation_summary(validated: DataFrame) -> DataFrame:
 
 def preview(text: Column, limit: int = PREVIEW_CHARS) -> Column:
     """First ``limit`` characters and ``...`` when longer."""
-    return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("...")))\
-        .otherwise(text)
+    return (F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("...")))
+            .otherwise(text))
 
 
-def message_previews(wire: DataFrame, keep=("topic", "partition", "offset")) -> DataFrame:
+def message_previews(wire: DataFrame, keep=KEYS) -> DataFrame:
     """Preview of each valid message's text (NULL for invalid ones)."""
-    text = decode_value("value")
-    return wire.select(*keep, F.when(is_valid_reason(validation_reason(text)), preview(text))
-                       .alias("preview"))
+    v = _validated(wire, keep)
+    return v.select(*keep, F.when(is_valid_reason(F.col("reason")), preview(F.col("_text")))
+                    .alias("preview"))
 
 
 def match_messages(wire: DataFrame, path: str = "$.action", expected: str = TEST_ACTION,
-                   keep=("topic", "partition", "offset")) -> DataFrame:
+                   keep=KEYS) -> DataFrame:
     """Messages whose JSON field at ``path`` equals ``expected``."""
     text = decode_value("value")
     return (wire.where(F.get_json_object(text, path) == expected)

@@ -29,8 +29,22 @@ from ..functions.timefmt import ts_to_micros
 UPDATE_SHIFT_US = 90_000_000
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A given table; a scan with fewer splits than cores is spread first."""
+    from ..sources.topic import spread_small_scan
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(df) if spread else df
+
+
+def load_ordered(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A given table whose row order matters downstream (CSV files that are
+    numbered in input order): a small scan is spread by key range and sorted
+    within each range, so file order stays key order."""
+    df = load(spark, sf_dir, name, spread=False)
+    n = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        df = df.repartitionByRange(n, key).sortWithinPartitions(key)
+    return df
 
 
 def _i() -> Column:
@@ -226,11 +240,11 @@ def text_view(df: DataFrame) -> DataFrame:
 # dataset name -> (source table, view builder); the first two match the
 # downloaded-file pattern, the others are loaded as local files.
 CSV_DATASETS = {
-    "ncr_ride_bookings": ("orders", orders_view),
-    "ncr_ride_bookings_customers": ("customer", customer_view),
-    "parts": ("part", part_view),
-    "regions": ("region", text_view),
-    "nations": ("nation", text_view),
-    "suppliers": ("supplier", text_view),
+    "ncr_ride_bookings": ("orders", "o_orderkey", orders_view),
+    "ncr_ride_bookings_customers": ("customer", "c_custkey", customer_view),
+    "parts": ("part", "p_partkey", part_view),
+    "regions": ("region", "r_regionkey", text_view),
+    "nations": ("nation", "n_nationkey", text_view),
+    "suppliers": ("supplier", "s_suppkey", text_view),
 }
 LOCAL_FILES = ("parts.csv", "regions.csv", "nations.csv", "suppliers.csv", "missing.csv")

@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import fresh_path, path_exists, scratch_path
 
 
+LAYOUT_VERSION = "2"   # bump when a staged layout changes; old copies are left alone
+
+
 def _key(sf_dir: str) -> str:
-    return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return hashlib.sha1(f"{sf_dir.rstrip('/')}|{LAYOUT_VERSION}".encode()).hexdigest()[:12]
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, build, fmt: str = "parquet",

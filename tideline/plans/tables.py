@@ -18,7 +18,8 @@ from ..sinks import business_table, cluster_by_time, replace_table
 from ..sources.csvfiles import (read_csv_dataset, read_local_csv_files, dataset_row_counts,
                                 write_csv_dataset)
 from ..session import scratch_path
-from .fixtures import CSV_DATASETS, LOCAL_FILES, capture_wire, customer_view, load, orders_view
+from .fixtures import (CSV_DATASETS, LOCAL_FILES, capture_wire, customer_view, load,
+                       load_ordered, orders_view)
 from .registry import register
 from .sqlparts import CSV_VIEWS, CUST_TYPED, CUST_V, EVENTS_CTE, ORD_V, TS_TEXT
 from .staging import _key, fresh, staged
@@ -28,9 +29,9 @@ CUSTOMERS = "ncr_ride_bookings_customers"
 
 def csv_root(spark, sf_dir) -> str:
     """Folder holding every CSV dataset (staged once per input folder)."""
-    for name, (table, view) in CSV_DATASETS.items():
+    for name, (table, key, view) in CSV_DATASETS.items():
         staged(spark, sf_dir, f"csv/{name}.csv",
-               lambda t=table, v=view: v(load(spark, sf_dir, t)),
+               lambda t=table, k=key, v=view: v(load_ordered(spark, sf_dir, t, k)),
                fmt="csv", options={"header": "true", "escape": '"'})
     return scratch_path(spark, "staged", _key(sf_dir), "csv")
 
