@@ -28,10 +28,13 @@ def _trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(JSON_WS))
 
 
-def json_kind(text: Column) -> Column:
+def first_char(text: Column) -> Column:
+    return F.substring(F.ltrim(text, F.lit(JSON_WS)), 1, 1)
+
+
+def kind_of_first(first: Column) -> Column:
     """Root kind from the first significant character: object, array,
     string, boolean, null, number; NULL for NULL/blank text."""
-    first = F.substring(_trimmed(text), 1, 1)
     return (F.when(first == "{", "object").when(first == "[", "array")
             .when(first == '"', "string").when(first.isin("t", "f"), "boolean")
             .when(first == "n", "null").when(first.rlike(r"^[-0-9]$"), "number"))
@@ -40,7 +43,8 @@ def json_kind(text: Column) -> Column:
 def add_validation(df: DataFrame, text: str) -> DataFrame:
     """Adds ``reason`` (and nothing else) for the JSON text column ``text``."""
     t = F.col(text)
-    staged = (df.withColumn("_kind", json_kind(t))
+    staged = (df.withColumn("_first", first_char(t))
+              .withColumn("_kind", kind_of_first(F.col("_first")))
               .withColumn("_ok", F.try_parse_json(t).isNotNull())
               .withColumn("_keys", F.when((F.col("_kind") == "object") & F.col("_ok"),
                                           F.json_object_keys(t))))
@@ -61,7 +65,11 @@ def add_validation(df: DataFrame, text: str) -> DataFrame:
         .otherwise(F.when(_trimmed(t).rlike(ZERO_RE), F.lit(REASON_EMPTY))
                    .otherwise(F.lit(REASON_NOT_OBJECT)))
     )
-    return staged.withColumn("reason", reason).drop("_kind", "_ok", "_keys")
+    return staged.withColumn("reason", reason).drop("_first", "_kind", "_ok", "_keys")
+
+
+def json_kind(text: Column) -> Column:
+    return kind_of_first(first_char(text))
 
 
 def is_valid_reason(reason: Column) -> Column:

@@ -18,9 +18,21 @@ from ..schemas import ENVELOPE_SCHEMA
 from .flatten import decode_value
 
 
-def parse_envelopes(wire: DataFrame, schema=ENVELOPE_SCHEMA) -> DataFrame:
-    """Adds the parsed envelope as struct ``env``."""
-    return wire.withColumn("env", F.from_json(decode_value("value"), schema))
+def parse_envelopes(wire: DataFrame, schema=ENVELOPE_SCHEMA,
+                    include: str | None = TABLE_INCLUDE_LIST) -> DataFrame:
+    """Adds the parsed envelope as struct ``env`` and, with ``include``, keeps
+    only changes of matching tables.
+
+    Parse and filter happen in one generator step (``inline`` over a
+    one-element array filtered on the parsed value): a plain ``where`` on a
+    parsed column would be pushed below the parsing projection and parse
+    every message twice."""
+    env = F.from_json(decode_value("value"), schema)
+    one = F.array(F.struct(*[F.col(f"`{c}`") for c in wire.columns], env.alias("env")))
+    if include is not None:
+        one = F.filter(one, lambda r: table_matches(r["env"]["source"]["schema"],
+                                                    r["env"]["source"]["table"], include))
+    return wire.select(F.inline(one))
 
 
 def table_matches(schema_name, table, include: str = TABLE_INCLUDE_LIST):
@@ -29,6 +41,8 @@ def table_matches(schema_name, table, include: str = TABLE_INCLUDE_LIST):
 
 
 def include_tables(env_df: DataFrame, include: str = TABLE_INCLUDE_LIST) -> DataFrame:
+    """Include filter on an already parsed ``env`` column (prefer
+    ``parse_envelopes(include=...)``, which parses once)."""
     src = F.col("env.source")
     return env_df.where(table_matches(src.getField("schema"), src.getField("table"), include))
 
@@ -63,8 +77,7 @@ def capture_to_topic(wire: DataFrame, *, prefix: str = TOPIC_PREFIX,
                      include: str = TABLE_INCLUDE_LIST, **unwrap_kw) -> DataFrame:
     """Envelope wire rows -> flat-record wire rows on the routed topics.
     Partition and offset are carried over, so per-key order is kept."""
-    env = include_tables(parse_envelopes(wire), include)
-    flat = unwrap_envelopes(env, **unwrap_kw)
+    flat = unwrap_envelopes(parse_envelopes(wire, include=include), **unwrap_kw)
     return flat.select(
         "key",
         F.to_json(F.col("record")).cast("binary").alias("value"),

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..constants import BOOKING_FIELD, RIDE_FIELD
-from ..operators.capture import (capture_to_topic, include_tables, parse_envelopes,
-                                 route_topic, unwrap_envelopes)
+from ..operators.capture import (capture_to_topic, parse_envelopes, route_topic,
+                                 unwrap_envelopes)
 from ..operators.flatten import flatten_changes
 from .fixtures import envelope_wire, load
 from .registry import register
@@ -24,7 +24,7 @@ SELECT part AS partition, off3 AS "offset", env_schema AS "schema", env_table AS
 """)
 def capture_filter(spark, sf_dir):
     """Changes of the tables matching the include list (whole-name regex)."""
-    env = include_tables(parse_envelopes(_envelopes(spark, sf_dir)))
+    env = parse_envelopes(_envelopes(spark, sf_dir))
     s = F.col("env.source")
     return env.select("partition", "offset", s.getField("schema").alias("schema"),
                       s.getField("table").alias("table"), F.col("env.op").alias("op"))
@@ -45,7 +45,7 @@ FROM cap WHERE env_op <> 'r'
 def envelope_unwrap(spark, sf_dir):
     """New row state + __op/__ts_ms; deletes leave a tombstone; no snapshot
     reads."""
-    env = unwrap_envelopes(include_tables(parse_envelopes(_envelopes(spark, sf_dir))))
+    env = unwrap_envelopes(parse_envelopes(_envelopes(spark, sf_dir)))
     r = F.col("record")
     return env.select("partition", "offset", r.isNull().alias("is_tombstone"),
                       r.getField("id").alias("id"), r.getField("created_at").alias("created_at"),
@@ -63,7 +63,7 @@ FROM cap WHERE env_op <> 'r'
 """)
 def topic_route(spark, sf_dir):
     """Each captured change's topic: <prefix>.<schema>.<table>."""
-    env = unwrap_envelopes(include_tables(parse_envelopes(_envelopes(spark, sf_dir))))
+    env = unwrap_envelopes(parse_envelopes(_envelopes(spark, sf_dir)))
     return env.select("partition", "offset", route_topic().alias("topic"))
 
 
