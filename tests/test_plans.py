@@ -35,7 +35,7 @@ def test_no_python_udf_and_no_single_partition_window(spark, name):
         if "Exchange SinglePartition" in line:   # only partial results into a final aggregate
             assert "Aggregate" in lines[i - 1], lines[i - 1]
         if re.search(r"\bWindow \[", line):
-            assert not re.search(r"\], \[\], \[", line), line   # a window needs a partition key
+            assert not re.search(r"\], \[\](,|\s*$)", line), line   # a window needs a partition key
 
 
 def test_time_filter_reaches_the_scan(spark):

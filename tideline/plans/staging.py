@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import fresh_path, path_exists, scratch_path
 
 
-LAYOUT_VERSION = "2"   # bump when a staged layout changes; old copies are left alone
+LAYOUT_VERSION = "3"   # bump when a staged layout changes; old copies are left alone
 
 
 def _key(sf_dir: str) -> str:

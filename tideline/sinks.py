@@ -33,7 +33,11 @@ def cluster_by_time(df: DataFrame, column: str, num_partitions: int | None = Non
     parquet min/max statistics.  (A streaming append is already clustered by
     arrival time; this is for batch rewrites.)"""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, F.col(column)).sortWithinPartitions(column)
+    # A bulk load stamps many rows with one time; the content hash splits
+    # such a value over several ranges instead of one task.
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return (df.withColumn("_tie", tie).repartitionByRange(n, F.col(column), F.col("_tie"))
+            .sortWithinPartitions(column).drop("_tie"))
 
 
 def write_json_report(df: DataFrame, path: str) -> None:
