@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LOCAL_PREFIX
 from ..functions.cleaning import is_missing
-from .shape import ColumnType, _column_stats, _decide
+from .shape import ColumnType, _column_stats, _decide, data_columns, stats_of_many
 
 FIXED_WIDTH = {"int64": 8, "uint64": 8, "float64": 8, "bool": 1}
 
@@ -42,20 +42,29 @@ class DatasetProfile:
                    else self.text_bytes.get(t.column, 0) for t in self.types)
 
 
-def profile_dataset(name: str, df: DataFrame) -> DatasetProfile:
-    cols = [c for c in df.columns if not c.startswith("_src_")]
+def _profile_aggs(df: DataFrame) -> list:
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    for c in cols:
+    for c in data_columns(df):
         x = F.col(f"`{c}`")
         aggs += _column_stats(c)
         aggs.append(F.sum(F.when(~is_missing(x), F.octet_length(x))).alias(f"bytes|{c}"))
-    s = df.agg(*aggs).first().asDict()
-    return DatasetProfile(name, s["_rows"], [_decide(c, s) for c in cols],
-                          {c: s[f"bytes|{c}"] or 0 for c in cols})
+    return aggs
+
+
+def _profile(name: str, df: DataFrame, s: dict) -> DatasetProfile:
+    cols = data_columns(df)
+    return DatasetProfile(name, s.get("_rows") or 0, [_decide(c, s) for c in cols],
+                          {c: s.get(f"bytes|{c}") or 0 for c in cols})
+
+
+def profile_dataset(name: str, df: DataFrame) -> DatasetProfile:
+    return _profile(name, df, df.agg(*_profile_aggs(df)).first().asDict())
 
 
 def profile_datasets(frames: dict[str, DataFrame]) -> list[DatasetProfile]:
-    return [profile_dataset(n, df) for n, df in frames.items()]
+    """Profiles of several datasets from one Spark job."""
+    stats = stats_of_many(frames, _profile_aggs)
+    return [_profile(n, df, stats[n]) for n, df in frames.items()]
 
 
 def profiles_frame(spark: SparkSession, profiles: list[DatasetProfile]) -> DataFrame:

@@ -74,9 +74,10 @@ def _column_stats(c: str):
 
 
 def _decide(c: str, s: dict) -> ColumnType:
-    miss, pres = s[f"m|{c}"], s[f"p|{c}"]
-    n_int, over, lo, hi = s[f"i|{c}"], s[f"o|{c}"], s[f"lo|{c}"], s[f"hi|{c}"]
-    n_float, n_bool, width = s[f"f|{c}"], s[f"b|{c}"], s[f"w|{c}"] or 0
+    miss, pres = s.get(f"m|{c}") or 0, s.get(f"p|{c}") or 0
+    n_int, over, lo, hi = (s.get(f"i|{c}") or 0, s.get(f"o|{c}") or 0,
+                           s.get(f"lo|{c}"), s.get(f"hi|{c}"))
+    n_float, n_bool, width = s.get(f"f|{c}") or 0, s.get(f"b|{c}") or 0, s.get(f"w|{c}") or 0
     if miss + pres == 0:
         return ColumnType(c, f"VARCHAR({VARCHAR_DEFAULT})", "string", "object")
     if pres == 0:
@@ -99,13 +100,35 @@ def _decide(c: str, s: dict) -> ColumnType:
     return ColumnType(c, f"VARCHAR({n})", "string", "object")
 
 
+def data_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if not c.startswith("_src_")]
+
+
 def infer_types(df: DataFrame) -> list[ColumnType]:
     """One aggregate job over all columns; returns per-column types."""
-    cols = [c for c in df.columns if not c.startswith("_src_")]
+    cols = data_columns(df)
     stats = df.agg(*[e for c in cols for e in _column_stats(c)]).first().asDict()
     return [_decide(c, stats) for c in cols]
 
 
+def stats_of_many(frames: dict, aggs_for) -> dict[str, dict]:
+    """Run one aggregate per dataset as a single Spark job (a union of the
+    per-dataset aggregates, each reduced to one JSON row)."""
+    import json
+    from functools import reduce
+    parts = [df.agg(*aggs_for(df)).select(F.lit(name).alias("dataset"),
+                                          F.to_json(F.struct("*")).alias("stats"))
+             for name, df in frames.items()]
+    rows = reduce(DataFrame.unionByName, parts).collect()   # one row per dataset
+    return {r.dataset: json.loads(r.stats) for r in rows}
+
+
+def infer_types_many(frames: dict) -> dict[str, list[ColumnType]]:
+    """Types of several datasets from one Spark job."""
+    stats = stats_of_many(frames, lambda df: [e for c in data_columns(df) for e in _column_stats(c)])
+    return {n: [_decide(c, stats[n]) for c in data_columns(df)] for n, df in frames.items()}
+
+
 def types_frame(spark: SparkSession, dataset: str, types: list[ColumnType],
                 lowercase: bool = False) -> DataFrame:
     """Inference result as rows (one per column: metadata, not data)."""

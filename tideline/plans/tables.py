@@ -12,8 +12,8 @@ from ..functions.naming import dataset_from_path, normalize_name
 from ..operators.flatten import flatten_changes
 from ..operators.ids import surrogate_ids
 from ..operators.profile import load_report, profile_datasets, profiles_frame, string_widths
-from ..operators.shape import (add_audit_columns, fill_missing, infer_types, normalize_columns,
-                               typed_load, types_frame)
+from ..operators.shape import (add_audit_columns, fill_missing, infer_types, infer_types_many,
+                               normalize_columns, typed_load, types_frame)
 from ..sinks import business_table, cluster_by_time, replace_table
 from ..sources.csvfiles import (read_csv_dataset, read_local_csv_files, dataset_row_counts,
                                 write_csv_dataset)
@@ -154,9 +154,11 @@ def _infer_row(ds, i, col, kind):
 def infer_types_q(spark, sf_dir):
     """Column types of three CSV datasets, one aggregate pass each."""
     root = csv_root(spark, sf_dir)
+    frames = {ds: read_csv_dataset(spark, f"{root}/{ds}.csv")
+              for ds in ("ncr_ride_bookings", CUSTOMERS, "parts")}
     out = None
-    for ds in ("ncr_ride_bookings", CUSTOMERS, "parts"):
-        t = types_frame(spark, ds, infer_types(read_csv_dataset(spark, f"{root}/{ds}.csv")))
+    for ds, types in infer_types_many(frames).items():
+        t = types_frame(spark, ds, types)
         out = t if out is None else out.unionByName(t)
     return out
 
