@@ -2,9 +2,10 @@
 
 Never a global ``row_number()`` (one task would see every row).  The rows
 are staged once in the shared scratch folder with a group (file split or
-range partition) and a position inside it; per-group counts - one row per
-group, a bound set by the number of splits or partitions, not by the data -
-give each group its offset, and the ids follow from a broadcast join.
+range partition) and a position inside it; per-group counts (one row per
+group) get running totals - on the driver while the group count is checked
+to be small, else from a two-level prefix sum in Spark - and the ids follow
+from a join on the group (broadcast below a checked bound).
 
 * input order (``position=``): rows keep the order they had in their files;
   no shuffle at all.
@@ -19,28 +20,63 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUP_ROWS_BROADCAST_MAX = 1_000_000
-
-
-def _number(staged: DataFrame, groups: list[str], id_col: str) -> DataFrame:
-    spark = staged.sparkSession
-    stats = (staged.groupBy(*groups)
-             .agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
-             .collect())  # one row per split / partition
-    stats.sort(key=lambda r: tuple(r[g] for g in groups))
-    rows, off = [], 0
-    for r in stats:
-        rows.append((*[r[g] for g in groups], r["_m0"], off))
-        off += r["_n"]
-    types = {f.name: f.dataType.simpleString() for f in staged.schema.fields}
-    schema = ", ".join([f"`{g}` {types[g]}" for g in groups] + ["_m0 long", "_off long"])
-    offsets = spark.createDataFrame(rows, schema)
-    if len(rows) <= GROUP_ROWS_BROADCAST_MAX:
-        offsets = F.broadcast(offsets)
-    out = staged.join(offsets, groups)
+RANGES = 64
+
+
+def prefix_offsets(stats: DataFrame, order: list[str], count: str, stage_path: str,
+                   ranges: int = RANGES) -> DataFrame:
+    """Exclusive running totals of ``count`` in ``order`` order, in Spark.
+
+    Two levels, so neither the driver nor one task sees every group: the
+    groups are range-split into at most ``ranges`` slices (staged, so the
+    slicing is fixed), running totals are taken inside each slice by a
+    window partitioned by slice, and only the slice totals (``ranges`` rows)
+    reach the driver."""
+    spark = stats.sparkSession
+    (stats.repartitionByRange(ranges, *order).withColumn("_rp", F.spark_partition_id())
+     .write.mode("overwrite").parquet(stage_path))
+    sliced = spark.read.parquet(stage_path)
+    totals = sorted((r["_rp"], r["_t"]) for r in
+                    sliced.groupBy("_rp").agg(F.sum(count).alias("_t")).collect())
+    base, run = [], 0
+    for rp, t in totals:                                  # at most `ranges` rows
+        base.append((rp, run))
+        run += t
+    bases = F.broadcast(spark.createDataFrame(base, "_rp int, _base long"))
+    within = Window.partitionBy("_rp").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (sliced.join(bases, "_rp")
+            .withColumn("_off", F.col("_base") + F.coalesce(F.sum(count).over(within), F.lit(0)))
+            .drop("_rp", "_base"))
+
+
+DRIVER_GROUPS_MAX = 100_000
+
+
+def _driver_offsets(stats: DataFrame, rows: list, order: list[str], count: str) -> DataFrame:
+    """Running totals on the driver, for a group count already checked to be
+    small."""
+    spark = stats.sparkSession
+    rows = sorted(rows, key=lambda r: tuple(r[g] for g in order))
+    out, run = [], 0
+    for r in rows:
+        out.append((*[r[c] for c in stats.columns], run))
+        run += r[count]
+    types = {f.name: f.dataType.simpleString() for f in stats.schema.fields}
+    schema = ", ".join([f"`{c}` {types[c]}" for c in stats.columns] + ["_off long"])
+    return spark.createDataFrame(out, schema)
+
+
+def _number(staged: DataFrame, groups: list[str], id_col: str, stage_path: str) -> DataFrame:
+    stats = staged.groupBy(*groups).agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    head = stats.limit(DRIVER_GROUPS_MAX + 1).collect()      # never more than the bound
+    if len(head) <= DRIVER_GROUPS_MAX:
+        offsets = F.broadcast(_driver_offsets(stats, head, groups, "_n"))
+    else:
+        offsets = prefix_offsets(stats, groups, "_n", f"{stage_path}_offsets")
+    out = staged.join(offsets.drop("_n"), groups)
     ident = (F.col("_off") + F.col("_m") - F.col("_m0") + 1).alias(id_col)
     return out.select(ident, *[c for c in staged.columns if c not in groups and c != "_m"])
 
@@ -68,4 +104,4 @@ def surrogate_ids(df: DataFrame, stage_path: str, *, order_by: Sequence[str] | N
         groups = [f, b]
     tagged.write.mode("overwrite").parquet(stage_path)
     staged = spark.read.parquet(stage_path)
-    return _number(staged, groups, id_col)
+    return _number(staged, groups, id_col, stage_path)
