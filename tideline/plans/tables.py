@@ -14,7 +14,7 @@ from ..operators.ids import surrogate_ids
 from ..operators.profile import load_report, profile_datasets, profiles_frame, string_widths
 from ..operators.shape import (add_audit_columns, fill_missing, infer_types, infer_types_many,
                                normalize_columns, typed_load, types_frame)
-from ..sinks import business_table, cluster_by_time, replace_table
+from ..sinks import business_table, cluster_by_time, replace_table, write_json_report
 from ..sources.csvfiles import (read_csv_dataset, read_local_csv_files, dataset_row_counts,
                                 write_csv_dataset)
 from ..session import scratch_path
@@ -295,6 +295,10 @@ SELECT 6 AS total_datasets,
 def load_report_q(spark, sf_dir):
     """Datasets loaded, records, datasets by source, files not found."""
     frames, missing = _all_frames(spark, sf_dir)
+    nonempty = {n: df for n, df in frames.items() if not df.isEmpty()}   # empty datasets skipped
+    if not nonempty:
+        raise ValueError("no dataset has data")
+    frames = nonempty
     counts = None
     for name, df in frames.items():
         c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
@@ -354,3 +358,14 @@ def dataset_bytes(spark, sf_dir):
     bytes for text."""
     frames, _ = _all_frames(spark, sf_dir)
     return profiles_frame(spark, profile_datasets(frames)).select("dataset", "memory_usage")
+
+
+@register("report_json", _profile_sql(True))
+def report_json(spark, sf_dir):
+    """The per-dataset report written as JSON lines and read back with its
+    schema (lists and maps travel as JSON text)."""
+    frames, _ = _all_frames(spark, sf_dir)
+    profile = profiles_frame(spark, profile_datasets(frames))
+    out = fresh(spark, "report_json")
+    write_json_report(profile, out)
+    return spark.read.schema(profile.schema).json(out)

@@ -30,6 +30,12 @@ def format_available(spark: SparkSession, fmt: str) -> bool:
         return False
 
 
+def _require_kafka(spark: SparkSession) -> None:
+    if not format_available(spark, "kafka"):
+        raise RuntimeError("the Kafka source is not on the classpath (spark-sql-kafka package); "
+                           "read a wire table with TopicSource(wire_path=...) instead")
+
+
 @dataclass
 class TopicSource:
     """Where messages come from and which of them to read.
@@ -70,6 +76,7 @@ class TopicSource:
         """Unbounded DataFrame of wire rows.  A wire table is a file stream:
         files already present are read first, new files as they land."""
         if self.bootstrap:
+            _require_kafka(spark)
             return spark.readStream.format("kafka").options(**self._kafka_options()).load()
         reader = spark.readStream.schema(WIRE_SCHEMA)
         if self.max_per_trigger:
@@ -80,6 +87,7 @@ class TopicSource:
         """Bounded read between ``starting_offsets`` and ``ending_offsets``
         (``earliest``/``latest`` or Spark's JSON offset map)."""
         if self.bootstrap:
+            _require_kafka(spark)
             opts = self._kafka_options()
             if opts["startingOffsets"] == "latest":
                 opts["startingOffsets"] = "earliest"
