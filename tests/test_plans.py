@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-SKIP_SIDE_EFFECTS = {"stream_cdc_flatten", "stream_append", "stream_restart", "asof_batch"}
+SKIP_SIDE_EFFECTS = {"stream_cdc_flatten", "stream_append", "stream_restart", "asof_batch",
+                     "stream_validate"}
 
 
 def _plan(df):

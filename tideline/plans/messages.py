@@ -42,6 +42,23 @@ def validate_messages_q(spark, sf_dir):
     return validate_messages(_mixed(spark, sf_dir))
 
 
+@register("stream_validate", f"""
+WITH {EVENTS_CTE}, r AS (SELECT mixed_topic AS topic, part AS partition, off6 AS "offset",
+                                {MIXED_REASON} AS reason FROM ev)
+SELECT topic, partition, "offset", {VALID_OF.format('reason')} AS valid, reason FROM r
+""")
+def stream_validate(spark, sf_dir):
+    """The validating consumer subscribed to both business topics as a
+    stream (availableNow), appended to a table and read back."""
+    from ..streaming.jobs import run_available, start_validation_stream
+    from .staging import fresh
+    path = staged(spark, sf_dir, "mixed_wire", lambda: _mixed(spark, sf_dir))
+    src = TopicSource(topics=BUSINESS_TOPICS, wire_path=path, starting_offsets="earliest")
+    out = fresh(spark, "stream_validate")
+    run_available(start_validation_stream(spark, src, out, trigger="availableNow"))
+    return spark.read.parquet(out)
+
+
 @register("validation_summary", f"""
 WITH {EVENTS_CTE}, r AS (SELECT mixed_topic AS topic, {MIXED_REASON} AS reason FROM ev)
 SELECT topic, {VALID_OF.format('reason')} AS valid, reason, count(*) AS messages

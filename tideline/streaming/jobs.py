@@ -78,3 +78,14 @@ def read_as_of(spark: SparkSession, table_path: str, version: int) -> DataFrame:
     """Rows appended by batches 0..version (partition pruning on batch_id)."""
     df = spark.read.option("basePath", table_path).parquet(f"{table_path}/batch_id=*")
     return df.where(F.col("batch_id") <= version)
+
+
+def start_validation_stream(spark: SparkSession, source: TopicSource, table_path: str, *,
+                            trigger: str = TRIGGER_INTERVAL, checkpoint: str | None = None,
+                            fmt: str = "parquet") -> StreamingQuery:
+    """The validating consumer as a stream: every message of the subscribed
+    topics becomes one (topic, partition, offset, valid, reason) row.
+    Stateless; counts are a batch query over the result."""
+    from ..operators.validate import validate_messages
+    return append_stream(validate_messages(source.read_stream(spark)), table_path, fmt=fmt,
+                         checkpoint=checkpoint, trigger=trigger)
