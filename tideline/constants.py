@@ -23,6 +23,9 @@ DROP_TOMBSTONES = False          # tombstones travel on as null values
 DELETE_HANDLING = "drop"         # delete events are removed by the unwrap step
 SNAPSHOT_MODE = "never"          # no initial-snapshot ('r') events
 
+# --- fixed values: byte-literal cleaning, applied in this order -------------
+BYTE_LITERAL_PATTERNS = (r"^b'", r"'$", r'^"|"$')
+
 # --- fixed values: streaming job --------------------------------------------
 TRIGGER_INTERVAL = "10 seconds"
 CHECKPOINT_SUBDIR = "_checkpoints"
@@ -55,3 +58,5 @@ FLOAT_SQL_TYPE = "DECIMAL(15,4)"
 TABLE_PREFIX = "business_"
 LOCAL_PREFIX = "local_"
 KAGGLE_GLOB = "ncr_ride_bookings*.csv"
+SOURCE_DOWNLOADED = "kaggle"     # report label of datasets fetched by name pattern
+SOURCE_LOCAL = "local"           # report label of datasets given as local files

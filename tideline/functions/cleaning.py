@@ -6,16 +6,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import FILL_TOKEN, MISSING_TOKENS
+from ..constants import BYTE_LITERAL_PATTERNS, FILL_TOKEN, MISSING_TOKENS
 
 
 def clean_byte_literal(c: Column) -> Column:
     """Strip a leading ``b'``, then a trailing ``'``, then one leading and one
     trailing double quote - in that order (``"b'7'"`` therefore stays
     ``b'7'``)."""
-    c = F.regexp_replace(c, r"^b'", "")
-    c = F.regexp_replace(c, r"'$", "")
-    return F.regexp_replace(c, r'^"|"$', "")
+    for pattern in BYTE_LITERAL_PATTERNS:
+        c = F.regexp_replace(c, pattern, "")
+    return c
 
 
 def to_double(c: Column) -> Column:

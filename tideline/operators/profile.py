@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import LOCAL_PREFIX
+from ..constants import LOCAL_PREFIX, SOURCE_DOWNLOADED, SOURCE_LOCAL
 from ..functions.cleaning import is_missing
 from .shape import ColumnType, _column_stats, _decide, data_columns, stats_of_many
 
@@ -32,7 +32,7 @@ class DatasetProfile:
 
     @property
     def source(self) -> str:
-        return "local" if self.name.startswith(LOCAL_PREFIX) else "kaggle"
+        return SOURCE_LOCAL if self.name.startswith(LOCAL_PREFIX) else SOURCE_DOWNLOADED
 
     @property
     def data_bytes(self) -> int:
@@ -78,7 +78,7 @@ def profiles_frame(spark: SparkSession, profiles: list[DatasetProfile]) -> DataF
 
 def load_report(spark: SparkSession, profiles: list[DatasetProfile], missing=()) -> DataFrame:
     """Totals over all loaded datasets (report timestamp left out)."""
-    kaggle = sum(p.source == "kaggle" for p in profiles)
+    kaggle = sum(p.source == SOURCE_DOWNLOADED for p in profiles)
     row = (len(profiles), sum(p.rows for p in profiles), kaggle, len(profiles) - kaggle, len(missing))
     return spark.createDataFrame([row], "total_datasets int, total_records long, kaggle_datasets int, "
                                         "local_datasets int, missing_files int")

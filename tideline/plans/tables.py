@@ -7,7 +7,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from ..constants import KAGGLE_GLOB, LOCAL_PREFIX, TABLE_PREFIX
+from ..constants import (KAGGLE_GLOB, LOCAL_PREFIX, SOURCE_DOWNLOADED, SOURCE_LOCAL,
+                         TABLE_PREFIX)
 from ..functions.naming import dataset_from_path, normalize_name
 from ..operators.flatten import flatten_changes
 from ..operators.ids import surrogate_ids
@@ -69,20 +70,22 @@ def csv_glob_scan(spark, sf_dir):
     return dataset_row_counts(spark, csv_root(spark, sf_dir), KAGGLE_GLOB)
 
 
-_NAMES = [(n, "kaggle" if n.startswith("ncr_ride_bookings") else "local") for n in CSV_DATASETS]
+_NAMES = [(n, SOURCE_DOWNLOADED if n.startswith("ncr_ride_bookings") else SOURCE_LOCAL)
+          for n in CSV_DATASETS]
 
 
 @register("dataset_names", "SELECT * FROM (VALUES " + ", ".join(
-    f"('{n}', '{s}', '{TABLE_PREFIX}{'' if s == 'kaggle' else LOCAL_PREFIX}{n}')" for n, s in _NAMES)
+    f"('{n}', '{s}', '{TABLE_PREFIX}{'' if s == SOURCE_DOWNLOADED else LOCAL_PREFIX}{n}')"
+    for n, s in _NAMES)
     + ") AS t(dataset, source, table_name)")
 def dataset_names_q(spark, sf_dir):
     """Dataset and table names of every CSV file in the data folder
     (``.csv`` stripped; ``local_`` for local files; ``business_`` prefix)."""
     df = spark.read.options(header="true").csv(f"{csv_root(spark, sf_dir)}/*.csv")
     ds = df.select(dataset_from_path(F.col("_metadata.file_path")).alias("dataset")).distinct()
-    kaggle = ds["dataset"].startswith("ncr_ride_bookings")
-    return ds.select("dataset", F.when(kaggle, "kaggle").otherwise("local").alias("source"),
-                     F.concat(F.lit(TABLE_PREFIX), F.when(kaggle, F.lit("")).otherwise(F.lit(LOCAL_PREFIX)),
+    downloaded = ds["dataset"].startswith("ncr_ride_bookings")
+    return ds.select("dataset", F.when(downloaded, SOURCE_DOWNLOADED).otherwise(SOURCE_LOCAL).alias("source"),
+                     F.concat(F.lit(TABLE_PREFIX), F.when(downloaded, F.lit("")).otherwise(F.lit(LOCAL_PREFIX)),
                               F.col("dataset")).alias("table_name"))
 
 
