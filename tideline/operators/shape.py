@@ -67,7 +67,9 @@ def _column_stats(c: str):
         F.count_if(is_int & num.isNull()).alias(f"o|{c}"),
         F.min(num).alias(f"lo|{c}"),
         F.max(num).alias(f"hi|{c}"),
-        F.count_if(present & x.rlike(FLOAT_RE)).alias(f"f|{c}"),
+        # every integer is a number too: the number pattern runs only when the
+        # integer pattern failed (Or short-circuits in generated code)
+        F.count_if(present & (is_int | x.rlike(FLOAT_RE))).alias(f"f|{c}"),
         F.count_if(present & x.isin(*(TRUE_TOKENS + FALSE_TOKENS))).alias(f"b|{c}"),
         F.max(F.when(present, F.length(x))).alias(f"w|{c}"),
     ]
