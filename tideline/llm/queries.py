@@ -4,10 +4,12 @@ operator to its whole table and derive the digest columns."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read_table
 from .exact_dedup import exact_groups
 from .simhash import near_groups
+from .suffix_dedup import remove_repeats
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,9 +20,17 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read_table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, window=200).select(
+        "doc_id", F.col("_sfx_n_bytes").alias("n_bytes"), F.col("_sfx_n_removed").alias("n_removed"),
+        F.col("_sfx_n_spans").alias("n_spans"), F.sha2("_sfx_kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
 }
 
 ORACLES = {
