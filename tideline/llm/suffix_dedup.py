@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -34,7 +35,7 @@ from .common import materialize, text_of
 
 GRAM = 32
 #: Text bytes of a part and item bytes of a gram bucket; both counts follow the data.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -265,9 +266,17 @@ def _texts(table: pa.RecordBatch | pa.Table, column: str) -> list[bytes]:
     return [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in table.column(column).to_pylist()]
 
 
+def _slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Row slices of about ``size`` text bytes."""
+    group = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()) // size
+    cuts = np.flatnonzero(np.r_[True, np.diff(group) != 0]) if len(group) else np.zeros(0, int)
+    for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows]):
+        yield batch.slice(lo, hi - lo)
+
+
 def _gram_rows(window: int):
     def run(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in _slices(whole, "_sfx_text")):
             texts, part = _texts(batch, "_sfx_text"), batch.column("_sfx_part").to_numpy()
             found = [(h, part[i]) for i, _, h, _, _ in text_anchors(texts, window)]
             if not found:
