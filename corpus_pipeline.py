@@ -11,7 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.common import materialize, read_table
 from tideline.llm.exact_dedup import drop_exact_copies
+from tideline.llm.packing import pack
 from tideline.llm.simhash import drop_near_copies
+from tideline.llm.suffix_dedup import drop_repeats
+from tideline.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.7 or more go."""
+    return drop_toxic(docs, read_table(spark, sf_dir, "labels"), threshold=0.7)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +32,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_copies(docs, shingle=4, distance=4)
 
 
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 200 bytes that start anywhere else are cut out of the texts;
+    every document stays, with what is left of it."""
+    return drop_repeats(docs, window=200)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of at most 2048 ids with their sequence and offset."""
+    return pack(docs, capacity=2048)
+
+
 STAGES = [
+    ("toxicity", toxicity),
     ("exact_dedup", exact_dedup),
     ("simhash_near_dedup", near_dedup),
+    ("suffix_array_dedup", suffix_dedup),
+    ("best_fit_packing", packing),
 ]
 
 #: Toxicity, SimHash and suffix stages cannot be stated in SQL.

@@ -8,14 +8,22 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .exact_dedup import exact_groups
+from .packing import pack
 from .simhash import near_groups
 from .suffix_dedup import remove_repeats
+from .toxicity import fit_toxicity, score_documents
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return score_documents(docs, model, threshold=0.7)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read_table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
@@ -27,10 +35,16 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_sfx_n_spans").alias("n_spans"), F.sha2("_sfx_kept", 256).alias("kept_sha256"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), capacity=2048)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }
 
 ORACLES = {
