@@ -6,8 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode_and_decode
 from .common import read_table
 from .exact_dedup import exact_groups
+from .fingerprint import fingerprint_with_edits
+from .langid import fit_language_model, identify
 from .packing import pack
 from .simhash import near_groups
 from .suffix_dedup import remove_repeats
@@ -39,12 +42,28 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_with_edits(read_table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return identify(docs, fit_language_model(docs))
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_decode(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_language_id": op8_language_id,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES = {

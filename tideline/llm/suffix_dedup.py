@@ -427,8 +427,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 200) -
     total = F.sum("n").over(Window.partitionBy("gram"))
     grams = materialize(grams.withColumn("total", total).where("total > 1").select("part", "gram").distinct(),
                         "suffix-grams")
-    # about window + span/2 bytes an item
-    dests = max(1, -(-grams.count() * (window + 45) // PART_BYTES))
+    # about window + span/2 bytes an item; a merge holds its items as objects, so half as much as a part
+    dests = max(1, -(-grams.count() * (window + 45) // (PART_BYTES // 2)))
 
     blocks = rows.mapInArrow(_pack_docs, "part int, block binary")
     runs = blocks.groupBy("part").cogroup(grams.groupBy("part")).applyInArrow(
