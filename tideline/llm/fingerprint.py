@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from .common import text_of
 
-BUCKETS = 512
+BUCKETS = 2048
 TRIPLETS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 CHUNK = 1 << 20
 #: Text bytes of a bucket of consecutive documents.
@@ -28,7 +28,7 @@ PART_BYTES = 8 << 20
 _SHIFT = np.uint32(32 - BUCKETS.bit_length() + 1)
 #: Mean difference of independent codes (1.25 a bucket) bounds the score.
 MAX_DIFFERENCE = 1.25 * BUCKETS
-LENGTH_WEIGHT, LENGTH_CAP = 4, 64
+LENGTH_WEIGHT, LENGTH_CAP = 20, 640
 
 
 def bucket_counts(data: bytes) -> np.ndarray:
@@ -68,11 +68,13 @@ def _codes(d: bytes) -> np.ndarray:
 
 
 def likeness(a: bytes, b: bytes) -> float:
-    """1 - difference / bound, within [0, 1]."""
+    """1 - difference / bound, within [0, 1].  Where two digests of short texts
+    hold less than the bound, all they hold is the bound."""
     if a == b:
         return 1.0
-    diff = int(np.abs(_codes(a) - _codes(b)).sum()) + min(LENGTH_CAP, LENGTH_WEIGHT * abs(a[0] - b[0]))
-    return max(0.0, 1.0 - diff / MAX_DIFFERENCE)
+    x, y = _codes(a), _codes(b)
+    diff = float(np.abs(x - y).sum()) / max(1.0, min(MAX_DIFFERENCE, float(x.sum() + y.sum())))
+    return max(0.0, 1.0 - diff - min(LENGTH_CAP, LENGTH_WEIGHT * abs(a[0] - b[0])) / MAX_DIFFERENCE)
 
 
 def edited(text: str, following: str) -> str:
