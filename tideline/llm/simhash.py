@@ -106,10 +106,17 @@ def near_edges(fps: DataFrame, distance: int = 4, blocks: int = 2, bucket: int =
     v = _variants(fps, blocks, distance)
     sized = v.withColumn("n", F.count("*").over(Window.partitionBy("block", "key"))).where("n > 1")
     sized = materialize(sized, "simhash-buckets")
-    small = sized.where(F.col("n") <= bucket).select("block", "key", "fp")
-    a, b = small.withColumnRenamed("fp", "a"), small.withColumnRenamed("fp", "b")
-    pairs = (a.join(b, ["block", "key"]).where("a < b")
-             .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).select("a", "b").distinct())
+    width = 64 // blocks
+    word = F.expr(f"shiftrightunsigned(fp, block * {width}) & {(1 << width) - 1}")
+    small = sized.where(F.col("n") <= bucket).select("block", "key", "fp", word.alias("w"))
+    a = small.withColumnsRenamed({"fp": "a", "w": "wa"})
+    b = small.withColumnsRenamed({"fp": "b", "w": "wb"})
+    pairs = a.join(b, ["block", "key"]).where("a < b").where(
+        F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+    if distance // blocks <= 2:
+        # a pair meets on up to 33 variants of a block; it counts on the one nearest to a
+        pairs = pairs.where("key = CASE WHEN bit_count(wa ^ wb) < 2 THEN wa ELSE wa ^ ((wa ^ wb) & -(wa ^ wb)) END")
+    pairs = pairs.select("a", "b").distinct()
     crowded = sized.where(F.col("n") > bucket).select("fp").distinct()
     if not crowded.isEmpty():
         pairs = pairs.unionByName(_star(crowded, distance))
