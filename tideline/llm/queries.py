@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_and_decode
+from .chat import ORACLE as CHAT_ORACLE, op5_chat_formatting
 from .common import read_table
 from .exact_dedup import exact_groups
 from .fingerprint import fingerprint_with_edits
 from .langid import fit_language_model, identify
+from .licences import oracle as licence_oracle, scan_licences
 from .packing import pack
 from .simhash import near_groups
 from .suffix_dedup import remove_repeats
@@ -51,6 +53,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit_language_model(docs))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(read_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(read_table(spark, sf_dir, "documents"))
 
@@ -60,13 +66,17 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_language_id": op8_language_id,
+    "op9_license_scan": op9_license_scan,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES = {
+    "op5_chat_formatting": CHAT_ORACLE,
+    "op9_license_scan": licence_oracle(),
     "op1_exact_dedup": """
 SELECT doc_id,
        max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
