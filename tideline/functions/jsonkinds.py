@@ -45,7 +45,10 @@ def add_validation(df: DataFrame, text: str) -> DataFrame:
     t = F.col(text)
     staged = (df.withColumn("_first", first_char(t))
               .withColumn("_kind", kind_of_first(F.col("_first")))
-              .withColumn("_ok", F.try_parse_json(t).isNotNull())
+              # in brackets, so that text after the value does not pass unread
+              .withColumn("_ok", F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("\n]"))),
+                                                   "$[1]", "variant").isNull()
+                          & F.try_parse_json(F.concat(F.lit("["), t, F.lit("\n]"))).isNotNull())
               .withColumn("_keys", F.when((F.col("_kind") == "object") & F.col("_ok"),
                                           F.json_object_keys(t))))
     kind, keys = F.col("_kind"), F.col("_keys")

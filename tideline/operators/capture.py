@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import (DELETE_HANDLING, DROP_TOMBSTONES, SNAPSHOT_MODE, TABLE_INCLUDE_LIST,
                          TOPIC_PREFIX)
@@ -40,34 +41,41 @@ def table_matches(schema_name, table, include: str = TABLE_INCLUDE_LIST):
     return F.concat_ws(".", schema_name, table).rlike(f"^(?:{include})$")
 
 
-def include_tables(env_df: DataFrame, include: str = TABLE_INCLUDE_LIST) -> DataFrame:
-    """Include filter on an already parsed ``env`` column (prefer
-    ``parse_envelopes(include=...)``, which parses once)."""
-    src = F.col("env.source")
-    return env_df.where(table_matches(src.getField("schema"), src.getField("table"), include))
-
-
 def unwrap_envelopes(env_df: DataFrame, *, delete_handling: str = DELETE_HANDLING,
                      drop_tombstones: bool = DROP_TOMBSTONES,
                      snapshot_mode: str = SNAPSHOT_MODE,
                      add_fields=("op", "ts_ms")) -> DataFrame:
-    """Adds ``record``: the new row state plus ``__<field>`` metadata, or
-    NULL for a delete's tombstone."""
+    """Adds ``record``: the whole new row state as JSON text (every column, nulls
+    included) plus ``__<field>`` metadata, or NULL for a delete's tombstone."""
     if delete_handling != "drop":
         raise ValueError("only delete_handling='drop' is supported")
     op = F.col("env.op")
-    keep = F.lit(True)
+    keep = op.isNotNull()                    # the others are in rejected_envelopes
     if snapshot_mode == "never":
         keep = keep & (op != "r")
     if drop_tombstones:
         keep = keep & (op != "d")
-    after = F.col("env.after")
-    fields = [after.getField(f.name).alias(f.name) for f in ENVELOPE_SCHEMA["after"].dataType.fields]
-    fields += [F.col("env").getField(a).alias(f"__{a}") for a in add_fields]
-    record = F.when(op == "d", F.lit(None)).otherwise(F.struct(*fields))
+    extra = F.to_json(F.struct(*[F.col("env").getField(a).alias(f"__{a}") for a in add_fields]),
+                      {"ignoreNullFields": "false"})
+    state = F.to_json(F.col("env.after"))
+    record = F.when(op != "d", F.when(state == "{}", extra).otherwise(
+        F.concat(F.expr("left({0}, length({0}) - 1)".format("to_json(env.after)")), F.lit(","),
+                 F.substring(extra, 2, 1 << 30))))
     return env_df.where(keep).withColumn("record", record)
 
 
+def rejected_envelopes(wire: DataFrame) -> DataFrame:
+    """Messages that carry no usable change, with the reason; together with
+    ``parse_envelopes(include=None)`` rows that have an operation they account
+    for every message.  A message without a value is a tombstone already."""
+    text = decode_value("value")
+    env = F.from_json(text, ENVELOPE_SCHEMA)
+    op = F.from_json(text, T.StructType([ENVELOPE_SCHEMA["op"]])).getField("op")
+    reason = (F.when(text.isNull(), "no value").when(F.try_parse_json(text).isNull() | env.isNull(), "not an envelope")
+              .when(op.isNull(), "no operation"))
+    return wire.select("topic", "partition", "offset", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def route_topic(prefix: str = TOPIC_PREFIX):
     src = F.col("env.source")
     return F.concat_ws(".", F.lit(prefix), src.getField("schema"), src.getField("table"))
@@ -80,7 +88,7 @@ def capture_to_topic(wire: DataFrame, *, prefix: str = TOPIC_PREFIX,
     flat = unwrap_envelopes(parse_envelopes(wire, include=include), **unwrap_kw)
     return flat.select(
         "key",
-        F.to_json(F.col("record")).cast("binary").alias("value"),
+        F.col("record").cast("binary").alias("value"),
         route_topic(prefix).alias("topic"),
         "partition", "offset", "timestamp", "timestampType",
     )

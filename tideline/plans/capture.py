@@ -4,11 +4,13 @@ whole chain envelope -> flat topic -> typed rows."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import BOOKING_FIELD, RIDE_FIELD
 from ..operators.capture import (capture_to_topic, parse_envelopes, route_topic,
                                  unwrap_envelopes)
 from ..operators.flatten import flatten_changes
+from ..schemas import ROW_STATE
 from .fixtures import envelope_wire, load
 from .registry import register
 from .sqlparts import BOOKING_TEXT, ENV_CTE, EVENTS_CTE, RIDE_TEXT, TS_TEXT
@@ -46,8 +48,11 @@ def envelope_unwrap(spark, sf_dir):
     """New row state + __op/__ts_ms; deletes leave a tombstone; no snapshot
     reads."""
     env = unwrap_envelopes(parse_envelopes(_envelopes(spark, sf_dir)))
-    r = F.col("record")
-    return env.select("partition", "offset", r.isNull().alias("is_tombstone"),
+    schema = T.StructType([*ROW_STATE.fields, T.StructField("__op", T.StringType()),
+                           T.StructField("__ts_ms", T.LongType())])
+    env = env.select("partition", "offset", "record", F.from_json("record", schema).alias("_r"))
+    r = F.col("_r")
+    return env.select("partition", "offset", F.col("record").isNull().alias("is_tombstone"),
                       r.getField("id").alias("id"), r.getField("created_at").alias("created_at"),
                       r.getField("updated_at").alias("updated_at"), r.getField("__op").alias("op"),
                       r.getField("__ts_ms").alias("ts_ms"),

@@ -29,22 +29,15 @@ from ..functions.timefmt import ts_to_micros
 UPDATE_SHIFT_US = 90_000_000
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A given table; a scan with fewer splits than cores is spread first."""
-    from ..sources.topic import spread_small_scan
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df) if spread else df
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_ordered(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A given table whose row order matters downstream (CSV files that are
-    numbered in input order): a small scan is spread by key range and sorted
-    within each range, so file order stays key order."""
-    df = load(spark, sf_dir, name, spread=False)
-    n = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        df = df.repartitionByRange(n, key).sortWithinPartitions(key)
-    return df
+    numbered in input order): ranges of the key, sorted within, so that the
+    order of the files is the order of the key whatever the input's layout."""
+    return load(spark, sf_dir, name).repartitionByRange(key).sortWithinPartitions(key)
 
 
 def _i() -> Column:

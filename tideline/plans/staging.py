@@ -1,6 +1,7 @@
 """Staged copies of derived inputs in the shared scratch folder.
 
-A staged table is written once per input folder and reused; it also cuts
+A staged table is written once per state of the input folder (the names, sizes
+and times of its files) and reused; it also cuts
 lineage, so a lost executor re-reads files instead of recomputing."""
 
 from __future__ import annotations
@@ -12,17 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import fresh_path, path_exists, scratch_path
 
 
-LAYOUT_VERSION = "3"   # bump when a staged layout changes; old copies are left alone
+LAYOUT_VERSION = "4"   # bump when a staged layout changes; old copies are left alone
 
 
-def _key(sf_dir: str) -> str:
-    return hashlib.sha1(f"{sf_dir.rstrip('/')}|{LAYOUT_VERSION}".encode()).hexdigest()[:12]
+def input_stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input's files (a listing, no data)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    seen = []
+    for entry in fs.listStatus(root):
+        for f in (fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]):
+            seen.append(f"{entry.getPath().getName()}/{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return "|".join(sorted(seen))
+
+
+def input_key(spark: SparkSession, sf_dir: str) -> str:
+    text = f"{sf_dir.rstrip('/')}|{LAYOUT_VERSION}|{input_stamp(spark, sf_dir)}"
+    return hashlib.sha1(text.encode()).hexdigest()[:12]
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, build, fmt: str = "parquet",
            options: dict | None = None) -> str:
     """Path of ``build()`` written under the scratch folder (once)."""
-    path = scratch_path(spark, "staged", _key(sf_dir), name)
+    path = scratch_path(spark, "staged", input_key(spark, sf_dir), name)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         df: DataFrame = build()
         df.write.mode("overwrite").options(**(options or {})).format(fmt).save(path)

@@ -25,9 +25,9 @@ def _capture_source(spark, sf_dir, **kw) -> TopicSource:
 
 @register("stream_cdc_flatten", FLAT_ORACLE)
 def stream_cdc_flatten(spark, sf_dir):
-    """The flattening job as a stream over the capture topic (at most four
-    files per micro-batch), appended to a parquet lake table and read back."""
-    src = _capture_source(spark, sf_dir, max_per_trigger=4)
+    """The flattening job as a stream over the capture topic, appended to a
+    parquet lake table and read back."""
+    src = _capture_source(spark, sf_dir)
     out = fresh(spark, "stream_cdc_flatten")
     flat = flatten_changes(src.read_stream(spark), processed_at=False)
     run_available(append_stream(flat, out, fmt="parquet", trigger="availableNow"))

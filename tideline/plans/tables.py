@@ -16,14 +16,14 @@ from ..operators.profile import load_report, profile_datasets, profiles_frame, s
 from ..operators.shape import (add_audit_columns, fill_missing, infer_types, infer_types_many,
                                normalize_columns, typed_load, types_frame)
 from ..sinks import business_table, cluster_by_time, replace_table, write_json_report
-from ..sources.csvfiles import (read_csv_dataset, read_local_csv_files, dataset_row_counts,
+from ..sources.csvfiles import (CSV_OPTIONS, read_csv_dataset, read_local_csv_files, dataset_row_counts,
                                 write_csv_dataset)
 from ..session import scratch_path
 from .fixtures import (CSV_DATASETS, LOCAL_FILES, capture_wire, customer_view, load,
                        load_ordered, orders_view)
 from .registry import register
 from .sqlparts import CSV_VIEWS, CUST_TYPED, CUST_V, EVENTS_CTE, ORD_V, TS_TEXT
-from .staging import _key, fresh, staged
+from .staging import fresh, input_key, staged
 
 CUSTOMERS = "ncr_ride_bookings_customers"
 
@@ -33,8 +33,8 @@ def csv_root(spark, sf_dir) -> str:
     for name, (table, key, view) in CSV_DATASETS.items():
         staged(spark, sf_dir, f"csv/{name}.csv",
                lambda t=table, k=key, v=view: v(load_ordered(spark, sf_dir, t, k)),
-               fmt="csv", options={"header": "true", "escape": '"'})
-    return scratch_path(spark, "staged", _key(sf_dir), "csv")
+               fmt="csv", options=CSV_OPTIONS)
+    return scratch_path(spark, "staged", input_key(spark, sf_dir), "csv")
 
 
 def _customers(spark, sf_dir, with_position=False):
@@ -279,7 +279,7 @@ def time_range_lookup(spark, sf_dir):
     def build():
         flat = flatten_changes(capture_wire(load(spark, sf_dir, "events")), typed_time=True,
                                processed_at=False)
-        return cluster_by_time(flat.where(F.col("created_at").isNotNull()), "created_at")
+        return cluster_by_time(flat, "created_at")
     path = staged(spark, sf_dir, "lake_by_time", build)
     table = spark.read.parquet(path)
     hit = (F.col("created_at") >= F.lit(TIME_LO).cast("timestamp")) & \

@@ -16,7 +16,7 @@ WIRE_SCHEMA = T.StructType([
     T.StructField("timestampType", T.IntegerType(), True),
 ])
 
-# The six fields the streaming job reads from each flat change record; any
+# Fixed names and types: the six fields the streaming job reads from each flat change record; any
 # other field in the JSON is ignored.
 RECORD_SCHEMA = T.StructType([
     T.StructField("id", T.LongType(), True),
@@ -42,10 +42,11 @@ SOURCE_INFO = T.StructType([
     T.StructField("ts_ms", T.LongType(), True),
 ])
 
-# Row-change envelope as the capture connector emits it before unwrapping.
+# Row-change envelope as the capture connector emits it before unwrapping.  The
+# row states are kept whole, whatever columns their table has.
 ENVELOPE_SCHEMA = T.StructType([
-    T.StructField("before", ROW_STATE, True),
-    T.StructField("after", ROW_STATE, True),
+    T.StructField("before", T.VariantType(), True),
+    T.StructField("after", T.VariantType(), True),
     T.StructField("source", SOURCE_INFO, True),
     T.StructField("op", T.StringType(), True),
     T.StructField("ts_ms", T.LongType(), True),

@@ -38,8 +38,10 @@ def build_session(app: str = "tideline", master: str | None = None,
 
 
 def apply_conventions(spark: SparkSession) -> None:
-    """Text timestamps are rendered in UTC, as the oracles expect."""
+    """Text timestamps are rendered in UTC, as the oracles expect; of a key that
+    a JSON object repeats the last value counts, as in the original consumer."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 def scratch_root(spark: SparkSession) -> str:

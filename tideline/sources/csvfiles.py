@@ -13,14 +13,18 @@ from ..constants import KAGGLE_GLOB, LOCAL_PREFIX
 from ..functions.naming import dataset_from_path
 from ..session import path_exists
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "false"}
+#: Blanks around a value are part of it, on writing (Spark's default drops them) and reading.
+CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "false",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_csv_dataset(spark: SparkSession, path: str, with_position: bool = False) -> DataFrame:
-    """All columns as strings.  ``with_position`` adds ``_src_file``,
+def read_csv_dataset(spark: SparkSession, path: str, with_position: bool = False,
+                     multi_line: bool = False) -> DataFrame:
+    """All columns as strings.  ``multi_line`` reads quoted line breaks; a file is
+    then one task, so datasets with such values belong in many files.  ``with_position`` adds ``_src_file``,
     ``_src_block`` and ``_src_row``, which together give the input order
     (rows of one file split are read in order by one task)."""
-    df = spark.read.options(**CSV_OPTIONS).csv(path)
+    df = spark.read.options(**CSV_OPTIONS | {"multiLine": str(multi_line).lower()}).csv(path)
     if with_position:
         df = df.select("*", F.col("_metadata.file_path").alias("_src_file"),
                        F.col("_metadata.file_block_start").alias("_src_block"),

@@ -104,15 +104,3 @@ def parse_offset_spec(spec: str) -> list[tuple[str, int, int]]:
     (topic, partition, offset); -2 means earliest, -1 latest."""
     parsed = json.loads(spec)
     return [(t, int(p), int(o)) for t, parts in parsed.items() for p, o in parts.items()]
-
-
-def spread_small_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a batch scan over the cluster's cores when it has fewer
-    splits than cores (one small file, one row group).  Large inputs have
-    far more splits than cores and pass through untouched, so no shuffle is
-    added where the scan is already parallel."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df

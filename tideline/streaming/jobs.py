@@ -50,12 +50,13 @@ def start_change_stream(spark: SparkSession, source: TopicSource, table_path: st
                          checkpoint=checkpoint, trigger=trigger)
 
 
-def run_available(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:
-    """Wait for an ``availableNow`` run to finish; surface its failure."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def run_available(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait until the stream ends, or stop it after ``timeout_s`` seconds (its
+    checkpoint keeps what it has done); surface its failure."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
-        raise TimeoutError(f"stream {query.name or query.id} still running after {timeout_s}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query
