@@ -468,11 +468,18 @@ def test_byte_net_gradients():
         old, losses = p[k], []
         for d in (1e-6, -1e-6):
             p[k] = old + d
-            losses.append(-net.forward(x)[np.arange(3), y].mean())
+            losses.append(-net.forward(x)[0][np.arange(3), y].mean())
         p[k] = old
         assert abs((losses[0] - losses[1]) / 2e-6 - g[k]) < 1e-4
 
 
+def test_tabulated_network_agrees():
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 257, (70, langid.WINDOW)).astype(np.int16), rng.integers(0, 3, 70)
+    net = langid.train(x, y, ["a", "b", "c"])
+    assert np.allclose(net.predictor(batch=32)(x), net.forward(x)[0], atol=1e-3)
+
+
 # --- 9 licences ----------------------------------------------------------------------------------------
 
 def test_licence_scan(spark, edge, none):

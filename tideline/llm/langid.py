@@ -9,6 +9,7 @@ the one its windows give the highest mean log-probability."""
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,8 +38,9 @@ class ByteNet:
     def params(self) -> list[np.ndarray]:
         return [self.embed, *(p for bank in self.banks for p in bank), *self.out]
 
-    def forward(self, x: np.ndarray, keep: bool = False):
-        """Log-probabilities of windows ``x`` (n, WINDOW) of byte codes."""
+    def forward(self, x: np.ndarray):
+        """Log-probabilities of windows ``x`` (n, WINDOW) of byte codes, with
+        the pooled features and what the gradients need of each bank."""
         e = self.embed[x]
         n = len(x)
         pooled, saved = [], []
@@ -48,21 +50,46 @@ class ByteNet:
                 e, (n, WINDOW - width + 1, width * DEPTH), (e.strides[0], e.strides[1], e.strides[2]))
             conv = flat.reshape(-1, width * DEPTH) @ w
             conv = conv.reshape(n, -1, FILTERS)
-            if keep:
-                arg = conv.argmax(axis=1)
-                top = np.take_along_axis(conv, arg[:, None], 1)[:, 0] + b
-                saved.append((arg, flat))
-            else:
-                top = conv.max(axis=1) + b
-            pooled.append(np.maximum(top, 0))
+            arg = conv.argmax(axis=1)
+            pooled.append(np.maximum(np.take_along_axis(conv, arg[:, None], 1)[:, 0] + b, 0))
+            saved.append((arg, flat))
         h = np.concatenate(pooled, axis=1)
+        return self.softmax(h), h, saved
+
+    def softmax(self, h: np.ndarray) -> np.ndarray:
         z = h @ self.out[0] + self.out[1]
         z -= z.max(axis=1, keepdims=True)
-        logp = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return (logp, h, saved) if keep else logp
+        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+    def predictor(self, batch: int = 32):
+        """Log-probabilities as ``forward`` gives them, for many windows: what
+        a filter gives for a byte pair is tabulated once (17 MB), so that a
+        convolution is a sum of looked-up rows and needs no matrix product."""
+        taps = [[self.embed @ w[j * DEPTH:(j + 1) * DEPTH] for j in range(width)]
+                for width, (w, _) in zip(WIDTHS, self.banks)]
+        codes = len(self.embed)
+        pairs = [(k, j, taps[k][j][:, None] + taps[k][j + 1][None]) for k, width in enumerate(WIDTHS)
+                 for j in range(0, width - 1, 2)]
+        table = np.concatenate([t.reshape(codes * codes, FILTERS) for _, _, t in pairs], axis=1)
+
+        def few(x: np.ndarray) -> np.ndarray:
+            got = table.take(x[:, :-1] * np.int32(codes) + x[:, 1:], axis=0)
+            pooled = []
+            for k, (width, (_, b)) in enumerate(zip(WIDTHS, self.banks)):
+                n = WINDOW - width + 1
+                terms = [got[:, j:j + n, c * FILTERS:(c + 1) * FILTERS]
+                         for c, (bank, j, _) in enumerate(pairs) if bank == k]
+                if width % 2:
+                    terms.append(taps[k][-1].take(x[:, width - 1:], axis=0))
+                pooled.append(np.maximum(sum(terms[1:], terms[0]).max(axis=1) + b, 0))
+            return self.softmax(np.concatenate(pooled, axis=1))
+
+        def predict(x: np.ndarray) -> np.ndarray:
+            return np.concatenate([few(x[k:k + batch].astype(np.int32)) for k in range(0, len(x), batch)])
+        return predict
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-        logp, h, saved = self.forward(x, keep=True)
+        logp, h, saved = self.forward(x)
         n = len(x)
         dz = np.exp(logp)
         dz[np.arange(n), y] -= 1
@@ -144,11 +171,15 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return train(x, got["lang"].map({l: k for k, l in enumerate(langs)}).to_numpy(), langs)
 
 
-def language_column(text: Column, net: ByteNet | None, batch: int = 256) -> Column:
+def language_column(text: Column, net: ByteNet | None) -> Column:
     """``struct<lang_pred, score>`` of a text column; ``und`` with score 0 where
     the text is null or has no letter, or nothing was learned."""
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
+    def batches(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        log_probabilities = net.predictor() if net else None
+        for texts in parts:
+            yield of_batch(texts, log_probabilities)
+
+    def of_batch(texts: pd.Series, log_probabilities) -> pd.DataFrame:
         lang, score = ["und"] * len(texts), [0.0] * len(texts)
         held, sizes, where = [], [], []
 
@@ -156,7 +187,7 @@ def language_column(text: Column, net: ByteNet | None, batch: int = 256) -> Colu
             if not held:
                 return
             x = np.concatenate(held)
-            logp = np.concatenate([net.forward(x[k:k + batch]) for k in range(0, len(x), batch)])
+            logp = log_probabilities(x)
             # a padded window counts by its share of bytes
             w = np.maximum((x != 256).sum(axis=1), 1)[:, None]
             starts = np.cumsum([0, *sizes[:-1]])
@@ -178,7 +209,7 @@ def language_column(text: Column, net: ByteNet | None, batch: int = 256) -> Colu
                 total = 0
         flush()
         return pd.DataFrame({"lang_pred": lang, "score": score})
-    return predict(text)
+    return F.pandas_udf(batches, "lang_pred string, score double")(text)
 
 
 def identify(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
