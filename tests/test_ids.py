@@ -2,10 +2,12 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from tideline.operators.ids import surrogate_ids
+from tideline.operators.ids import natural_order, surrogate_ids
 from tideline.session import fresh_path
+from tideline.sources.csvfiles import read_csv_dataset
 
 
 def test_key_order_with_a_hot_key(spark):
@@ -25,7 +27,6 @@ def test_input_order_without_shuffle(spark, tmp_path):
     path = str(tmp_path / "d.csv")
     spark.range(500).select(F.col("id").cast("string").alias("x")).repartition(3) \
         .write.option("header", True).csv(path)
-    from tideline.sources.csvfiles import read_csv_dataset
     text = read_csv_dataset(spark, path, with_position=True)
     import glob
     expected = []
@@ -48,3 +49,28 @@ def test_two_level_prefix_offsets(spark):
         expect[g] = run
         run += g % 7 + 1
     assert out == expect
+
+
+def test_rows_removed_from_inside_a_split_are_refused(spark, tmp_path):
+    path = str(tmp_path / "d.csv")
+    spark.range(20).coalesce(1).write.option("header", True).csv(path)
+    text = read_csv_dataset(spark, path, with_position=True).where("id % 2 = 0").withColumnRenamed("id", "x")
+    with pytest.raises(ValueError):
+        surrogate_ids(text, fresh_path(spark, "test_ids_gap"))
+
+
+def test_paths_sort_by_their_numbers(spark):
+    names = ["d/part-99999-a", "d/part-100000-a", "d/part-2", "d/part-10", "c9/part-1", "c10/part-0"]
+    rows = spark.createDataFrame([(n,) for n in names], "p string").orderBy(natural_order(F.col("p"))).collect()
+    assert [r.p for r in rows] == ["c9/part-1", "c10/part-0", "d/part-2", "d/part-10", "d/part-99999-a",
+                                   "d/part-100000-a"]
+
+
+def test_more_files_than_cores_and_no_rows(spark, tmp_path):
+    path = str(tmp_path / "many.csv")
+    spark.range(300).select(F.col("id").alias("x")).repartitionByRange(23, "x").sortWithinPartitions("x") \
+        .write.option("header", True).csv(path)
+    text = read_csv_dataset(spark, path, with_position=True)
+    out = surrogate_ids(text, fresh_path(spark, "test_ids_many"))
+    assert out.where("id <> x + 1").count() == 0 and out.count() == 300
+    assert surrogate_ids(text.where("false"), fresh_path(spark, "test_ids_none")).count() == 0

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tideline.plans import registry
 
 SKIP_SIDE_EFFECTS = {"stream_cdc_flatten", "stream_append", "stream_restart", "asof_batch",
                      "stream_validate"}
@@ -27,7 +28,7 @@ def test_capture_chain_parses_envelope_and_record_once_each(spark):
     assert plan.count("from_json(") == 2
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - SKIP_SIDE_EFFECTS))
 def test_no_python_udf_and_no_single_partition_window(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

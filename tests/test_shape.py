@@ -2,7 +2,12 @@
 
 import pytest
 
-from tideline.operators.shape import fill_missing, infer_types, normalize_columns, typed_load
+from tideline.operators.ids import surrogate_ids
+from tideline.operators.profile import string_widths
+from tideline.operators.shape import (ColumnType, add_audit_columns, cast_failures, fill_missing, infer_types,
+                                      normalize_columns, typed_load)
+from tideline.sinks import replace_table, write_record_sets
+from tideline.sources.csvfiles import read_csv_dataset
 from tideline.functions.naming import normalize_name, normalize_names
 
 
@@ -60,3 +65,40 @@ def test_fill_and_typed_load(spark):
         ["int", "string", "decimal(15,4)", "boolean"]
     rows = typed.orderBy("Key_A").collect()
     assert rows[1]["Name_n"] == "NULL" and rows[1]["Val_1"] is None and rows[1]["Flag"] is False
+
+
+def test_rejected_values_stop_the_load_or_are_counted(spark):
+    df = spark.createDataFrame([("1.5", "True"), ("123456789012345.5", "yes"), ("inf", None)], "a string, b string")
+    types = [ColumnType("a", "DECIMAL(15,4)", "decimal(15,4)", "float64"),
+             ColumnType("b", "BOOLEAN", "boolean", "bool")]
+    with pytest.raises(Exception, match="cannot hold"):
+        typed_load(df, types).collect()
+    assert [r.a is None for r in typed_load(df, types, rejects="null").collect()] == [False, True, True]
+    assert [tuple(r) for r in cast_failures(df, types).collect()] == [("a", "DECIMAL(15,4)", 2), ("b", "BOOLEAN", 1)]
+
+
+def test_reserved_names_raise(spark):
+    with pytest.raises(ValueError):
+        add_audit_columns(spark.createDataFrame([(1,)], "Created_At int"))
+    with pytest.raises(ValueError):
+        surrogate_ids(spark.createDataFrame([(1, 2)], "ID int, k int"), "unused", order_by=["k"])
+
+
+def test_record_sets_skip_empty_ones(spark, tmp_path):
+    rows = spark.createDataFrame([("x", None)], "`s/A (b)` string, c string")
+    paths = write_record_sets({"My Set.csv": rows, "None.csv": rows.where("false")}, str(tmp_path))
+    assert paths == {"My Set.csv": f"{tmp_path}/my_set.csv"}
+    back = read_csv_dataset(spark, paths["My Set.csv"])
+    assert back.columns == ["s/a_b", "c"] and [tuple(r) for r in back.collect()] == [("x", "NULL")]
+    with pytest.raises(ValueError):
+        write_record_sets({"None.csv": rows.where("false")}, str(tmp_path))
+
+
+def test_second_load_replaces_the_first(spark, tmp_path):
+    for n in (5, 3):
+        path = replace_table(spark.range(n), str(tmp_path), "business_x")
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_widths_of_a_file_without_text_columns(spark):
+    assert string_widths(spark.range(3)).collect() == []

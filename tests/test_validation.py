@@ -8,6 +8,8 @@ from tideline.operators.validate import (match_messages, message_previews, valid
                                          validation_summary)
 
 CASES = [
+    ('{"a":1}] x', "JSON validation error"), ("1],[2", "JSON validation error"),
+    ("1,2", "JSON validation error"),
     (None, REASON_EMPTY), ("", REASON_EMPTY), ("{}", REASON_EMPTY), ("[]", REASON_EMPTY),
     ("0", REASON_EMPTY), ('""', REASON_EMPTY), ("false", REASON_EMPTY), ("null", REASON_EMPTY),
     ("0.0", REASON_EMPTY), ("-0", REASON_EMPTY), ("0e5", REASON_EMPTY),

@@ -15,8 +15,6 @@ TABLE_INCLUDE_LIST = "public.business_.*"
 BOOKING_FIELD = "ncr_ride_bookings.csv/booking+value"
 RIDE_FIELD = "ncr_ride_bookings.csv/ride+distance"
 OP_FIELD = "__op"
-TS_MS_FIELD = "__ts_ms"
-TOPIC_PARTITIONS = 3
 
 # --- fixed values: change-capture settings ---------------------------------
 DROP_TOMBSTONES = False          # tombstones travel on as null values

@@ -21,6 +21,7 @@ from ..constants import (REASON_EMPTY, REASON_ERROR, REASON_NOT_OBJECT, REASON_V
                          REASON_VALID_NO_TS, TIMESTAMP_KEYS)
 
 JSON_WS = " \t\n\r"
+END_MARK = "tideline end of message"
 ZERO_RE = r"^-?0(\.0+)?([eE][+-]?[0-9]+)?$"
 
 
@@ -45,10 +46,10 @@ def add_validation(df: DataFrame, text: str) -> DataFrame:
     t = F.col(text)
     staged = (df.withColumn("_first", first_char(t))
               .withColumn("_kind", kind_of_first(F.col("_first")))
-              # in brackets, so that text after the value does not pass unread
-              .withColumn("_ok", F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("\n]"))),
-                                                   "$[1]", "variant").isNull()
-                          & F.try_parse_json(F.concat(F.lit("["), t, F.lit("\n]"))).isNotNull())
+              # as the first of two array items, so that text after the value does not pass unread
+              .withColumn("_ok", F.coalesce(F.try_variant_get(
+                  F.try_parse_json(F.concat(F.lit("["), t, F.lit(f'\n,"{END_MARK}"]'))), "$[1]", "string")
+                  == END_MARK, F.lit(False)))
               .withColumn("_keys", F.when((F.col("_kind") == "object") & F.col("_ok"),
                                           F.json_object_keys(t))))
     kind, keys = F.col("_kind"), F.col("_keys")
@@ -71,9 +72,5 @@ def add_validation(df: DataFrame, text: str) -> DataFrame:
     return staged.withColumn("reason", reason).drop("_first", "_kind", "_ok", "_keys")
 
 
-def json_kind(text: Column) -> Column:
-    return kind_of_first(first_char(text))
-
-
 def is_valid_reason(reason: Column) -> Column:
     return reason.isin(REASON_VALID, REASON_VALID_NO_TS)

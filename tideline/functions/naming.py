@@ -35,11 +35,6 @@ def dataset_from_path(path: Column) -> Column:
     return F.regexp_extract(path, r"/([^/]+?)\.csv(?:/[^/]+)?$", 1)
 
 
-def recordset_file_name(name: Column) -> Column:
-    """Record-set name -> output file name: space and '-' -> '_', lower case."""
-    return F.lower(F.translate(name, " -", "__"))
-
-
 def table_name(dataset: Column, local: bool | Column = False) -> Column:
     """``business_<dataset>``; local files get ``local_`` in front first."""
     if isinstance(local, bool):

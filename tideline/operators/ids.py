@@ -3,12 +3,11 @@
 Never a global ``row_number()`` (one task would see every row).  The rows
 are staged once in the shared scratch folder with a group (file split or
 range partition) and a position inside it; per-group counts (one row per
-group) get running totals - on the driver while the group count is checked
-to be small, else from a two-level prefix sum in Spark - and the ids follow
-from a join on the group (broadcast below a checked bound).
+group) get running totals from a two-level prefix sum in Spark, and the ids
+follow from a join on the group.
 
 * input order (``position=``): rows keep the order they had in their files;
-  no shuffle at all.
+  the rows are never shuffled, they meet one (group, shift) row per split.
 * key order (``order_by=``): range partitioning on the key plus a
   tie-breaker, so one hot key value spreads over several partitions.
 
@@ -20,29 +19,31 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+#: (group, shift) rows of 16 bytes that are broadcast, at most (64 MB; a split is
+#: up to 128 MB of input); with more groups Spark picks the join.
+BROADCAST_GROUPS_MAX = 4_000_000
 
 
 def prefix_offsets(stats: DataFrame, order: list[str], count: str, stage_path: str,
-                   ranges: int = RANGES) -> DataFrame:
+                   ranges: int | None = None) -> DataFrame:
     """Exclusive running totals of ``count`` in ``order`` order, in Spark.
 
     Two levels, so neither the driver nor one task sees every group: the
-    groups are range-split into at most ``ranges`` slices (staged, so the
-    slicing is fixed), running totals are taken inside each slice by a
-    window partitioned by slice, and only the slice totals (``ranges`` rows)
+    groups are range-split into slices (staged, so the slicing is fixed),
+    running totals are taken inside each slice by a window partitioned by
+    slice, and only the slice totals (one row a shuffle partition at most)
     reach the driver."""
     spark = stats.sparkSession
-    (stats.repartitionByRange(ranges, *order).withColumn("_rp", F.spark_partition_id())
-     .write.mode("overwrite").parquet(stage_path))
+    sliced = stats.repartitionByRange(ranges, *order) if ranges else stats.repartitionByRange(*order)
+    sliced.withColumn("_rp", F.spark_partition_id()).write.mode("overwrite").parquet(stage_path)
     sliced = spark.read.parquet(stage_path)
     totals = sorted((r["_rp"], r["_t"]) for r in
                     sliced.groupBy("_rp").agg(F.sum(count).alias("_t")).collect())
     base, run = [], 0
-    for rp, t in totals:                                  # at most `ranges` rows
+    for rp, t in totals:
         base.append((rp, run))
         run += t
     bases = F.broadcast(spark.createDataFrame(base, "_rp int, _base long"))
@@ -52,33 +53,34 @@ def prefix_offsets(stats: DataFrame, order: list[str], count: str, stage_path: s
             .drop("_rp", "_base"))
 
 
-DRIVER_GROUPS_MAX = 100_000
-
-
-def _driver_offsets(stats: DataFrame, rows: list, order: list[str], count: str) -> DataFrame:
-    """Running totals on the driver, for a group count already checked to be
-    small."""
-    spark = stats.sparkSession
-    rows = sorted(rows, key=lambda r: tuple(r[g] for g in order))
-    out, run = [], 0
-    for r in rows:
-        out.append((*[r[c] for c in stats.columns], run))
-        run += r[count]
-    types = {f.name: f.dataType.simpleString() for f in stats.schema.fields}
-    schema = ", ".join([f"`{c}` {types[c]}" for c in stats.columns] + ["_off long"])
-    return spark.createDataFrame(out, schema)
-
-
-def _number(staged: DataFrame, groups: list[str], id_col: str, stage_path: str) -> DataFrame:
-    stats = staged.groupBy(*groups).agg(F.min("_m").alias("_m0"), F.count(F.lit(1)).alias("_n"))
-    head = stats.limit(DRIVER_GROUPS_MAX + 1).collect()      # never more than the bound
-    if len(head) <= DRIVER_GROUPS_MAX:
-        offsets = F.broadcast(_driver_offsets(stats, head, groups, "_n"))
-    else:
-        offsets = prefix_offsets(stats, groups, "_n", f"{stage_path}_offsets")
-    out = staged.join(offsets.drop("_n"), groups)
-    ident = (F.col("_off") + F.col("_m") - F.col("_m0") + 1).alias(id_col)
-    return out.select(ident, *[c for c in staged.columns if c not in groups and c != "_m"])
+def natural_order(path: Column) -> Column:
+    """Sort key of a path in which runs of digits compare as numbers, so that
+    ``part-100000`` follows ``part-99999``."""
+    padded = F.regexp_replace(path, r"(\d+)", "0000000000$1")
+    return F.regexp_replace(padded, r"0{0,10}(\d{10,})", "$1")
+
+
+def _number(staged: DataFrame, order: list[str], id_col: str, stage_path: str) -> DataFrame:
+    spark = staged.sparkSession
+    stats = staged.groupBy("_g", *[c for c in order if c != "_g"]).agg(
+        F.min("_m").alias("_m0"), F.max("_m").alias("_m1"), F.count(F.lit(1)).alias("_n"))
+    stats.write.mode("overwrite").parquet(f"{stage_path}_groups")
+    stats = spark.read.parquet(f"{stage_path}_groups")
+    seen = stats.agg(F.count(F.lit(1)).alias("groups"), F.count_distinct("_g").alias("keys"),
+                     F.count_if(F.col("_m1") - F.col("_m0") + 1 != F.col("_n")).alias("gaps")).first()
+    if seen["gaps"]:
+        raise ValueError("rows were removed after their positions were taken; stage the kept rows first")
+    if seen["keys"] < seen["groups"]:
+        raise RuntimeError("two file splits share one group key")
+    if order != ["_g"]:
+        stats = stats.withColumn("_name", natural_order(F.col(order[0])))
+        order = ["_name", *order]
+    shifts = prefix_offsets(stats, order, "_n", f"{stage_path}_offsets").select(
+        "_g", (F.col("_off") - F.col("_m0") + 1).alias("_shift"))
+    if seen["groups"] <= BROADCAST_GROUPS_MAX:
+        shifts = F.broadcast(shifts)
+    kept = [c for c in staged.columns if c not in ("_g", "_m", *order)]
+    return staged.join(shifts, "_g").select((F.col("_m") + F.col("_shift")).alias(id_col), *kept)
 
 
 def surrogate_ids(df: DataFrame, stage_path: str, *, order_by: Sequence[str] | None = None,
@@ -88,20 +90,22 @@ def surrogate_ids(df: DataFrame, stage_path: str, *, order_by: Sequence[str] | N
 
     ``order_by``: number in key order.  Otherwise ``position`` names the
     (file, split start, row) columns of ``sources.csvfiles`` and rows are
-    numbered in input order; those columns are dropped from the result."""
+    numbered in input order; those columns are dropped from the result.  A
+    column that is already called ``id_col``, or rows missing from inside a
+    split, raise an error."""
+    if id_col.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"the data already has a column {id_col!r}")
     spark = df.sparkSession
     if order_by:
-        n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         keyed = df.withColumn("_tb", F.monotonically_increasing_id())
-        ranged = (keyed.repartitionByRange(n, *order_by, "_tb")
-                  .sortWithinPartitions(*order_by, "_tb"))
-        tagged = (ranged.withColumn("_g", F.spark_partition_id())
+        by = [*order_by, "_tb"]
+        ranged = keyed.repartitionByRange(num_partitions, *by) if num_partitions else keyed.repartitionByRange(*by)
+        tagged = (ranged.sortWithinPartitions(*by).withColumn("_g", F.spark_partition_id().cast("long"))
                   .withColumn("_m", F.monotonically_increasing_id()).drop("_tb"))
-        groups = ["_g"]
+        order = ["_g"]
     else:
         f, b, r = position
-        tagged = df.withColumnRenamed(r, "_m")
-        groups = [f, b]
+        tagged = df.withColumnRenamed(r, "_m").withColumn("_g", F.xxhash64(f, b))
+        order = [f, b]
     tagged.write.mode("overwrite").parquet(stage_path)
-    staged = spark.read.parquet(stage_path)
-    return _number(staged, groups, id_col, stage_path)
+    return _number(spark.read.parquet(stage_path), order, id_col, stage_path)

@@ -1,6 +1,6 @@
 """Dataset profiles and the load report.
 
-Each dataset is profiled by one aggregate job (row count, inference stats,
+All datasets are profiled by one aggregate job (row count, inference stats,
 text bytes per column); everything the driver receives is per-column
 metadata."""
 
@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import LOCAL_PREFIX, SOURCE_DOWNLOADED, SOURCE_LOCAL
-from ..functions.cleaning import is_missing
-from .shape import ColumnType, _column_stats, _decide, data_columns, stats_of_many
+from .shape import ColumnType, column_stats_of_many, data_columns, decide_types
 
 FIXED_WIDTH = {"int64": 8, "uint64": 8, "float64": 8, "bool": 1}
 
@@ -42,29 +41,12 @@ class DatasetProfile:
                    else self.text_bytes.get(t.column, 0) for t in self.types)
 
 
-def _profile_aggs(df: DataFrame) -> list:
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for c in data_columns(df):
-        x = F.col(f"`{c}`")
-        aggs += _column_stats(c)
-        aggs.append(F.sum(F.when(~is_missing(x), F.octet_length(x))).alias(f"bytes|{c}"))
-    return aggs
-
-
-def _profile(name: str, df: DataFrame, s: dict) -> DatasetProfile:
-    cols = data_columns(df)
-    return DatasetProfile(name, s.get("_rows") or 0, [_decide(c, s) for c in cols],
-                          {c: s.get(f"bytes|{c}") or 0 for c in cols})
-
-
-def profile_dataset(name: str, df: DataFrame) -> DatasetProfile:
-    return _profile(name, df, df.agg(*_profile_aggs(df)).first().asDict())
-
-
 def profile_datasets(frames: dict[str, DataFrame]) -> list[DatasetProfile]:
     """Profiles of several datasets from one Spark job."""
-    stats = stats_of_many(frames, _profile_aggs)
-    return [_profile(n, df, stats[n]) for n, df in frames.items()]
+    stats = column_stats_of_many(frames)
+    return [DatasetProfile(n, stats[n]["rows"], decide_types(df, stats[n]),
+                           {c: stats[n].get(f"bytes{i}") or 0 for i, c in enumerate(data_columns(df))})
+            for n, df in frames.items()]
 
 
 def profiles_frame(spark: SparkSession, profiles: list[DatasetProfile]) -> DataFrame:
@@ -76,12 +58,13 @@ def profiles_frame(spark: SparkSession, profiles: list[DatasetProfile]) -> DataF
                                        "data_types string, memory_usage long, source string")
 
 
-def load_report(spark: SparkSession, profiles: list[DatasetProfile], missing=()) -> DataFrame:
-    """Totals over all loaded datasets (report timestamp left out)."""
-    kaggle = sum(p.source == SOURCE_DOWNLOADED for p in profiles)
-    row = (len(profiles), sum(p.rows for p in profiles), kaggle, len(profiles) - kaggle, len(missing))
-    return spark.createDataFrame([row], "total_datasets int, total_records long, kaggle_datasets int, "
-                                        "local_datasets int, missing_files int")
+def report_rows(profile: DataFrame) -> DataFrame:
+    """The profile as a report nests it: names as a list, dtypes as a map, and
+    the time of the report."""
+    return profile.withColumns({
+        "column_names": F.from_json("column_names", "array<string>"),
+        "data_types": F.from_json("data_types", "map<string,string>"),
+        "timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")})
 
 
 def string_widths(df: DataFrame) -> DataFrame:
@@ -89,6 +72,8 @@ def string_widths(df: DataFrame) -> DataFrame:
     unpivoted in Spark to (column_name, max_length)."""
     cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"
             and not f.name.startswith("_src_")]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, max_length int")
     wide = df.agg(*[F.max(F.length(F.col(f"`{c}`"))).alias(f"w{i}") for i, c in enumerate(cols)])
     pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', w{i}" for i, c in enumerate(cols))
     return wide.select(F.expr(f"stack({len(cols)}, {pairs}) AS (column_name, max_length)"))

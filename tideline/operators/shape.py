@@ -1,8 +1,9 @@
 """Column names, missing values, type inference and typed loading.
 
 Inference reproduces what a pandas ``read_csv`` + dtype mapping decides,
-in **one** aggregate pass over the text columns (partial aggregation; the
-driver receives one row of per-column counts):
+in **one** aggregate pass over the text columns: each cell gets a class once,
+and only classes are counted (partial aggregation; the driver receives one row
+of per-column counts):
 
 * no rows                                   -> VARCHAR(255)
 * every value missing                       -> DECIMAL(15,4)
@@ -17,11 +18,12 @@ driver receives one row of per-column counts):
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..constants import (FALSE_TOKENS, FLOAT_SQL_TYPE, MISSING_TEXT_WIDTH, TRUE_TOKENS,
                          VARCHAR_CAP, VARCHAR_DEFAULT)
@@ -54,32 +56,49 @@ def fill_missing(df: DataFrame, columns=None) -> DataFrame:
                        for c in df.columns])
 
 
-def _column_stats(c: str):
-    x = F.col(f"`{c}`")
-    miss = is_missing(x)
-    present = ~miss
-    is_int = present & x.rlike(INT_RE)
-    num = F.when(is_int, F.trim(x).try_cast("decimal(38,0)"))
+# what a cell can be; the class is computed once per cell
+MISSING, INT, NUMBER, BOOL, TEXT = range(5)
+
+
+def classify_cells(df: DataFrame) -> DataFrame:
+    """Per data column ``i``: class ``k<i>``, integer ``n<i>`` (its wide form
+    ``d<i>`` only beyond 64 bits), length ``l<i>`` and UTF-8 bytes ``b<i>`` of
+    the present texts."""
+    cols = [F.col(f"`{c}`") for c in data_columns(df)]
+    kinds = df.select(*[x.alias(f"x{i}") for i, x in enumerate(cols)], *[
+        F.when(is_missing(x), MISSING).when(x.rlike(INT_RE), INT).when(x.rlike(FLOAT_RE), NUMBER)
+        .when(x.isin(*(TRUE_TOKENS + FALSE_TOKENS)), BOOL).otherwise(TEXT).alias(f"k{i}")
+        for i, x in enumerate(cols)])
+    out = []
+    for i in range(len(cols)):
+        x, k = F.col(f"x{i}"), F.col(f"k{i}")
+        n = F.when(k == INT, F.trim(x).try_cast("bigint"))
+        out += [k, n.alias(f"n{i}"),
+                F.when((k == INT) & n.isNull(), F.trim(x).try_cast("decimal(38,0)")).alias(f"d{i}"),
+                F.when(k != MISSING, F.length(x)).alias(f"l{i}"),
+                F.when(k != MISSING, F.octet_length(x)).alias(f"b{i}")]
+    return kinds.select(*out)
+
+
+def _column_stats(i: int) -> list:
+    k, n, d = F.col(f"k{i}"), F.col(f"n{i}"), F.col(f"d{i}")
     return [
-        F.count_if(miss).alias(f"m|{c}"),
-        F.count_if(present).alias(f"p|{c}"),
-        F.count_if(is_int).alias(f"i|{c}"),
-        F.count_if(is_int & num.isNull()).alias(f"o|{c}"),
-        F.min(num).alias(f"lo|{c}"),
-        F.max(num).alias(f"hi|{c}"),
-        # every integer is a number too: the number pattern runs only when the
-        # integer pattern failed (Or short-circuits in generated code)
-        F.count_if(present & (is_int | x.rlike(FLOAT_RE))).alias(f"f|{c}"),
-        F.count_if(present & x.isin(*(TRUE_TOKENS + FALSE_TOKENS))).alias(f"b|{c}"),
-        F.max(F.when(present, F.length(x))).alias(f"w|{c}"),
+        F.count_if(k == MISSING).alias(f"miss{i}"),
+        F.count_if(k == INT).alias(f"int{i}"),
+        F.count_if(k == NUMBER).alias(f"num{i}"),
+        F.count_if(k == BOOL).alias(f"bool{i}"),
+        F.count_if(k == TEXT).alias(f"text{i}"),
+        F.count_if((k == INT) & n.isNull() & d.isNull()).alias(f"over{i}"),
+        F.min(n).alias(f"lo{i}"), F.max(n).alias(f"hi{i}"),
+        F.min(d).alias(f"dlo{i}"), F.max(d).alias(f"dhi{i}"),
+        F.max(f"l{i}").alias(f"width{i}"),
+        F.sum(f"b{i}").alias(f"bytes{i}"),
     ]
 
 
-def _decide(c: str, s: dict) -> ColumnType:
-    miss, pres = s.get(f"m|{c}") or 0, s.get(f"p|{c}") or 0
-    n_int, over, lo, hi = (s.get(f"i|{c}") or 0, s.get(f"o|{c}") or 0,
-                           s.get(f"lo|{c}"), s.get(f"hi|{c}"))
-    n_float, n_bool, width = s.get(f"f|{c}") or 0, s.get(f"b|{c}") or 0, s.get(f"w|{c}") or 0
+def _decide(c: str, i: int, s: dict) -> ColumnType:
+    miss, n_int, n_num, n_bool, n_text = (s.get(f"{k}{i}") or 0 for k in ("miss", "int", "num", "bool", "text"))
+    pres, width = n_int + n_num + n_bool + n_text, s.get(f"width{i}") or 0
     if miss + pres == 0:
         return ColumnType(c, f"VARCHAR({VARCHAR_DEFAULT})", "string", "object")
     if pres == 0:
@@ -87,12 +106,13 @@ def _decide(c: str, s: dict) -> ColumnType:
     if n_int == pres:
         if miss:
             return ColumnType(c, FLOAT_SQL_TYPE, "decimal(15,4)", "float64")
-        if not over and lo >= INT64_MIN and hi <= INT64_MAX:
-            spark_t = "int" if lo >= INT32_MIN and hi <= INT32_MAX else "bigint"
+        ends = [int(s[k]) for k in (f"lo{i}", f"hi{i}", f"dlo{i}", f"dhi{i}") if s.get(k) is not None]
+        if not s.get(f"over{i}") and min(ends) >= INT64_MIN and max(ends) <= INT64_MAX:
+            spark_t = "int" if min(ends) >= INT32_MIN and max(ends) <= INT32_MAX else "bigint"
             return ColumnType(c, "INTEGER", spark_t, "int64")
-        if not over and lo >= 0 and hi <= UINT64_MAX:
+        if not s.get(f"over{i}") and min(ends) >= 0 and max(ends) <= UINT64_MAX:
             return ColumnType(c, "INTEGER", "decimal(20,0)", "uint64")
-    elif n_float == pres:
+    elif n_int + n_num == pres:
         return ColumnType(c, FLOAT_SQL_TYPE, "decimal(15,4)", "float64")
     elif n_bool == pres and not miss:
         return ColumnType(c, "BOOLEAN", "boolean", "bool")
@@ -108,27 +128,28 @@ def data_columns(df: DataFrame) -> list[str]:
 
 def infer_types(df: DataFrame) -> list[ColumnType]:
     """One aggregate job over all columns; returns per-column types."""
-    cols = data_columns(df)
-    stats = df.agg(*[e for c in cols for e in _column_stats(c)]).first().asDict()
-    return [_decide(c, stats) for c in cols]
-
-
-def stats_of_many(frames: dict, aggs_for) -> dict[str, dict]:
-    """Run one aggregate per dataset as a single Spark job (a union of the
-    per-dataset aggregates, each reduced to one JSON row)."""
-    import json
-    from functools import reduce
-    parts = [df.agg(*aggs_for(df)).select(F.lit(name).alias("dataset"),
-                                          F.to_json(F.struct("*")).alias("stats"))
+    return infer_types_many({"": df})[""]
+
+
+def column_stats_of_many(frames: dict[str, DataFrame]) -> dict[str, dict]:
+    """Row count and column statistics of several datasets from one Spark job
+    (a union of the per-dataset aggregates, each reduced to one JSON row)."""
+    parts = [classify_cells(df).agg(F.count(F.lit(1)).alias("rows"),
+                                    *[e for i in range(len(data_columns(df))) for e in _column_stats(i)])
+             .select(F.lit(name).alias("dataset"), F.to_json(F.struct("*")).alias("stats"))
              for name, df in frames.items()]
     rows = reduce(DataFrame.unionByName, parts).collect()   # one row per dataset
     return {r.dataset: json.loads(r.stats) for r in rows}
 
 
-def infer_types_many(frames: dict) -> dict[str, list[ColumnType]]:
+def decide_types(df: DataFrame, stats: dict) -> list[ColumnType]:
+    return [_decide(c, i, stats) for i, c in enumerate(data_columns(df))]
+
+
+def infer_types_many(frames: dict[str, DataFrame]) -> dict[str, list[ColumnType]]:
     """Types of several datasets from one Spark job."""
-    stats = stats_of_many(frames, lambda df: [e for c in data_columns(df) for e in _column_stats(c)])
-    return {n: [_decide(c, stats[n]) for c in data_columns(df)] for n, df in frames.items()}
+    stats = column_stats_of_many(frames)
+    return {n: decide_types(df, stats[n]) for n, df in frames.items()}
 
 
 def types_frame(spark: SparkSession, dataset: str, types: list[ColumnType],
@@ -142,45 +163,61 @@ def types_frame(spark: SparkSession, dataset: str, types: list[ColumnType],
     return spark.createDataFrame(rows, schema)
 
 
-def typed_columns(types: list[ColumnType]):
+def _parsed(x: Column, spark_type: str) -> Column:
+    """Present text -> value, NULL where the type rejects it."""
+    if spark_type == "boolean":
+        return F.when(x.isin(*TRUE_TOKENS), True).when(x.isin(*FALSE_TOKENS), False)
+    return F.trim(x).try_cast(spark_type)
+
+
+def typed_columns(types: list[ColumnType], rejects: str = "raise") -> list[Column]:
     """Cast expressions: numbers and booleans parsed (missing -> NULL), text
-    columns get the ``NULL`` fill."""
+    columns get the ``NULL`` fill.  A present value that the type rejects (too
+    many digits, ``inf`` in a decimal) stops the load as it does in a database,
+    or becomes NULL with ``rejects="null"``; ``cast_failures`` counts them."""
+    if rejects not in ("raise", "null"):
+        raise ValueError("rejects is 'raise' or 'null'")
     out = []
     for t in types:
         x = F.col(f"`{t.column}`")
         if t.spark_type == "string":
-            e = fill_missing_text(x)
-        elif t.spark_type == "boolean":
-            e = F.when(is_missing(x), F.lit(None).cast("boolean")).otherwise(x.isin(*TRUE_TOKENS))
-        else:
-            e = F.when(is_missing(x), F.lit(None)).otherwise(F.trim(x).try_cast(t.spark_type)) \
-                .cast(t.spark_type)
-        out.append(e.alias(t.column))
+            out.append(fill_missing_text(x).alias(t.column))
+            continue
+        value = _parsed(x, t.spark_type)
+        if rejects == "raise":
+            value = F.coalesce(value, F.raise_error(F.concat(
+                F.lit(f"column {t.column}: {t.sql_type} cannot hold "), x)).cast(t.spark_type))
+        out.append(F.when(~is_missing(x), value).alias(t.column))
     return out
 
 
 def typed_load(df: DataFrame, types: list[ColumnType] | None = None,
-               lowercase: bool = False, keep=()) -> DataFrame:
+               lowercase: bool = False, keep=(), rejects: str = "raise") -> DataFrame:
     """Text dataset -> typed columns with normalised names."""
     types = types or infer_types(df)
     names = normalize_names([t.column for t in types], lowercase)
-    cols = [e.alias(n) for e, n in zip(typed_columns(types), names)]
+    cols = [e.alias(n) for e, n in zip(typed_columns(types, rejects), names)]
     return df.select(*keep, *cols)
 
 
 def cast_failures(df: DataFrame, types: list[ColumnType]) -> DataFrame:
-    """Per column: present values that did not parse as the chosen type."""
-    aggs = []
-    for t, e in zip(types, typed_columns(types)):
+    """``column_name, sql_type, failures``: present values that each column's
+    type rejects, from one aggregate pass."""
+    aggs, rows = [], []
+    for i, t in enumerate(types):
         x = F.col(f"`{t.column}`")
-        aggs.append(F.count_if(~is_missing(x) & e.isNull()).alias(t.column))
-    return df.agg(*aggs)
+        lost = F.lit(False) if t.spark_type == "string" else ~is_missing(x) & _parsed(x, t.spark_type).isNull()
+        aggs.append(F.count_if(lost).alias(f"f{i}"))
+        rows.append(F.struct(F.lit(t.column).alias("column_name"), F.lit(t.sql_type).alias("sql_type"),
+                             F.col(f"f{i}").alias("failures")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def add_audit_columns(df: DataFrame) -> DataFrame:
-    """``created_at``/``updated_at`` = time of the write."""
+    """``created_at``/``updated_at`` = time of the write; a data column of
+    either name is an error, not overwritten."""
+    taken = {c.lower() for c in df.columns} & {"created_at", "updated_at"}
+    if taken:
+        raise ValueError(f"the data already has a column {sorted(taken)[0]!r}")
     now = F.current_timestamp()
     return df.withColumn("created_at", now).withColumn("updated_at", now)
-
-
-SQL_TO_SPARK = {"BOOLEAN": T.BooleanType(), "INTEGER": T.LongType()}

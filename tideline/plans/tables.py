@@ -4,18 +4,20 @@ tables with surrogate ids and audit columns, profiles and the report."""
 from __future__ import annotations
 
 import json
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (KAGGLE_GLOB, LOCAL_PREFIX, SOURCE_DOWNLOADED, SOURCE_LOCAL,
+from ..constants import (KAGGLE_GLOB, LOCAL_PREFIX, MISSING_TOKENS, SOURCE_DOWNLOADED, SOURCE_LOCAL,
                          TABLE_PREFIX)
-from ..functions.naming import dataset_from_path, normalize_name
+from ..functions.naming import dataset_from_path, normalize_name, table_name
 from ..operators.flatten import flatten_changes
 from ..operators.ids import surrogate_ids
-from ..operators.profile import load_report, profile_datasets, profiles_frame, string_widths
-from ..operators.shape import (add_audit_columns, fill_missing, infer_types, infer_types_many,
-                               normalize_columns, typed_load, types_frame)
-from ..sinks import business_table, cluster_by_time, replace_table, write_json_report
+from ..operators.profile import profile_datasets, profiles_frame, report_rows, string_widths
+from ..operators.shape import (ColumnType, add_audit_columns, cast_failures, fill_missing, infer_types,
+                               infer_types_many, normalize_columns, typed_load, types_frame)
+from ..sinks import business_table, cluster_by_time, replace_table, write_json_report, write_record_sets
 from ..sources.csvfiles import (CSV_OPTIONS, read_csv_dataset, read_local_csv_files, dataset_row_counts,
                                 write_csv_dataset)
 from ..session import scratch_path
@@ -83,10 +85,9 @@ def dataset_names_q(spark, sf_dir):
     (``.csv`` stripped; ``local_`` for local files; ``business_`` prefix)."""
     df = spark.read.options(header="true").csv(f"{csv_root(spark, sf_dir)}/*.csv")
     ds = df.select(dataset_from_path(F.col("_metadata.file_path")).alias("dataset")).distinct()
-    downloaded = ds["dataset"].startswith("ncr_ride_bookings")
-    return ds.select("dataset", F.when(downloaded, SOURCE_DOWNLOADED).otherwise(SOURCE_LOCAL).alias("source"),
-                     F.concat(F.lit(TABLE_PREFIX), F.when(downloaded, F.lit("")).otherwise(F.lit(LOCAL_PREFIX)),
-                              F.col("dataset")).alias("table_name"))
+    local = ~ds["dataset"].startswith("ncr_ride_bookings")
+    return ds.select("dataset", F.when(local, SOURCE_LOCAL).otherwise(SOURCE_DOWNLOADED).alias("source"),
+                     table_name(F.col("dataset"), local).alias("table_name"))
 
 
 @register("normalize_columns", f"""
@@ -113,57 +114,74 @@ def fill_missing_q(spark, sf_dir):
     return fill_missing(normalize_columns(_customers(spark, sf_dir)))
 
 
-def _varchar(col: str, view: str, missing: bool) -> str:
-    w = f'max(length("{col}"))'
-    if missing:
-        w = f"greatest({w}, 3)"
-    return f"(SELECT 'VARCHAR(' || least(2 * {w}, 1000) || ')' FROM {view})"
-
-
-_INFER_EXPECT = [
-    ("ncr_ride_bookings", "ord_v", [
-        ("Booking ID", "INTEGER"), ("Customer ID", "INTEGER"),
-        ("Booking Status", _varchar("Booking Status", "ord_v", False)),
-        ("Booking Value", "DECIMAL"), ("Date", _varchar("Date", "ord_v", False)),
-        ("Priority (Level)", _varchar("Priority (Level)", "ord_v", True))]),
-    (CUSTOMERS, "cust_v", [
-        ("Customer Key", "INTEGER"), ("Customer-Name", _varchar("Customer-Name", "cust_v", True)),
-        ("Nation Key", "INTEGER"), ("Account Balance (USD)", "DECIMAL"),
-        ("Market Segment", _varchar("Market Segment", "cust_v", True)),
-        ("Active", _varchar("Active", "cust_v", True))]),
-    ("parts", "part_v", [
-        ("Part Key", "INTEGER"), ("Name", _varchar("Name", "part_v", False)),
-        ("Brand", _varchar("Brand", "part_v", False)), ("Type", _varchar("Type", "part_v", False)),
-        ("Size", "INTEGER"), ("Retail Price", "DECIMAL"), ("Promo", "BOOLEAN")]),
-]
-
-
-def _infer_row(ds, i, col, kind):
-    if kind == "INTEGER":
-        sql, spark_t, pd_t = "'INTEGER'", "int", "int64"
-    elif kind == "DECIMAL":
-        sql, spark_t, pd_t = "'DECIMAL(15,4)'", "decimal(15,4)", "float64"
-    elif kind == "BOOLEAN":
-        sql, spark_t, pd_t = "'BOOLEAN'", "boolean", "bool"
-    else:
-        sql, spark_t, pd_t = kind, "string", "object"
-    return (f"SELECT '{ds}' AS dataset, {i} AS ordinal, '{col}' AS column_name, "
-            f"'{normalize_name(col)}' AS table_column, {sql} AS sql_type, '{spark_t}' AS spark_type, "
-            f"'{pd_t}' AS pandas_dtype")
+#: dataset -> (oracle view, columns); what each column is follows from its values.
+_VIEWS = {
+    "ncr_ride_bookings": ("ord_v", ["Booking ID", "Customer ID", "Booking Status", "Booking Value", "Date",
+                                    "Priority (Level)"]),
+    CUSTOMERS: ("cust_v", ["Customer Key", "Customer-Name", "Nation Key", "Account Balance (USD)", "Market Segment",
+                           "Active"]),
+    "parts": ("part_v", ["Part Key", "Name", "Brand", "Type", "Size", "Retail Price", "Promo"]),
+    "regions": ("region", ["r_regionkey", "r_name"]),
+    "nations": ("nation", ["n_nationkey", "n_name", "n_regionkey"]),
+    "suppliers": ("supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]),
+}
+_MISSING_SQL = ", ".join(f"'{t}'" for t in MISSING_TOKENS)
+
+
+def _infer_row(ds, view, i, col):
+    return f"""
+SELECT '{ds}' AS dataset, {i} AS ordinal, '{col}' AS column_name, '{normalize_name(col)}' AS table_column,
+       CASE kind WHEN 'text' THEN 'VARCHAR(' || least(2 * w, 1000) || ')' WHEN 'none' THEN 'VARCHAR(255)'
+            WHEN 'number' THEN 'DECIMAL(15,4)' WHEN 'bool' THEN 'BOOLEAN' ELSE 'INTEGER' END AS sql_type,
+       CASE kind WHEN 'int' THEN 'int' WHEN 'long' THEN 'bigint' WHEN 'number' THEN 'decimal(15,4)'
+            WHEN 'bool' THEN 'boolean' ELSE 'string' END AS spark_type,
+       CASE WHEN kind IN ('int', 'long') THEN 'int64' WHEN kind = 'number' THEN 'float64' WHEN kind = 'bool' THEN 'bool'
+            ELSE 'object' END AS pandas_dtype
+FROM (SELECT w, CASE WHEN n = 0 THEN 'none' WHEN p = 0 THEN 'number'
+             WHEN ints = p THEN CASE WHEN p < n THEN 'number' WHEN small = p THEN 'int' ELSE 'long' END
+             WHEN nums = p THEN 'number' WHEN bools = n THEN 'bool' ELSE 'text' END AS kind
+      FROM (SELECT count(*) AS n, count(x) AS p,
+                   count(TRY_CAST(x AS BIGINT)) FILTER (regexp_full_match(x, '[+-]?[0-9]+')) AS ints,
+                   count(TRY_CAST(x AS INTEGER)) FILTER (regexp_full_match(x, '[+-]?[0-9]+')) AS small,
+                   count(TRY_CAST(x AS DOUBLE)) AS nums,
+                   count(*) FILTER (x IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false')) AS bools,
+                   greatest(max(length(x)), CASE WHEN count(x) < count(*) THEN 3 ELSE 0 END) AS w
+            FROM (SELECT CASE WHEN v NOT IN ({_MISSING_SQL}) THEN v END AS x
+                  FROM (SELECT CAST("{col}" AS VARCHAR) AS v FROM {view}))))"""
 
 
 @register("infer_types", f"WITH {CSV_VIEWS}\n" + "\nUNION ALL ".join(
-    _infer_row(ds, i + 1, c, k) for ds, _, cols in _INFER_EXPECT for i, (c, k) in enumerate(cols)))
+    _infer_row(ds, view, i + 1, c) for ds, (view, cols) in _VIEWS.items() for i, c in enumerate(cols)))
 def infer_types_q(spark, sf_dir):
-    """Column types of three CSV datasets, one aggregate pass each."""
+    """Column types of all six CSV datasets from one aggregate job."""
     root = csv_root(spark, sf_dir)
-    frames = {ds: read_csv_dataset(spark, f"{root}/{ds}.csv")
-              for ds in ("ncr_ride_bookings", CUSTOMERS, "parts")}
-    out = None
-    for ds, types in infer_types_many(frames).items():
-        t = types_frame(spark, ds, types)
-        out = t if out is None else out.unionByName(t)
-    return out
+    frames = {ds: read_csv_dataset(spark, f"{root}/{ds}.csv") for ds in CSV_DATASETS}
+    return reduce(DataFrame.unionByName,
+                  [types_frame(spark, ds, types) for ds, types in infer_types_many(frames).items()])
+
+
+_DECLARED = [ColumnType("Booking ID", "INTEGER", "int", "int64"),
+             ColumnType("Booking Status", "BOOLEAN", "boolean", "bool"),
+             ColumnType("Booking Value", "DECIMAL(7,2)", "decimal(7,2)", "float64"),
+             ColumnType("Date", "VARCHAR(255)", "string", "object"),
+             ColumnType("Priority (Level)", "INTEGER", "int", "int64")]
+
+
+@register("cast_failures", f"""
+WITH {ORD_V}
+SELECT 'Booking ID' AS column_name, 'INTEGER' AS sql_type,
+       count(*) FILTER (TRY_CAST("Booking ID" AS INTEGER) IS NULL) AS failures FROM ord_v
+UNION ALL SELECT 'Booking Status', 'BOOLEAN', count(*) FILTER ("Booking Status" NOT IN
+       ('True', 'TRUE', 'true', 'False', 'FALSE', 'false')) FROM ord_v
+UNION ALL SELECT 'Booking Value', 'DECIMAL(7,2)', count(*) FILTER ("Booking Value" <> 'NULL'
+       AND TRY_CAST("Booking Value" AS DECIMAL(7,2)) IS NULL) FROM ord_v
+UNION ALL SELECT 'Date', 'VARCHAR(255)', count(*) FILTER (false) FROM ord_v
+UNION ALL SELECT 'Priority (Level)', 'INTEGER', count(*) FILTER ("Priority (Level)" IS NOT NULL
+       AND TRY_CAST("Priority (Level)" AS INTEGER) IS NULL) FROM ord_v
+""")
+def cast_failures_q(spark, sf_dir):
+    """Values of a dataset that the declared column types reject."""
+    return cast_failures(read_csv_dataset(spark, f"{csv_root(spark, sf_dir)}/ncr_ride_bookings.csv"), _DECLARED)
 
 
 @register("string_widths", f"WITH {CUST_V}\n" + "\nUNION ALL ".join(
@@ -202,8 +220,6 @@ def table_replace(spark, sf_dir):
     typed = typed_load(text, infer_types(text), keep=("_src_file", "_src_block", "_src_row"))
     with_ids = surrogate_ids(typed, fresh(spark, "table_replace_stage"))
     warehouse = fresh(spark, "warehouse")
-    replace_table(add_audit_columns(with_ids), warehouse, business_table(CUSTOMERS))
-    # a second load replaces the first table instead of adding to it
     path = replace_table(add_audit_columns(with_ids), warehouse, business_table(CUSTOMERS))
     table = spark.read.parquet(path)
     return table.where(F.col("created_at").isNotNull() & F.col("updated_at").isNotNull()) \
@@ -229,13 +245,25 @@ def recordset_ingest(spark, sf_dir):
     """A record set (fields named ``<set>/<Field+Name>``) -> lower-case
     normalised names -> missing filled with NULL -> CSV file named after the
     set; read back."""
-    rs = customer_view(load(spark, sf_dir, "customer"))
-    rs = rs.toDF(*[f"{_RS}/{c.replace(' ', '+')}" for c in rs.columns])
-    if rs.isEmpty():
-        raise ValueError("empty record set")
-    out = f"{fresh(spark, 'data')}/{normalize_name(_RS, lowercase=True)}"
-    write_csv_dataset(fill_missing(normalize_columns(rs, lowercase=True)), out)
-    return read_csv_dataset(spark, out)
+    rs = _record_set(customer_view(load(spark, sf_dir, "customer")), _RS)
+    return read_csv_dataset(spark, write_record_sets({_RS: rs}, fresh(spark, "data"))[_RS])
+
+
+def _record_set(df, name):
+    return df.toDF(*[f"{name}/{c.replace(' ', '+')}" for c in df.columns])
+
+
+@register("recordset_files", " UNION ALL ".join(
+    f"SELECT '{name}' AS dataset, count(*) AS rows FROM {table}" for name, (table, _, _) in CSV_DATASETS.items()))
+def recordset_files(spark, sf_dir):
+    """Every record set ingested into its own file, one without rows skipped:
+    rows of each file written."""
+    sets = {f"{name}.csv": _record_set(view(load(spark, sf_dir, table)), f"{name}.csv")
+            for name, (table, _, view) in CSV_DATASETS.items()}
+    sets["Empty Set.csv"] = sets["parts.csv"].where(F.lit(False))
+    folder = fresh(spark, "record_sets")
+    write_record_sets(sets, folder)
+    return dataset_row_counts(spark, folder, "*.csv")
 
 
 @register("csv_roundtrip", f"""
@@ -298,16 +326,14 @@ SELECT 6 AS total_datasets,
 def load_report_q(spark, sf_dir):
     """Datasets loaded, records, datasets by source, files not found."""
     frames, missing = _all_frames(spark, sf_dir)
-    nonempty = {n: df for n, df in frames.items() if not df.isEmpty()}   # empty datasets skipped
-    if not nonempty:
-        raise ValueError("no dataset has data")
-    frames = nonempty
     counts = None
     for name, df in frames.items():
         c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
         counts = c if counts is None else counts.unionByName(c)
     local = F.col("dataset").startswith(LOCAL_PREFIX)
-    return counts.agg(F.count(F.lit(1)).cast("int").alias("total_datasets"),
+    loaded = F.count(F.lit(1)).cast("int")
+    none = F.raise_error(F.lit("no dataset has data")).cast("int")
+    return counts.where("rows > 0").agg(F.when(loaded > 0, loaded).otherwise(none).alias("total_datasets"),
                       F.sum("rows").alias("total_records"),
                       F.count_if(~local).cast("int").alias("kaggle_datasets"),
                       F.count_if(local).cast("int").alias("local_datasets"),
@@ -350,7 +376,7 @@ def _profile_sql(with_meta: bool) -> str:
 @register("dataset_profile", _profile_sql(True))
 def dataset_profile(spark, sf_dir):
     """Per dataset: rows, column count and names, inferred dtypes, data
-    bytes and source; one aggregate job per dataset."""
+    bytes and source; one aggregate job for all."""
     frames, _ = _all_frames(spark, sf_dir)
     return profiles_frame(spark, profile_datasets(frames))
 
@@ -365,10 +391,11 @@ def dataset_bytes(spark, sf_dir):
 
 @register("report_json", _profile_sql(True))
 def report_json(spark, sf_dir):
-    """The per-dataset report written as JSON lines and read back with its
-    schema (lists and maps travel as JSON text)."""
+    """The per-dataset report, nested and with its time, written as JSON lines
+    and read back (list and map shown as JSON text)."""
     frames, _ = _all_frames(spark, sf_dir)
-    profile = profiles_frame(spark, profile_datasets(frames))
+    report = report_rows(profiles_frame(spark, profile_datasets(frames)))
     out = fresh(spark, "report_json")
-    write_json_report(profile, out)
-    return spark.read.schema(profile.schema).json(out)
+    write_json_report(report, out)
+    back = spark.read.schema(report.schema).json(out).where(F.col("timestamp").isNotNull()).drop("timestamp")
+    return back.withColumns({c: F.to_json(c) for c in ("column_names", "data_types")})

@@ -3,7 +3,6 @@ area (the cluster's ``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -91,9 +90,5 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
-def local_dir(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = ["build_session", "apply_conventions", "scratch_root", "scratch_path",
-           "fresh_path", "path_exists", "list_names", "local_dir", "os"]
+           "fresh_path", "path_exists", "list_names"]

@@ -7,11 +7,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .constants import TABLE_PREFIX
+from .functions.naming import normalize_name
+from .operators.shape import fill_missing, normalize_columns
+from .sources.csvfiles import write_csv_dataset
 
 
 def replace_table(df: DataFrame, warehouse: str, name: str, fmt: str = "parquet") -> str:
-    """Drop-and-recreate as an overwrite of ``<warehouse>/<name>``; the
-    readers see the old or the new table, never a mix (file commit)."""
+    """Drop-and-recreate as an overwrite of ``<warehouse>/<name>``.  The old
+    files go before the new ones are committed, so a plain file table must not
+    be read meanwhile; a lake format (``fmt="delta"``) swaps versions."""
     path = f"{warehouse.rstrip('/')}/{name}"
     df.write.mode("overwrite").format(fmt).save(path)
     return path
@@ -32,12 +36,28 @@ def cluster_by_time(df: DataFrame, column: str, num_partitions: int | None = Non
     group covers a narrow time slice: range filters on it skip the rest via
     parquet min/max statistics.  (A streaming append is already clustered by
     arrival time; this is for batch rewrites.)"""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # A bulk load stamps many rows with one time; the content hash splits
     # such a value over several ranges instead of one task.
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return (df.withColumn("_tie", tie).repartitionByRange(n, F.col(column), F.col("_tie"))
-            .sortWithinPartitions(column).drop("_tie"))
+    tied, by = df.withColumn("_tie", tie), (F.col(column), F.col("_tie"))
+    # without a number AQE sizes the ranges
+    ranged = tied.repartitionByRange(num_partitions, *by) if num_partitions else tied.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(column).drop("_tie")
+
+
+def write_record_sets(sets: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """Record sets -> one CSV dataset each, named after the set: lower-case
+    normalised names, missing values filled.  Sets without rows are skipped; an
+    error when none has rows.  Returns the path of each set written."""
+    paths = {}
+    for name, rows in sets.items():
+        if rows.isEmpty():
+            continue
+        paths[name] = f"{folder.rstrip('/')}/{normalize_name(name, lowercase=True)}"
+        write_csv_dataset(fill_missing(normalize_columns(rows, lowercase=True)), paths[name])
+    if not paths:
+        raise ValueError("no record set has data")
+    return paths
 
 
 def write_json_report(df: DataFrame, path: str) -> None:

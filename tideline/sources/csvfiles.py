@@ -46,17 +46,6 @@ def read_local_csv_files(spark: SparkSession, paths: list[str], with_position: b
     return frames, missing
 
 
-def scan_datasets(spark: SparkSession, root: str, pattern: str = KAGGLE_GLOB) -> DataFrame:
-    """Rows of every dataset under ``root`` whose name matches ``pattern``,
-    tagged with ``dataset``.  Columns are positional (``_c0`` ...) because
-    datasets differ in layout; header lines are skipped per file."""
-    df = (spark.read.option("header", "false").option("escape", '"')
-          .csv(f"{root.rstrip('/')}/{pattern}"))
-    path = F.col("_metadata.file_path")
-    return df.select(dataset_from_path(path).alias("dataset"), path.alias("_file"),
-                     F.col("_metadata.file_block_start").alias("_block"), "*")
-
-
 def dataset_row_counts(spark: SparkSession, root: str, pattern: str = KAGGLE_GLOB) -> DataFrame:
     """Data rows per dataset (header lines excluded): one partial aggregate."""
     df = spark.read.options(**CSV_OPTIONS).csv(f"{root.rstrip('/')}/{pattern}")
@@ -64,13 +53,6 @@ def dataset_row_counts(spark: SparkSession, root: str, pattern: str = KAGGLE_GLO
     return df.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def dataset_names(spark: SparkSession, root: str, pattern: str = "*.csv") -> list[str]:
-    """Dataset names in a folder (file listing only, no data read)."""
-    from ..session import list_names
-    import fnmatch
-    return [n[:-4] for n in list_names(spark, root) if fnmatch.fnmatch(n, pattern)]
-
-
 def write_csv_dataset(df: DataFrame, path: str) -> None:
     """Dataset -> CSV with a header and no index column (B5)."""
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)

@@ -78,6 +78,8 @@ class TopicSource:
         if self.bootstrap:
             _require_kafka(spark)
             return spark.readStream.format("kafka").options(**self._kafka_options()).load()
+        if self.starting_offsets != "earliest":
+            raise ValueError("a wire table is streamed from its first file: starting_offsets='earliest'")
         reader = spark.readStream.schema(WIRE_SCHEMA)
         if self.max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_per_trigger)
@@ -90,7 +92,7 @@ class TopicSource:
             _require_kafka(spark)
             opts = self._kafka_options()
             if opts["startingOffsets"] == "latest":
-                opts["startingOffsets"] = "earliest"
+                raise ValueError("a bounded read starts at 'earliest' or at an offset map")
             opts["endingOffsets"] = ending_offsets
             opts.pop("maxOffsetsPerTrigger", None)
             return spark.read.format("kafka").options(**opts).load()
