@@ -63,8 +63,10 @@ def offset_range(wire: DataFrame, starting="earliest", ending="latest",
     need_end = (starting == "latest" or default_start == "latest"
                 or any(o == LATEST for _, _, o in start_rows))
     if need_end:
-        # one row per topic-partition: bounded by the topic layout, not the data
-        ends = F.broadcast(end_offsets(wire).select("topic", "partition", F.col("end_offset").alias("_end")))
+        ends = end_offsets(wire).select("topic", "partition", F.col("end_offset").alias("_end"))
+        head = ends.limit(BROADCAST_MAX_ROWS + 1).collect()          # one row per topic-partition
+        if len(head) <= BROADCAST_MAX_ROWS:
+            ends = offset_map(spark, [tuple(r) for r in head], "_end")
         out = out.join(ends, ["topic", "partition"], "left")
     if starting == "latest":
         out = out.where(F.col("offset") >= F.col("_end"))

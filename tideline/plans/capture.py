@@ -14,10 +14,11 @@ from ..schemas import ROW_STATE
 from .fixtures import envelope_wire, load
 from .registry import register
 from .sqlparts import BOOKING_TEXT, ENV_CTE, EVENTS_CTE, RIDE_TEXT, TS_TEXT
+from .staging import staged_wire
 
 
 def _envelopes(spark, sf_dir):
-    return envelope_wire(load(spark, sf_dir, "events"))
+    return staged_wire(spark, sf_dir, "envelope_wire", lambda: envelope_wire(load(spark, sf_dir, "events")))
 
 
 @register("capture_filter", f"""

@@ -10,8 +10,14 @@ from ..functions.timefmt import micros_to_text, micros_to_timestamp
 from ..operators.flatten import flatten_changes, parse_records
 from .fixtures import capture_wire, load
 from .registry import register
+from .staging import staged_wire
 from .sqlparts import BOOKING_TEXT, EVENTS_CTE, RIDE_TEXT, TS_TEXT
 
+
+def captured(spark, sf_dir):
+    return staged_wire(spark, sf_dir, "capture_wire", lambda: capture_wire(load(spark, sf_dir, "events")))
+
+
 FLAT_ORACLE = f"""
 WITH {EVENTS_CTE}
 SELECT CASE WHEN NOT bad THEN i END AS id,
@@ -28,7 +34,7 @@ FROM ev
 def cdc_flatten(spark, sf_dir):
     """Flagship: capture topic -> parse -> clean -> cast (one output row per
     message; tombstones and malformed messages give all-NULL rows)."""
-    wire = capture_wire(load(spark, sf_dir, "events"))
+    wire = captured(spark, sf_dir)
     return flatten_changes(wire, processed_at=False)
 
 
@@ -43,7 +49,7 @@ FROM ev
 def cdc_parse(spark, sf_dir):
     """The six fields of each change record, special names included."""
     d = F.col("data")
-    return parse_records(capture_wire(load(spark, sf_dir, "events")), keep=("partition", "offset")).select(
+    return parse_records(captured(spark, sf_dir), keep=("partition", "offset")).select(
         "partition", "offset", d.getField("id").alias("id"), d.getField(OP_FIELD).alias("op"),
         d.getField("created_at").alias("created_at"), d.getField("updated_at").alias("updated_at"),
         d.getField(BOOKING_FIELD).alias("booking_text"), d.getField(RIDE_FIELD).alias("ride_text"))
@@ -62,7 +68,7 @@ def clean_values(spark, sf_dir):
     """Byte-literal texts stripped, and as doubles (other text -> NULL)."""
     d = F.col("data")
     booking, ride = (clean_byte_literal(d.getField(f)) for f in (BOOKING_FIELD, RIDE_FIELD))
-    return parse_records(capture_wire(load(spark, sf_dir, "events")), keep=("partition", "offset")).select(
+    return parse_records(captured(spark, sf_dir), keep=("partition", "offset")).select(
         "partition", "offset", booking.alias("booking_clean"), to_double(booking).alias("booking_value"),
         ride.alias("ride_clean"), to_double(ride).alias("ride_distance"))
 
@@ -76,6 +82,6 @@ FROM ev
 def micros_to_ts(spark, sf_dir):
     """Epoch micros as text and as a typed timestamp (shown by its micros)."""
     created = F.col("data").getField("created_at")
-    return parse_records(capture_wire(load(spark, sf_dir, "events")), keep=("partition", "offset")).select(
+    return parse_records(captured(spark, sf_dir), keep=("partition", "offset")).select(
         "partition", "offset", micros_to_text(created).alias("created_at_ts"),
         F.unix_micros(micros_to_timestamp(created)).alias("created_us"))

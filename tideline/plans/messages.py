@@ -10,16 +10,17 @@ from ..operators.flatten import decode_value
 from ..operators.validate import (match_messages, message_previews, validate_messages,
                                   validation_summary)
 from ..sources.topic import TopicSource
-from .fixtures import capture_wire, load, mixed_wire
+from .changes import captured
+from .fixtures import load, mixed_wire
 from .registry import register
 from .sqlparts import CAPTURE_TEXT, EVENTS_CTE, MIXED_REASON, MIXED_TEXT, VALID_OF
-from .staging import staged
+from .staging import staged, staged_wire
 
 _KEYS = ("topic", "partition", "offset")
 
 
 def _mixed(spark, sf_dir):
-    return mixed_wire(load(spark, sf_dir, "events"))
+    return staged_wire(spark, sf_dir, "mixed_wire", lambda: mixed_wire(load(spark, sf_dir, "events")))
 
 
 @register("wire_decode", f"""
@@ -28,7 +29,7 @@ SELECT '{CAPTURE_TOPIC}' AS topic, part AS partition, off3 AS "offset", {CAPTURE
 """)
 def wire_decode(spark, sf_dir):
     """Message bytes -> UTF-8 text (tombstones stay NULL)."""
-    wire = capture_wire(load(spark, sf_dir, "events"))
+    wire = captured(spark, sf_dir)
     return wire.select(*_KEYS, decode_value("value").alias("json_str"))
 
 
@@ -52,7 +53,7 @@ def stream_validate(spark, sf_dir):
     stream (availableNow), appended to a table and read back."""
     from ..streaming.jobs import run_available, start_validation_stream
     from .staging import fresh
-    path = staged(spark, sf_dir, "mixed_wire", lambda: _mixed(spark, sf_dir))
+    path = staged(spark, sf_dir, "mixed_wire", lambda: mixed_wire(load(spark, sf_dir, "events")))
     src = TopicSource(topics=BUSINESS_TOPICS, wire_path=path, starting_offsets="earliest")
     out = fresh(spark, "stream_validate")
     run_available(start_validation_stream(spark, src, out, trigger="availableNow"))
@@ -99,7 +100,7 @@ SELECT mixed_topic AS topic, part AS partition, off6 AS "offset", {MIXED_TEXT} A
 def topics_union(spark, sf_dir):
     """Both business topics (plus one that does not exist) read as one
     bounded stream from a staged wire table."""
-    path = staged(spark, sf_dir, "mixed_wire", lambda: _mixed(spark, sf_dir))
+    path = staged(spark, sf_dir, "mixed_wire", lambda: mixed_wire(load(spark, sf_dir, "events")))
     src = TopicSource(topics=BUSINESS_TOPICS + ("business_postgres.public.absent",),
                       wire_path=path, starting_offsets="earliest")
     return src.read(spark).select(*_KEYS, decode_value("value").alias("json_str"))

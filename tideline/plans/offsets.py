@@ -10,6 +10,7 @@ from ..operators.offsets import consumer_lag, offset_range, topic_offsets
 from .fixtures import load, mixed_wire
 from .registry import register
 from .sqlparts import EVENTS_CTE
+from .staging import staged_wire
 
 START_SPEC = json.dumps({CAPTURE_TOPIC: {"0": 100, "1": -2, "2": -1}})
 END_SPEC = json.dumps({PRODUCER_TOPIC: {"0": 50}})
@@ -21,7 +22,7 @@ ends AS (SELECT mixed_topic AS topic, part AS partition, min(off6) AS start_offs
 
 
 def _mixed(spark, sf_dir):
-    return mixed_wire(load(spark, sf_dir, "events"))
+    return staged_wire(spark, sf_dir, "mixed_wire", lambda: mixed_wire(load(spark, sf_dir, "events")))
 
 
 @register("topic_offsets", f"""

@@ -10,6 +10,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schemas import WIRE_SCHEMA
 from ..session import fresh_path, path_exists, scratch_path
 
 
@@ -43,5 +44,10 @@ def staged(spark: SparkSession, sf_dir: str, name: str, build, fmt: str = "parqu
     return path
 
 
+def staged_wire(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A wire table written by ``build()`` once; the query only reads it."""
+    return spark.read.schema(WIRE_SCHEMA).parquet(staged(spark, sf_dir, name, build))
+
+
 def fresh(spark: SparkSession, name: str) -> str:
     return fresh_path(spark, "runs", name)
