@@ -194,6 +194,14 @@ def test_near_edges_give_the_components_of_all_pairs(spark, blocks, bucket):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, same.values()))
 
 
+def test_hot_and_other_keys_join_alike(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 2500).alias("k"), "id")
+    table = rows.groupBy("k").agg(F.min("id").alias("low"), F.count("*").alias("n"))
+    got = simhash.join_by_key(rows, table, "k", "n", 6000)
+    plain = rows.join(table.drop("n"), "k")
+    assert got.count() == 6000 and got.exceptAll(plain).count() == 0
+
+
 def test_simhash_edge_cases(edge, none):
     got = simhash.near_groups(edge).collect()
     assert len(got) == len(EDGE_ROWS)

@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 
 from .common import connected_components, materialize, text_of
 
+#: See ``join_by_key``.
+HOT_SHARE = 1000
 CHUNK = 1 << 15          # shingles counted at a time, so long texts stay bounded
 
 
@@ -133,12 +135,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                    fingerprint_column(t, shingle).alias("fp")), "simhash-fingerprints")
 
 
-def _labelled(fps: DataFrame, distance: int, blocks: int) -> DataFrame:
-    """``fps`` with ``cid``, the smallest fingerprint of its component."""
-    edges = near_edges(fps.select("fp").distinct(), distance, blocks)
-    comp = connected_components(edges, "simhash-components")
-    return fps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "cid", F.coalesce("component", "fp")).drop("component")
+def _labelled(fps: DataFrame, pick: Column, distance: int, blocks: int) -> DataFrame:
+    """Per distinct fingerprint: its number of rows ``n``, the least ``pick``
+    of them, and ``cid``, the smallest fingerprint of its component."""
+    each = materialize(fps.groupBy("fp").agg(F.min(pick).alias("pick"), F.count("*").alias("n")), "simhash-distinct")
+    comp = connected_components(near_edges(each.select("fp"), distance, blocks), "simhash-components")
+    return materialize(each.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "n", "pick", F.coalesce("component", "fp").alias("cid")), "simhash-labelled")
+
+
+def join_by_key(rows: DataFrame, table: DataFrame, key: str, held: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row a key and says how many
+    of the ``total`` rows hold it.  Keys that more than one row in ``HOT_SHARE``
+    holds, of which there are fewer than ``HOT_SHARE`` at any size, are joined by
+    broadcast, so no group of rows meets in one task."""
+    hot = F.col(held) * HOT_SHARE > total
+    rest = rows.join(F.broadcast(table.where(hot).select(key)), key, "left_anti")
+    return rows.join(F.broadcast(table.where(hot).drop(held)), key).unionByName(
+        rest.join(table.where(~hot).drop(held), key))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -148,9 +162,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``distance`` differing bits.  Null ids never name a component unless it
     holds nothing else; an empty table gives an empty result."""
     fps = fingerprints(docs, id_col, text_col, shingle)
-    rows = _labelled(fps, distance, blocks)
-    names = rows.groupBy("cid").agg(F.min("_id").alias("component_id"))
-    return rows.join(names, "cid").select(
+    each = _labelled(fps, F.col("_id"), distance, blocks)
+    total = each.agg(F.count("*").alias("fps"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    names = materialize(each.groupBy("cid").agg(F.min("pick").alias("component_id"), F.count("*").alias("members")),
+                        "simhash-names")
+    named = materialize(join_by_key(each.select("fp", "n", "cid"), names, "cid", "members", total["fps"])
+                        .select("fp", "n", "component_id"), "simhash-named")
+    return join_by_key(fps.select("_id", "fp"), named, "fp", "n", total["rows"]).select(
         F.col("_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -159,9 +177,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` with one row per component: the smallest id, ties broken by
     the text's hash; columns unchanged."""
     fps = fingerprints(docs, id_col, text_col, shingle)
-    rows = _labelled(fps, distance, blocks)
     key = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_h").alias("h"))
-    kept = materialize(rows.groupBy("cid").agg(F.min(key).alias("k")).select("k.id", "k.h"), "simhash-kept")
+    kept = materialize(_labelled(fps, key, distance, blocks).groupBy("cid").agg(F.min("pick").alias("k"))
+                       .select("k.id", "k.h"), "simhash-kept")
     tagged = docs.withColumn("_tl_id", docs[id_col]).withColumn(
         "_tl_h", F.md5(text_of(docs, text_col).cast("binary")))
     out = tagged.join(kept, tagged["_tl_id"].eqNullSafe(kept["id"]) & (tagged["_tl_h"] == kept["h"]), "left_semi")
