@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,8 +94,9 @@ def _variants(fps: DataFrame, blocks: int, distance: int) -> DataFrame:
 def _star(fps: DataFrame, distance: int) -> DataFrame:
     """Edges of the whole-word ball: each bucket's members to its smallest."""
     v = _variants(fps, 1, distance)
-    low = v.groupBy("key").agg(F.min("fp").alias("low"), F.count("*").alias("n")).where("n > 1")
-    return (v.join(low, "key").where("fp <> low")
+    low = materialize(v.groupBy("key").agg(F.min("fp").alias("low"), F.count("*").alias("n")).where("n > 1"),
+                      "simhash-stars")
+    return (join_by_key(v, low, "key", "n", fps.count() * len(ball(64, -(-distance // 2)))).where("fp <> low")
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("low"))) <= distance)
             .select(F.col("fp").alias("a"), F.col("low").alias("b")).distinct())
 
@@ -106,9 +107,11 @@ def near_edges(fps: DataFrame, distance: int = 4, blocks: int = 2, bucket: int =
     if blocks == 1:
         return _star(fps, distance)
     v = _variants(fps, blocks, distance)
-    sized = v.withColumn("n", F.count("*").over(Window.partitionBy("block", "key"))).where("n > 1")
-    sized = materialize(sized, "simhash-buckets")
     width = 64 // blocks
+    emitted = fps.count() * blocks * len(ball(width, -(-(distance // blocks) // 2)))
+    sizes = v.groupBy("block", "key").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = materialize(sizes.withColumn("held", F.col("n")), "simhash-buckets")
+    sized = materialize(join_by_key(v, sizes, ["block", "key"], "held", emitted), "simhash-sized")
     word = F.expr(f"shiftrightunsigned(fp, block * {width}) & {(1 << width) - 1}")
     small = sized.where(F.col("n") <= bucket).select("block", "key", "fp", word.alias("w"))
     a = small.withColumnsRenamed({"fp": "a", "w": "wa"})
@@ -119,7 +122,7 @@ def near_edges(fps: DataFrame, distance: int = 4, blocks: int = 2, bucket: int =
         # a pair meets on up to 33 variants of a block; it counts on the one nearest to a
         pairs = pairs.where("key = CASE WHEN bit_count(wa ^ wb) < 2 THEN wa ELSE wa ^ ((wa ^ wb) & -(wa ^ wb)) END")
     pairs = pairs.select("a", "b").distinct()
-    crowded = sized.where(F.col("n") > bucket).select("fp").distinct()
+    crowded = materialize(sized.where(F.col("n") > bucket).select("fp").distinct(), "simhash-crowded")
     if not crowded.isEmpty():
         pairs = pairs.unionByName(_star(crowded, distance))
     return pairs
@@ -144,15 +147,16 @@ def _labelled(fps: DataFrame, pick: Column, distance: int, blocks: int) -> DataF
         "fp", "n", "pick", F.coalesce("component", "fp").alias("cid")), "simhash-labelled")
 
 
-def join_by_key(rows: DataFrame, table: DataFrame, key: str, held: str, total: int) -> DataFrame:
+def join_by_key(rows: DataFrame, table: DataFrame, key: str | list[str], held: str, total: int) -> DataFrame:
     """``rows`` joined with ``table``, which has one row a key and says how many
     of the ``total`` rows hold it.  Keys that more than one row in ``HOT_SHARE``
     holds, of which there are fewer than ``HOT_SHARE`` at any size, are joined by
-    broadcast, so no group of rows meets in one task."""
-    hot = F.col(held) * HOT_SHARE > total
-    rest = rows.join(F.broadcast(table.where(hot).select(key)), key, "left_anti")
-    return rows.join(F.broadcast(table.where(hot).drop(held)), key).unionByName(
-        rest.join(table.where(~hot).drop(held), key))
+    broadcast, so no group of rows meets in one task; the others by a merge join
+    at every size."""
+    keys, hot = [key] if isinstance(key, str) else key, F.col(held) * HOT_SHARE > total
+    rest = rows.join(F.broadcast(table.where(hot).select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(table.where(hot).drop(held)), keys).unionByName(
+        rest.join(table.where(~hot).drop(held).hint("merge"), keys))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
