@@ -321,6 +321,15 @@ def test_link_calls(spark):
     assert chat.link_calls(calls.limit(0), results.limit(0), schemas).count() == 0
 
 
+def test_lookup_tables_join_alike_below_and_beyond_the_bound(spark):
+    from tideline.llm.common import lookup
+    table = spark.range(50).select("id", (F.col("id") * 2).alias("twice"))
+    rows = spark.range(500).select((F.col("id") % 70).alias("id"))
+    small, large = rows.join(lookup(table, 50), "id"), rows.join(lookup(table, 49), "id")
+    assert lookup(table, 49) is table and lookup(table, 50) is not table
+    assert small.count() == large.count() and small.exceptAll(large).count() == 0
+
+
 def test_call_levels_of_a_long_chain(spark):
     rows = [(str(i), str(i - 1) if i else None) for i in range(100)]
     got = {r.call_id: r.level for r in chat.call_levels(

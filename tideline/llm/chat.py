@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table
+from .common import lookup, materialize, read_table
 
 
 def call_levels(calls: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -49,25 +49,24 @@ def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     is_object = F.coalesce(kind == "OBJECT", F.lit(False))
     broken = parsed.where(~is_object).select("call_id", F.lit("arguments: not an object").alias("error"))
     good = parsed.where(is_object)
-    good.createOrReplaceTempView("_tl_call_arguments")
-    given = good.sparkSession.sql(
-        "SELECT call_id, name, f.key AS field, schema_of_variant(f.value) AS _type "
-        "FROM _tl_call_arguments, LATERAL variant_explode(_v) AS f")
+    fields = calls.sparkSession.tvf.variant_explode(F.col("_v").outer())
+    given = good.lateralJoin(fields).select(
+        "call_id", "name", F.col("key").alias("field"), F.schema_of_variant("value").alias("_type"))
     head = F.regexp_extract("_type", r"^(\w+)", 1)
     given = given.select("call_id", "name", "field", F.when(head == "BIGINT", "integer").when(
         head.isin("DECIMAL", "DOUBLE", "FLOAT"), "number").when(head == "ARRAY", "array").when(
         head == "OBJECT", "object").when(head == "VOID", "null").otherwise(F.lower(head)).alias("_given"))
     wanted = schemas.select("name", "field", "kind")
-    wrong = given.join(F.broadcast(wanted), ["name", "field"], "left").where(
+    wrong = given.join(lookup(wanted), ["name", "field"], "left").where(
         F.col("kind").isNull() | ~((F.col("kind") == F.col("_given"))
                                    | ((F.col("kind") == "number") & (F.col("_given") == "integer"))))
     wrong = wrong.select("call_id", F.when(F.col("kind").isNull(), F.concat("field", F.lit(": unknown"))).otherwise(
         F.concat("field", F.lit(": not "), "kind")).alias("error"))
-    must = good.select("call_id", "name").join(F.broadcast(schemas.where("required").select("name", "field")), "name")
+    must = good.select("call_id", "name").join(lookup(schemas.where("required").select("name", "field")), "name")
     absent = must.join(given.select("call_id", "field"), ["call_id", "field"], "left_anti").select(
         "call_id", F.concat("field", F.lit(": missing")).alias("error"))
     tools = schemas.select("name").distinct()
-    unknown = good.join(F.broadcast(tools), "name", "left_anti").select(
+    unknown = good.join(lookup(tools), "name", "left_anti").select(
         "call_id", F.concat(F.lit("tool: unknown")).alias("error"))
     # at most a few errors a call: one per field of its schema or its own arguments
     return (broken.unionByName(wrong).unionByName(absent).unionByName(unknown).groupBy("call_id")

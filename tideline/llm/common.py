@@ -22,6 +22,16 @@ def crc_fold(id_col: Column, modulus: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % modulus
 
 
+#: Rows of a caller's lookup table up to which it is broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def lookup(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``table`` marked for broadcast where it has at most ``rows`` rows; beyond
+    that Spark picks the join."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back, which
     cuts the lineage at files that every executor can see."""

@@ -3,14 +3,15 @@
 A text is normalised (case, punctuation, copyright lines, equivalent
 spellings, blanks), hashed as a whole and hash-joined to the digests of known
 licence texts; its lines are looked up in the same way against known notices.
-The known table is a fixed list, so it is broadcast."""
+The known table is a fixed list, so it is broadcast; a table of the caller only
+below a row bound."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import lookup, text_of
 
 # Published licence texts and notices, by SPDX identifier.
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -108,7 +109,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Null text is empty and matches nothing; repeated rows get the same result;
     an empty table gives an empty result; other columns are ignored."""
-    known = F.broadcast(known if known is not None else known_digests(docs.sparkSession))
+    known = lookup(known) if known is not None else F.broadcast(known_digests(docs.sparkSession))   # a fixed list
     rows = docs.select(docs[id_col].alias("doc_id"), canonical_lines(text_of(docs, text_col)).alias("_lines"))
     rows = rows.withColumn("canonical_sha256", F.sha2(canonical(F.col("_lines")), 256))
     line = F.explode(F.array_distinct(F.transform(F.split("_lines", "\n"), lambda x: F.trim(x))))
