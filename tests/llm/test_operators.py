@@ -411,6 +411,21 @@ def test_rank_file_gives_the_tokenizer_files_ids(docs):
         assert one.encode(t, add_special_tokens=False).ids == encode(t)
 
 
+def test_packed_ids_are_those_of_the_unmodified_tokenizer_file(spark):
+    from tokenizers import Tokenizer
+    one = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"page{end}next", end, end * 3, f" a {end} b\n\n {end}\n", f"<|{end}|>", end[:-1] + " " + end[1:],
+             end.upper(), "word " * 3000 + end + " tail" * 3000, "plain"]
+    want = {}
+    for i, t in enumerate(texts):
+        ids = np.array([*one.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        cuts = [0, *range(len(ids) % 2048 or 2048, len(ids) + 1, 2048)]
+        want |= {(i, a): (b - a, zlib.crc32(ids[a:b].tobytes())) for a, b in zip(cuts, cuts[1:])}
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.start): (r.length, r.ids_crc32) for r in rows} == want
+
+
 def test_packing_edge_cases(edge, none):
     rows = packing.pack(edge).collect()
     _check_packing(rows, 2048)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, text_of
-from .tokens import encoding, vocabulary_path
+from .tokens import tokenizer_encode, vocabulary_path
 
 Pattern = tuple[int, ...]
 
@@ -187,9 +187,10 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0, id_
     """``doc_id, piece, start, length, ids_crc32``: the ids of each text and
     ``end_id``, cut when longer than ``capacity``; the first piece is then the
     shorter one.  The rank file holds the same vocabulary as the tokenizer
-    file of that name and gives the same ids several times faster."""
+    file of that name and gives the same ids several times faster; the added
+    tokens come from the tokenizer file."""
     def cut(batches):
-        encode = encoding(vocabulary).encode_ordinary
+        encode = tokenizer_encode(vocabulary)
         for pdf in batches:
             out = []
             for doc, text in zip(pdf["doc_id"], pdf["text"]):

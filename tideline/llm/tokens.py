@@ -5,6 +5,8 @@ Python worker and never copied."""
 from __future__ import annotations
 
 import base64
+import json
+import os
 from functools import lru_cache
 
 import regex
@@ -30,6 +32,30 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks(path), special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def added_tokens(path: str) -> dict[str, int]:
+    """Added tokens of the tokenizer file beside a rank file; none without one."""
+    file = path.removesuffix(".tiktoken") + ".json"
+    if not os.path.exists(file):
+        return {}
+    with open(file, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    for t in added:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]:
+            raise ValueError(f"{file}: added token {t['content']!r} is not matched literally")
+    return {t["content"]: t["id"] for t in added}
+
+
+@lru_cache(maxsize=4)
+def tokenizer_encode(path: str):
+    """``text -> ids`` as the tokenizer file gives them without the tokens of a
+    template: its added tokens are cut out first."""
+    added = added_tokens(path)
+    own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks(path), special_tokens=added)
+    names = set(added)
+    return lambda text: own.encode(text, allowed_special=names, disallowed_special=())
+
+
 @lru_cache(maxsize=4)
 def token_bytes(path: str) -> dict[int, bytes]:
     return {rank: token for token, rank in ranks(path).items()}
