@@ -458,6 +458,36 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert sum(n for _, n in bins) == _fewest(items, 20)
 
 
+def test_bin_completion_reaches_the_bound_on_coarse_histograms():
+    for k in (10, 1000, 100_000):
+        for hist in ({1000: k, 262: 4 * k}, {1048: k, 250: 4 * k, 400: 5}, {1048: k, 250: 4 * k, 400: 50}):
+            bins = packing.complete_bins(hist, 2048)
+            assert sum(n for _, n in bins) == packing.lower_bound(hist, 2048)
+            assert sum((Counter({l: c * n for l, c in Counter(p).items()}) for p, n in bins), Counter()) == hist
+            assert all(sum(p) <= 2048 for p, _ in bins)
+
+
+def test_all_fillings_are_the_undominated_sets():
+    from itertools import product
+    rng = np.random.default_rng(6)
+    for _ in range(100):
+        room, counts = int(rng.integers(1, 25)), np.zeros(40, np.int64)
+        for l in rng.integers(1, 25, rng.integers(1, 6)):
+            counts[l] += rng.integers(1, 4)
+        have = [l for l in range(1, room + 1) if counts[l]]
+        want = set()
+        for ks in product(*[range(counts[l] + 1) for l in have]):
+            waste = room - sum(l * k for l, k in zip(have, ks))
+            if waste < 0:
+                continue
+            parts = [(sum(l * k for l, k in zip(have, js)), sum(js)) for js in product(*[range(k + 1) for k in ks])]
+            unused = [l for l, k in zip(have, ks) if counts[l] > k]
+            if not any(s <= x <= s + waste and (m != 1 or s < x) for x in unused for s, m in parts):
+                want.add(tuple(sorted((l for l, k in zip(have, ks) for _ in range(k)), reverse=True)))
+        got = [p for p in packing.all_fillings(counts, room) if p is not None]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_best_fit_and_completion_keep_every_item():
     rng = np.random.default_rng(8)
     for _ in range(20):

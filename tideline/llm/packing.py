@@ -3,16 +3,18 @@
 Pieces of one length are interchangeable, so the packing problem of any table
 is its histogram of lengths: at most ``capacity`` counts, whatever the number
 of documents.  The search runs on that histogram: it takes the largest length
-left, enumerates undominated fillings of the space beside it and applies one
-as often as the counts allow; branches are pruned by the waste they already
-have against the best packing known, and best-fit decreasing is the first
-incumbent.  Spark tokenises, counts, numbers the pieces within their length
+left, enumerates undominated fillings of the space beside it, the likely ones
+first and then all, and applies one as often as the counts allow, later also
+once; branches are pruned by the waste they already have against the best
+packing known, and best-fit decreasing is the first incumbent.  Spark tokenises, counts, numbers the pieces within their length
 and lays them out."""
 
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -69,8 +71,8 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
     return [(p, n) for p, n in bins.items() if n]
 
 
-def fillings(counts: np.ndarray, room: int, width: int = 4) -> list[Pattern]:
-    """Undominated sets of lengths for ``room``, least waste first.
+def likely_fillings(counts: np.ndarray, room: int, width: int = 4) -> list[Pattern]:
+    """A few good sets of lengths for ``room``, least waste first.
 
     One length is dominated by a larger single one and two by a pair of a larger
     sum with the same larger member, so only the largest fit beside each choice is
@@ -82,7 +84,7 @@ def fillings(counts: np.ndarray, room: int, width: int = 4) -> list[Pattern]:
     if room > 3 * largest:                            # far from full: start with the largest
         n = min(int(counts[largest]), room // largest - 2)
         counts[largest] -= n
-        rest = fillings(counts, room - n * largest, width)
+        rest = likely_fillings(counts, room - n * largest, width)
         counts[largest] += n
         return [(largest,) * n + p for p in rest]
     fit = np.full(room + 1, -1, np.int64)             # largest length <= index
@@ -122,35 +124,120 @@ def _pairs(counts: np.ndarray, have: np.ndarray, fit: np.ndarray, room: int,
     return [(int(room - x[k] - y[k]), (*head, int(x[k]), int(y[k]))) for k in order]
 
 
+def all_fillings(counts: np.ndarray, room: int) -> Iterator[Pattern | None]:
+    """Every undominated set of lengths for ``room``, depth-first with members in
+    descending order; None for each dead end or dominated set met on the way.
+
+    A set is dominated where an unused length still fits, or fits in place of one
+    smaller member or of several whose sum is not larger.  Only sums that the
+    lengths left can reach are followed."""
+    have = np.flatnonzero(counts[:room + 1])[::-1].tolist()
+    count = {l: int(counts[l]) for l in have}
+    mask = (1 << (room + 1)) - 1
+    reach = [1]                                       # bit s: the lengths from here on can sum to s
+    for l in reversed(have):
+        bits, n, step = reach[-1], min(count[l], room // l), 1
+        while n:
+            take = min(step, n)
+            bits |= (bits << take * l) & mask
+            n, step = n - take, 2 * step
+        reach.append(bits)
+    reach.reverse()
+
+    def within(bits: int, low: int, high: int) -> bool:
+        return bool(high >= low and bits >> low & ((1 << (high - low + 1)) - 1))
+
+    def undominated(p: Pattern, waste: int) -> bool:
+        used = Counter(p)
+        one = many = 0                                # bit s: the sum of one member, of several
+        for l in p:
+            many |= (many | one) << l
+            one |= 1 << l
+        for x in have:
+            if count[x] > used[x] and (x <= waste or within(many, max(1, x - waste), x)
+                                       or within(one, max(1, x - waste), x - 1)):
+                return False
+        return True
+
+    def sets(start: int, left: int, limit: int, above: int, head: Pattern) -> Iterator[Pattern | None]:
+        # the waste must stay below limit; above is the smallest unused length so far
+        met = False
+        for j in range(max(start, bisect_left(have, -left, key=int.__neg__)), len(have)):
+            l = have[j]
+            if j > start:
+                above = have[j - 1]
+            bound = min(limit, above - l)
+            if not within(reach[j], max(0, left - bound + 1), left):
+                continue
+            for c in range(min(count[l], left // l), 0, -1):
+                met = True
+                yield from sets(j + 1, left - c * l, bound, l if c < count[l] else above, head + (l,) * c)
+        if left < limit and undominated(head, left):
+            met = True
+            yield head
+        if not met:
+            yield None
+    return sets(0, room, room + 1, 2 * room + 2, ())
+
+
 def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int = 20_000) -> list[tuple[Pattern, int]]:
-    """Bins as ``(lengths, how often)``.  The search ends at the lower bound, or
-    after ``max_nodes`` bin choices with the best packing found so far."""
+    """Bins as ``(lengths, how often)``.
+
+    Up to three searches of ``max_nodes`` bin choices each: over the likely
+    fillings, over all undominated ones, and over all with each also applied just
+    once, which leaves no packing out.  They end at the lower bound, or with the
+    best packing found."""
     histogram = {l: n for l, n in histogram.items() if n}
     if not histogram:
         return []
     if min(histogram) < 1 or max(histogram) > capacity:
         raise ValueError("lengths must be between 1 and the capacity")
-    bound = lower_bound(histogram, capacity)
     best = best_fit(histogram, capacity)
+    for everything, once in ((False, False), (True, False), (True, True)):
+        best = _search(histogram, capacity, max_nodes, best, everything, once)
+    return best
+
+
+def _search(histogram: dict[int, int], capacity: int, max_nodes: int, best: list[tuple[Pattern, int]],
+            everything: bool, once: bool) -> list[tuple[Pattern, int]]:
+    bound = lower_bound(histogram, capacity)
     best_bins = sum(n for _, n in best)
+    if best_bins <= bound:
+        return best
     counts = np.zeros(capacity + 1, np.int64)
     for l, n in histogram.items():
         counts[l] = n
     tokens_left = int(sum(l * n for l, n in histogram.items()))
     used, chosen = 0, []                              # bins so far; (pattern, times)
-    stack: list[list[Pattern]] = []
+    stack: list[Iterator[tuple[Pattern, int] | None]] = []
     nodes = 0
 
-    def choices() -> list[Pattern]:
+    def choices() -> Iterator[tuple[Pattern, int] | None]:
         top = int(np.flatnonzero(counts)[-1])
         counts[top] -= 1
-        found = [(top, *p) for p in fillings(counts, capacity - top)]
+        found = likely_fillings(counts, capacity - top)
         counts[top] += 1
-        return found[::-1]                            # the best is popped first
+        for p in found:
+            yield (top, *p), often((top, *p))
+        if not everything:
+            return
+        # backtracking has put the counts back to what they were
+        beside = counts[:capacity - top + 1].copy()
+        if top < len(beside):
+            beside[top] -= 1
+        for p in all_fillings(beside, capacity - top):
+            yield ((top, *p), often((top, *p))) if p is not None and p not in found else None
+        if once:
+            for p in all_fillings(beside, capacity - top):
+                yield ((top, *p), 1) if p is not None and often((top, *p)) > 1 else None
+
+    def often(pattern: Pattern) -> int:
+        return int(min(counts[l] // k for l, k in Counter(pattern).items()))
 
     stack.append(choices())
     while stack and best_bins > bound and nodes < max_nodes:
-        if not stack[-1]:
+        step = next(stack[-1], ())
+        if step == ():
             stack.pop()
             if chosen:
                 pattern, times = chosen.pop()
@@ -159,12 +246,10 @@ def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int = 20_
                     counts[l] += times
                     tokens_left += l * times
             continue
-        pattern = stack[-1].pop()
-        need: dict[int, int] = defaultdict(int)
-        for l in pattern:
-            need[l] += 1
-        times = int(min(counts[l] // k for l, k in need.items()))
         nodes += 1
+        if step is None:
+            continue
+        pattern, times = step
         if used + times + -(-(tokens_left - times * sum(pattern)) // capacity) >= best_bins:
             continue                                  # its waste already costs a bin too many
         for l in pattern:
@@ -174,7 +259,7 @@ def complete_bins(histogram: dict[int, int], capacity: int, max_nodes: int = 20_
         chosen.append((pattern, times))
         if tokens_left == 0:
             best, best_bins = list(chosen), used
-            stack.append([])
+            stack.append(iter(()))
         else:
             stack.append(choices())
     return best
