@@ -133,6 +133,28 @@ def test_label_model_discounts_voters_that_fire_together():
     assert abs(model.fire_toxic[3] - 0.6) < 0.1 and model.fire_clean[3] < 0.06
 
 
+def test_samples_keep_their_expected_size_at_any_number_of_rows(spark):
+    from tideline.llm.common import sample_bound, sampled
+    for size in (3000, 20_000):
+        for n in (size + 1, 10 ** 6, 3 * 10 ** 9, 4 * 10 ** 9, 3 * 10 ** 10, 10 ** 14):
+            assert abs(sample_bound(size, n) / 2 ** 63 * n / size - 1) < 1e-9
+    n = 1 << 24                                        # a share below 1 in 2**20
+    assert 4 <= sampled(spark.range(n), "id", 15, n).count() <= 30
+
+
+def test_an_empty_sample_of_labelled_rows_is_an_error(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"some words {i}", "en") for i in range(40)], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 0)
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 0)
+    with pytest.raises(RuntimeError, match="sample"):
+        langid.fit_language_model(docs)
+    assert langid.fit_language_model(docs.withColumn("text", F.lit("12 34"))) is None
+    with pytest.raises(RuntimeError, match="sample"):
+        toxicity.fit_toxicity(docs, labels)
+    assert len(toxicity.fit_toxicity(docs, labels.withColumn("toxic", F.lit(0))).weights) == len(toxicity.SEED_LEXICON)
+
+
 # --- 3 SimHash -----------------------------------------------------------------------------------
 
 def _components(fps):

@@ -32,6 +32,18 @@ def lookup(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
 
 
+def sample_bound(size: int, n: int) -> int:
+    """Bound on a 63-bit hash under which ``size`` of ``n`` rows are expected."""
+    return min(size * (1 << 63) // max(n, 1), (1 << 63) - 1)
+
+
+def sampled(rows: DataFrame, id_col: str, size: int, n: int) -> DataFrame:
+    """All of ``n`` rows, or of more than ``size`` about that many by a hash of the id."""
+    if n <= size:
+        return rows
+    return rows.where(F.shiftrightunsigned(F.xxhash64(id_col), 1) < F.lit(sample_bound(size, n)))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back, which
     cuts the lineage at files that every executor can see."""

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, text_of
+from .common import crc_fold, sampled, text_of
 
 WINDOW = 256
 WIDTHS, FILTERS, DEPTH = (2, 3, 4), 16, 6
@@ -144,12 +144,11 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], seed: int =
 def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        lang_col: str = "lang") -> ByteNet | None:
     """Fits on rows with a language outside the fold crc32(id) mod 4 = 2; None
-    where no such row has text."""
-    rows = (docs.where(docs[lang_col].isNotNull() & (crc_fold(docs[id_col], 4) != 2))
-            .select(docs[id_col].alias("_id"), text_of(docs, text_col).alias("text"), docs[lang_col].alias("lang")))
-    n = rows.count()
-    if n > SAMPLE_DOCS:
-        rows = rows.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int(SAMPLE_DOCS / n * (1 << 20)))
+    where no such row has a letter."""
+    labelled = (docs.where(docs[lang_col].isNotNull() & (crc_fold(docs[id_col], 4) != 2))
+                .select(docs[id_col].alias("_id"), text_of(docs, text_col).alias("text"), docs[lang_col].alias("lang")))
+    n = labelled.count()
+    rows = sampled(labelled, "_id", SAMPLE_DOCS, n)
 
     def cut(batches):
         for pdf in batches:
@@ -165,6 +164,8 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # SAMPLE_DOCS * WINDOWS_PER_DOC windows of 512 bytes bound what comes to the driver
     got = rows.mapInPandas(cut, "window binary, lang string").orderBy("lang", "window").toPandas()
     if not len(got):
+        if n > SAMPLE_DOCS and labelled.mapInPandas(cut, "window binary, lang string").limit(1).count():
+            raise RuntimeError(f"the sample of {n} labelled texts is empty")
         return None
     langs = sorted(got["lang"].unique())
     x = np.frombuffer(b"".join(map(bytes, got["window"])), np.int16).reshape(-1, WINDOW)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_fold, materialize, text_of
+from .common import crc_fold, materialize, sampled, text_of
 
 #: Labelled rows the fit samples, by a hash of the id.
 SAMPLE_ROWS = 20_000
@@ -152,16 +152,18 @@ class ToxicityModel:
         return score
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Sampled labelled rows ``(text, toxic)`` outside the held-out fold."""
+def _labelled(docs: DataFrame, labels: DataFrame, id_col: str,
+              text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """Sampled labelled rows ``(text, toxic)`` outside the held-out fold, and
+    ``(toxic)`` of all of them where the sample leaves some out."""
     own = (labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
            .where(F.col("_toxic").isNotNull() & (crc_fold(F.col("_id"), 3) != 1))
            .groupBy("_id").agg(F.max("_toxic").alias("_toxic")))
     n = own.count()
-    if n > SAMPLE_ROWS:
-        own = own.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int(SAMPLE_ROWS / n * (1 << 20)))
     rows = docs.select(docs[id_col].alias("_id"), text_of(docs, text_col).alias("text"))
-    return rows.join(F.broadcast(own), "_id").select("text", F.col("_toxic").alias("toxic"))   # SAMPLE_ROWS bounds it
+    few = F.broadcast(sampled(own, "_id", SAMPLE_ROWS, n))                        # SAMPLE_ROWS bounds it
+    every = rows.select("_id").join(own, "_id").select(F.col("_toxic").alias("toxic")) if n > SAMPLE_ROWS else None
+    return rows.join(few, "_id").select("text", F.col("_toxic").alias("toxic")), every
 
 
 def _count_patterns(batches):
@@ -198,12 +200,15 @@ def _mine(sample: DataFrame, toxic: int, clean: int) -> list[str]:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Fits on labelled rows outside the fold crc32(id) mod 3 = 1.  Without a
-    labelled row of either class the seed lexicon alone decides."""
-    sample = _labelled(docs, labels, id_col, text_col)
+    labelled row of either class the seed lexicon alone decides; a sample that
+    misses a class which the labelled rows hold is an error."""
+    sample, every = _labelled(docs, labels, id_col, text_col)
     seed = ["=" + w for w in SEED_LEXICON]
     by_class = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic, clean = by_class.get(1, 0), sum(by_class.values()) - by_class.get(1, 0)
     if not toxic or not clean:
+        if every is not None and every.select(F.col("toxic") == 1).distinct().count() == 2:
+            raise RuntimeError(f"the sample of the labels holds {toxic} toxic and {clean} other rows")
         return ToxicityModel({p: 6.0 for p in seed}, -4.0)
     mined = _mine(sample, toxic, clean)
     features = list(dict.fromkeys([*mined, *seed]))
