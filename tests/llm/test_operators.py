@@ -578,6 +578,19 @@ def test_licence_scan(spark, edge, none):
     assert licences.scan_licences(edge).count() == len(EDGE_ROWS) and licences.scan_licences(none).count() == 0
 
 
+def test_known_digests_are_of_one_licence_and_hold_the_notices_of_the_documents(spark):
+    known = licences.known_digests(spark)
+    assert known.groupBy("digest").count().where("count > 1").count() == 0
+    lines = ["Licensed under CC BY-NC 4.0.", "licensed under CC-BY-NC 4.0", "SPDX-License-Identifier: CC-BY-NC-4.0",
+             "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."]
+    rows = spark.createDataFrame([(i, f"prose\n{t}\nmore") for i, t in enumerate(lines)], "doc_id long, text string")
+    assert [r.line_licenses for r in licences.scan_licences(rows).collect()] == ["CC-BY-NC-4.0"] * len(lines)
+    docs = read_table(spark, SF, "documents")
+    named = docs.where("text like '%icensed under CC BY-NC 4.0.%'")
+    assert named.count() == 4
+    assert {r.line_licenses for r in licences.scan_licences(named).collect()} == {"CC-BY-NC-4.0"}
+
+
 # --- 10 BPE --------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("part_bytes", [30_000, 1 << 23])

@@ -46,17 +46,65 @@ required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
 software.
 3. This notice may not be removed or altered from any source distribution."""
+_BSD_AS_IS = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {who} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
+THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD_HEAD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:"""
+_BSD_TERMS = ["""Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.""", """Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution.""",
+              """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission."""]
+
+
+def _bsd(terms: int) -> list[str]:
+    """A BSD text with numbered and with bulleted terms, by each word for the holder."""
+    marks = [[f"{k + 1}. " for k in range(terms)], ["* "] * terms]
+    return ["\n\n".join([_BSD_HEAD, *(m + t for m, t in zip(mark, _BSD_TERMS)), _BSD_AS_IS.format(who=who)])
+            for mark in marks for who in ("HOLDER", "HOLDERS", "OWNER")]
+
+
+#: Whole texts: identifier, titles, texts.
+TEXTS = [
+    ("MIT", ["MIT License", "The MIT License", "The MIT License (MIT)"], [_MIT]),
+    ("ISC", ["ISC License", "The ISC License"], [_ISC]),
+    ("Zlib", ["zlib License", "The zlib License"],
+     [_ZLIB, _ZLIB.replace("\n1. ", "\n").replace("\n2. ", "\n").replace("\n3. ", "\n")]),
+    ("BSD-2-Clause", ["BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'], _bsd(2)),
+    ("BSD-3-Clause", ["BSD 3-Clause License", "The 3-Clause BSD License",
+                      'BSD 3-Clause "New" or "Revised" License'], _bsd(3)),
+]
+_CC = "Creative Commons Attribution"
+#: Names used in notices, by identifier; OPENINGS stand before them.
+NAMES = {
+    "MIT": ["MIT License"], "ISC": ["ISC License"], "Zlib": ["zlib License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License"],
+    "GPL-2.0": ["GNU General Public License, version 2"],
+    "GPL-3.0": ["GNU General Public License, version 3"],
+    "MPL-2.0": ["Mozilla Public License, v. 2.0", "Mozilla Public License 2.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal"],
+    **{f"CC-{short}-4.0": [f"CC {short} 4.0", f"CC {short} 4.0 License",
+                           *(f"{_CC}{name} 4.0{kind}" for name in names
+                             for kind in ("", " License", " International", " International License"))]
+       for short, names in {"BY": [""], "BY-SA": ["-ShareAlike"], "BY-ND": ["-NoDerivatives", "-NoDerivs"],
+                            "BY-NC": ["-NonCommercial", "-Non-Commercial"],
+                            "BY-NC-SA": ["-NonCommercial-ShareAlike", "-Non-Commercial-ShareAlike"],
+                            "BY-NC-ND": ["-NonCommercial-NoDerivatives", "-NonCommercial-NoDerivs"]}.items()},
+}
+OPENINGS = ["Licensed", "Released", "This work is licensed", "This project is licensed", "This software is licensed"]
 KNOWN: list[tuple[str, str]] = [
     ("MIT", "MIT License\n\n" + _MIT),
-    ("MIT", _MIT),
     ("MIT", "Released under the MIT License."),
     ("MIT", "This project is licensed under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
-    ("ISC", "ISC License\n\n" + _ISC),
-    ("ISC", _ISC),
     ("ISC", "SPDX-License-Identifier: ISC"),
-    ("Zlib", "zlib License\n\n" + _ZLIB),
-    ("Zlib", _ZLIB),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Released under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
@@ -67,6 +115,10 @@ KNOWN: list[tuple[str, str]] = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
+    *((k, f"{title}\n\n{text}".strip()) for k, titles, texts in TEXTS for text in texts for title in ("", *titles)),
+    *((k, f"{opening} under {article}{name}.") for k, names in NAMES.items() for name in names
+      for opening in OPENINGS for article in ("", "the ", "a ")),
+    *((k, f"SPDX-License-Identifier: {k}") for k in NAMES),
 ]
 # Spellings that licence matching treats as equal.
 SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("sublicence", "sublicense"),
