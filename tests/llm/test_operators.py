@@ -578,6 +578,52 @@ def test_licence_scan(spark, edge, none):
     assert licences.scan_licences(edge).count() == len(EDGE_ROWS) and licences.scan_licences(none).count() == 0
 
 
+#: The MIT text in its published layout, typed here and not taken from KNOWN.
+MIT_PUBLISHED = """MIT License
+
+Copyright (c) 2024 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+NOTICES = ["", "Copyright (c) 2020 Jane Doe\nAll rights reserved.\n", "Copyright 2019-2021, A; B\n(c) 2022 C\n© D\n",
+           "Copyright (C) <year> <owner>\n\n", "Copyright Foundation and other contributors\n\n", "Copyright © 2020 X\r\n"]
+
+
+def test_whole_licences_match_in_any_wrapping(spark):
+    import textwrap
+    rows, want = [], {}
+    texts = [("MIT", MIT_PUBLISHED), ("MIT", MIT_PUBLISHED.split("Doe\n\n")[1])]
+    texts += [(k, t) for k, t in licences.KNOWN if len(t) > 500]
+    assert {k for k, _ in texts} == {"MIT", "ISC", "Zlib", "BSD-2-Clause", "BSD-3-Clause"}
+    for k, text in texts:
+        body = [" ".join(p.split()) for p in text.split("\n\n") if not p.startswith("Copyright")]
+        shapes = [text, " ".join(body), "\n".join(" ".join(body).split()), "\n\n".join(" ".join(body).split()),
+                  text.replace("\n", "\r\n")]
+        shapes += ["\n\n".join(textwrap.fill(p, w) for p in body) for w in range(30, 131)]
+        shapes += [n + s for n in NOTICES for s in shapes[:1] + shapes[30:33]]
+        for t in shapes:
+            want[len(rows)] = k
+            rows.append((len(rows), t))
+    got = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.license for r in got} == want
+
+
 def test_known_digests_are_of_one_licence_and_hold_the_notices_of_the_documents(spark):
     known = licences.known_digests(spark)
     assert known.groupBy("digest").count().where("count > 1").count() == 0

@@ -127,7 +127,13 @@ SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("sublicence", "s
              ("organisation", "organization"), ("organise", "organize"), ("practise", "practice"),
              ("recognise", "recognize"), ("version", "v"), ("ver", "v")]
 #: Patterns valid in both Java and RE2; lines are kept apart until the last step.
-COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright\b|\(c\)|©)[^\n]*$"
+#: A copyright notice is a line that begins with the word and a sign, a year or a
+#: placeholder; at the head of a paragraph also one where a name follows, that is
+#: not holder, owner or notice.  Other lines that wrapping makes begin so are text.
+_MARK = r"(?:\(c\)|©|&copy;|[0-9]{4}|[<\[{])"
+_NAME = r"(?:[^hon \t\r\n,;.)]|h[^o\n]|ho[^l\n]|hol[^d\n]|o[^w\n]|ow[^n\n]|n[^o\n]|no[^t\n]|not[^i\n])"
+COPYRIGHT_LINE = (rf"(?:\A|\n)[ \t]*(?:copyright[ \t:,]*(?:by[ \t]+)?{_MARK}|\(c\)[ \t]*(?:copyright\b|{_MARK})|©|&copy;)"
+                  rf"[^\n]*|(?:\A|\n[ \t\r]*\n)[ \t]*copyright[ \t]+{_NAME}[^\n]*")
 RIGHTS_LINE = r"(?m)^[ \t]*all rights reserved\.?[ \t]*$"
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
 
@@ -135,7 +141,9 @@ NOT_WORD = r"[^\p{L}\p{N}\n]+"
 def canonical_lines(text: Column) -> Column:
     """Normalised text, lines still apart; words are separated by one space and
     every line begins and ends with one."""
-    c = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    c = F.lower(text)
+    marked = c.contains("copyright") | c.contains("(c)") | c.contains("©") | c.contains("&copy;")
+    c = F.when(marked, F.regexp_replace(c, COPYRIGHT_LINE, "")).otherwise(c)     # the pattern is dear
     c = F.regexp_replace(F.regexp_replace(c, RIGHTS_LINE, ""), NOT_WORD, " ")
     c = F.concat(F.lit(" "), F.regexp_replace(c, " ?\n ?", " \n "), F.lit(" "))
     for other, usual in SPELLINGS:
