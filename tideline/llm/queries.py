@@ -13,6 +13,7 @@ from .exact_dedup import exact_groups
 from .fingerprint import fingerprint_with_edits
 from .langid import fit_language_model, identify
 from .licences import oracle as licence_oracle, scan_licences
+from .merkle import ORACLE as MERKLE_ORACLE, leaf_digest, manifest, verify
 from .packing import pack
 from .simhash import near_groups
 from .suffix_dedup import remove_repeats
@@ -61,6 +62,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(read_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the root that the
+    document leads to after line breaks were deleted from every text whose id
+    has an even crc32 (an id that is null is not tampered with)."""
+    docs = read_table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    even = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 2 == 0
+    changed = F.when(even, F.replace(docs["text"], F.lit("\n"), F.lit(""))).otherwise(docs["text"])
+    tampered = leaf_digest(*[docs[f] for f in fields[:-1]], changed)
+    rows = manifest(docs, fields, carry={"tampered": F.unhex(tampered)})
+    return verify(rows.withColumn("tampered", F.lower(F.hex("tampered"))), "tampered").select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -72,11 +87,13 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_license_scan": op9_license_scan,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES = {
     "op5_chat_formatting": CHAT_ORACLE,
     "op9_license_scan": licence_oracle(),
+    "op13_merkle_manifest": MERKLE_ORACLE,
     "op1_exact_dedup": """
 SELECT doc_id,
        max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
