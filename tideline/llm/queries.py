@@ -15,6 +15,7 @@ from .langid import fit_language_model, identify
 from .licences import oracle as licence_oracle, scan_licences
 from .merkle import ORACLE as MERKLE_ORACLE, leaf_digest, manifest, verify
 from .packing import pack
+from .resample import ORACLE as RESAMPLE_ORACLE, resample
 from .simhash import near_groups
 from .suffix_dedup import remove_repeats
 from .toxicity import fit_toxicity, score_documents
@@ -62,6 +63,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(read_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the texts of the benchmark."""
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and the root that the
     document leads to after line breaks were deleted from every text whose id
@@ -87,12 +93,14 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_license_scan": op9_license_scan,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_importance_resampling": op11_importance_resampling,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES = {
     "op5_chat_formatting": CHAT_ORACLE,
     "op9_license_scan": licence_oracle(),
+    "op11_importance_resampling": RESAMPLE_ORACLE,
     "op13_merkle_manifest": MERKLE_ORACLE,
     "op1_exact_dedup": """
 SELECT doc_id,
