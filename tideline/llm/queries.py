@@ -15,6 +15,7 @@ from .langid import fit_language_model, identify
 from .licences import oracle as licence_oracle, scan_licences
 from .merkle import ORACLE as MERKLE_ORACLE, leaf_digest, manifest, verify
 from .packing import pack
+from .pii import KINDS, count_kind, find_personal_data, span_text
 from .resample import ORACLE as RESAMPLE_ORACLE, resample
 from .simhash import near_groups
 from .suffix_dedup import remove_repeats
@@ -68,6 +69,13 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every document, counted by kind and digested, and all spans found."""
+    found = find_personal_data(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[count_kind(F.col("base"), k).alias(f"n_{k}") for k in KINDS],
+                        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and the root that the
     document leads to after line breaks were deleted from every text whose id
@@ -94,6 +102,7 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_personal_data": op12_personal_data,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
