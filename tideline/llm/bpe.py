@@ -3,7 +3,7 @@
 Texts are dealt to parts; a part sends each distinct pre-token once to the
 bucket of its hash; a bucket encodes every distinct word once and sends the
 ids back to the parts that hold it; the part reassembles each text by the
-positions of its pre-tokens.  Decoding joins the ids with the table of token
+positions of its pre-tokens (a block holds the words of one part in one bucket).  Decoding joins the ids with the table of token
 bytes.  Words and ids travel in sorted, compressed blocks, and the texts are
 shuffled once (both uses read the same exchange)."""
 
@@ -21,10 +21,13 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 from .suffix_dedup import _pack_docs, _unpack_docs
-from .tokens import encoding, splitter, token_bytes, vocabulary_path
+from .tokens import encode_word, encoding, splitter, token_bytes, vocabulary_path
 
-#: Text bytes of a part; buckets are as many as parts.
-PART_BYTES = 8 << 20
+#: Text bytes of a part, and the most tasks that hold them.
+PART_BYTES, MAX_TASKS = 8 << 20, 100_000
+#: Buckets of words: fixed, so that the number of blocks grows with the parts and not with their square.  A bucket's
+#: blocks are streamed, and its table of known words starts anew beyond ``KNOWN_WORDS``.
+BUCKETS, KNOWN_WORDS = 128, 1_000_000
 
 
 def pre_tokens(text: str) -> list[str]:
@@ -87,23 +90,28 @@ def _distinct_words(buckets: int):
 
 
 def _encode_words(vocabulary: str):
-    def run(table: pa.Table) -> pa.Table:
-        encode, known = encoding(vocabulary).encode_ordinary, {}
-        bucket = table.column("bucket")[0].as_py()
-        out = []
-        for block in table.column("words").to_pylist():
-            sizes, ids = [], []
-            for w in unpack_words(block):
-                got = known.get(w)
-                if got is None:
-                    known[w] = got = np.array(encode(w.decode("utf-8", "surrogatepass")), "<u4").tobytes()
-                sizes.append(len(got) // 4)
-                ids.append(got)
-            body = np.frombuffer(b"".join(ids), "<u4")
-            planes = b"".join((body >> s & 255).astype(np.uint8).tobytes() for s in (0, 8, 16, 24))
-            out.append(zstandard.compress(np.uint64(len(sizes)).tobytes() + np.array(sizes, np.uint32).tobytes() + planes))
-        return pa.table({"part": table.column("part"), "bucket": pa.array([bucket] * len(out), pa.int32()),
-                         "ids": pa.array(out, pa.binary())})
+    def encode(block: bytes, own, known: dict) -> bytes:
+        sizes, ids = [], []
+        for w in unpack_words(block):
+            got = known.get(w)
+            if got is None:
+                known[w] = got = np.array(encode_word(own, w), "<u4").tobytes()
+            sizes.append(len(got) // 4)
+            ids.append(got)
+        body = np.frombuffer(b"".join(ids), "<u4")
+        planes = b"".join((body >> s & 255).astype(np.uint8).tobytes() for s in (0, 8, 16, 24))
+        return zstandard.compress(np.uint64(len(sizes)).tobytes() + np.array(sizes, np.uint32).tobytes() + planes)
+
+    def run(batches):
+        own, known, bucket = encoding(vocabulary), {}, None
+        for batch in batches:
+            out = []
+            for b, block in zip(batch.column("bucket").to_pylist(), batch.column("words")):
+                if b != bucket or len(known) > KNOWN_WORDS:
+                    known, bucket = {}, b
+                out.append(encode(block.as_py(), own, known))
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("bucket"), pa.array(out, pa.binary())],
+                                             ["part", "bucket", "ids"])
     return run
 
 
@@ -157,7 +165,7 @@ def encode_and_decode(docs: DataFrame, vocabulary: str | None = None, id_col: st
                       text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
-    Null text is empty (no token); repeated rows and null ids are encoded like
+    Null text is empty (no token); a run of any length is one word; repeated rows and null ids are encoded like
     any others; an empty table gives an empty result; other columns are
     ignored.  Special tokens are ordinary text."""
     from pyspark.sql import types as T
@@ -167,10 +175,12 @@ def encode_and_decode(docs: DataFrame, vocabulary: str | None = None, id_col: st
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
     rows = rows.withColumn("_sfx_part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int"))
-    blocks = rows.mapInArrow(_pack_docs, "part int, block binary")
-    words = blocks.groupBy("part").applyInArrow(_distinct_words(parts), "bucket int, part int, words binary")
-    ids = words.groupBy("bucket").applyInArrow(_encode_words(vocabulary), "part int, bucket int, ids binary")
+    tasks = min(parts, MAX_TASKS)                      # said outright: the session's number knows nothing of the input
+    blocks = rows.mapInArrow(_pack_docs, "part int, block binary").repartition(tasks, "part")
+    words = blocks.groupBy("part").applyInArrow(_distinct_words(BUCKETS), "bucket int, part int, words binary")
+    ids = (words.repartition(min(tasks, BUCKETS), "bucket").sortWithinPartitions("bucket", "part")
+           .mapInArrow(_encode_words(vocabulary), "part int, bucket int, ids binary").repartition(tasks, "part"))
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
     return blocks.groupBy("part").cogroup(ids.groupBy("part")).applyInArrow(
-        _reassemble(vocabulary, parts, to_arrow_schema(schema)), schema)
+        _reassemble(vocabulary, BUCKETS, to_arrow_schema(schema)), schema)

@@ -9,7 +9,7 @@ row, so its length does not matter."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import lookup, materialize, read_table
@@ -75,51 +75,80 @@ def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per call and per result without a call:
-    ``call_id, level, status, errors, json``.
+    ``call_id, level, status, errors, json, turns``.
 
     ``calls(call_id, after_id, name, arguments)``; ``results(call_id, content)``;
     status is ``linked``, ``no_result`` or ``no_call`` (then level and json's
     call fields are null).  Of calls or results that repeat an identifier the
-    smallest (by name and arguments, or content) counts; rows without an
-    identifier are left out; null content is null in the JSON; arguments that
+    smallest (by name and arguments, or content) counts, and ``turns`` says how
+    many calls and results the row stands for; rows without an identifier are
+    left out; null content is null in the JSON; arguments that
     are no JSON are kept as a JSON string.  Empty inputs give an empty result."""
     one = calls.where("call_id is not null").groupBy("call_id").agg(
-        F.min(F.struct("name", "arguments", "after_id")).alias("c")).select(
-        "call_id", "c.name", "c.arguments", "c.after_id")
+        F.min(F.struct("name", "arguments", "after_id")).alias("c"), F.count("*").alias("calls")).select(
+        "call_id", "c.name", "c.arguments", "c.after_id", "calls")
     one = materialize(one, "calls")
     res = results.where("call_id is not null").groupBy("call_id").agg(
-        F.min(F.struct("content")).alias("r")).select("call_id", F.col("r.content").alias("content"),
-                                                      F.lit(True).alias("_has"))
+        F.min(F.struct("content")).alias("r"), F.count("*").alias("results")).select(
+        "call_id", F.col("r.content").alias("content"), "results", F.lit(True).alias("_has"))
     linked = (one.withColumn("_call", F.lit(True)).join(res, "call_id", "full_outer")
               .join(call_levels(one), "call_id", "left").join(argument_errors(one, schemas), "call_id", "left"))
-    quoted = lambda c: F.coalesce(  # noqa: E731  a JSON string, or null
-        F.regexp_extract(F.to_json(F.struct(F.col(c).alias("x"))), r'(?s)^\{"x":(.*)\}$', 1), F.lit("null"))
-
-    def field(c):
-        return F.when(F.col(c).isNull(), F.lit("null")).otherwise(quoted(c))
-    arguments = F.coalesce(F.to_json(F.try_parse_json("arguments")), field("arguments"))   # keys of a variant are sorted
-    line = F.concat(F.lit('{"arguments":'), arguments, F.lit(',"id":'), field("call_id"), F.lit(',"level":'),
-                    F.coalesce(F.col("level").cast("string"), F.lit("null")), F.lit(',"name":'), field("name"),
-                    F.lit(',"result":'), field("content"), F.lit("}"))
+    arguments = F.coalesce(F.to_json(F.try_parse_json("arguments")), quoted("arguments"))   # keys of a variant are sorted
+    line = F.concat(F.lit('{"arguments":'), arguments, F.lit(',"id":'), quoted("call_id"), F.lit(',"level":'),
+                    F.coalesce(F.col("level").cast("string"), F.lit("null")), F.lit(',"name":'), quoted("name"),
+                    F.lit(',"result":'), quoted("content"), F.lit("}"))
     status = F.when(F.col("_call").isNull(), "no_call").when(F.col("_has").isNull(), "no_result").otherwise("linked")
     return linked.select("call_id", "level", status.alias("status"),
-                         F.coalesce("errors", F.lit("")).alias("errors"), line.alias("json"))
+                         F.coalesce("errors", F.lit("")).alias("errors"), line.alias("json"),
+                         (F.coalesce("calls", F.lit(0)) + F.coalesce("results", F.lit(0))).cast("long").alias("turns"))
+
+
+def quoted(name: str) -> Column:
+    """A column as a JSON string, or ``null``."""
+    text = F.regexp_extract(F.to_json(F.struct(F.col(name).alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
+    return F.when(F.col(name).isNull(), F.lit("null")).otherwise(text)
+
+
+def _linkable() -> Column:
+    """True for the turns that are calls or results."""
+    return F.coalesce(F.col("conv_id").isNotNull() & F.col("turn").isNotNull() & F.col("role").isin("user", "assistant"),
+                      F.lit(False))
+
+
+def plain_turns(messages: DataFrame) -> DataFrame:
+    """The turns that are neither call nor result, in the columns of :func:`link_calls`:
+    status ``message`` (a system turn or another role) or ``no_id`` (no
+    conversation or turn number), one row a turn."""
+    ident = F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string"))
+    rest = messages.where(~_linkable()).select(ident.alias("call_id"), "role", F.col("text").alias("content"))
+    line = F.concat(F.lit('{"content":'), quoted("content"), F.lit(',"id":'), quoted("call_id"), F.lit(',"role":'),
+                    quoted("role"), F.lit("}"))
+    return rest.select("call_id", F.lit(None).cast("long").alias("level"),
+                       F.when(F.col("call_id").isNull(), "no_id").otherwise("message").alias("status"),
+                       F.lit("").alias("errors"), line.alias("json"), F.lit(1).cast("long").alias("turns"))
 
 
 def conversation_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results held by ``messages(conv_id, turn, role, text)``: a user
     turn asks tool ``answer`` (or ``summary`` from 1,000 characters on), which
     waits for the user turn before; the assistant turn that follows is its
-    result."""
+    result.  A user turn whose text is a JSON object with ``arguments`` is the
+    call it spells out: its ``name`` and its arguments as they stand, which may
+    fail the check.  Turns of other roles, and turns without conversation or
+    number (also null), are in :func:`plain_turns`; turns that repeat a
+    number share one row of :func:`link_calls`, which counts them."""
     def ident(shift):
         return F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") + shift).cast("string"))
-    placed = messages.where("conv_id is not null and turn is not null")
-    asks = placed.where("role = 'user'")
+    placed = messages.where(_linkable())
+    asks = placed.where("role = 'user'").withColumn("_spelled", F.when(F.ltrim("text").startswith("{"), F.try_parse_json("text")))
+    given = F.try_variant_get("_spelled", "$.arguments", "variant")
     calls = asks.select(
         ident(0).alias("call_id"), ident(-2).alias("after_id"),
-        F.when(F.length("text") >= 1000, "summary").otherwise("answer").alias("name"),
-        F.to_json(F.struct(F.col("turn").alias("turn"), F.col("text").alias("prompt"),
-                           F.length("text").alias("limit"))).alias("arguments"))
+        F.when(given.isNotNull(), F.try_variant_get("_spelled", "$.name", "string"))
+        .when(F.length("text") >= 1000, "summary").otherwise("answer").alias("name"),
+        F.when(given.isNotNull(), F.to_json(given)).otherwise(
+            F.to_json(F.struct(F.col("turn").alias("turn"), F.col("text").alias("prompt"),
+                               F.length("text").alias("limit")))).alias("arguments"))
     results = placed.where("role = 'assistant'").select(ident(-1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
 
@@ -130,18 +159,22 @@ TOOLS = [("answer", "prompt", "string", True), ("answer", "turn", "integer", Tru
 
 
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = conversation_calls(read_table(spark, sf_dir, "conversations"))
+    """Every turn of the conversations: linked calls and results, and the turns that are neither."""
+    messages = read_table(spark, sf_dir, "conversations")
     schemas = spark.createDataFrame(TOOLS, "name string, field string, kind string, required boolean")
-    return link_calls(calls, results, schemas)
+    return link_calls(*conversation_calls(messages), schemas).unionByName(plain_turns(messages))
 
 
 ORACLE = """
 WITH RECURSIVE m AS (
   SELECT conv_id || ':' || turn AS id, conv_id || ':' || (turn - 1) AS answers, conv_id || ':' || (turn - 2) AS after_id,
-         turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+         turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND role IN ('user', 'assistant')),
+rest AS (
+  SELECT conv_id || ':' || turn AS id, role, text FROM conversations
+  WHERE conv_id IS NULL OR turn IS NULL OR role IS NULL OR role NOT IN ('user', 'assistant')),
 calls AS (
-  SELECT id, min(after_id) AS after_id, min(turn) AS turn, min(text) AS text FROM m WHERE role = 'user' GROUP BY id),
-results AS (SELECT answers AS id, min(text) AS content FROM m WHERE role = 'assistant' GROUP BY answers),
+  SELECT id, min(after_id) AS after_id, min(turn) AS turn, min(text) AS text, count(*) AS k FROM m WHERE role = 'user' GROUP BY id),
+results AS (SELECT answers AS id, min(text) AS content, count(*) AS k FROM m WHERE role = 'assistant' GROUP BY answers),
 levels AS (
   SELECT c.id, 0::BIGINT AS level FROM calls c WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.id = c.after_id)
   UNION ALL SELECT c.id, l.level + 1 FROM calls c JOIN levels l ON c.after_id = l.id)
@@ -155,6 +188,11 @@ SELECT coalesce(c.id, r.id) AS call_id, l.level,
          || '"turn":' || c.turn || '}' END
        || ',"id":' || to_json(coalesce(c.id, r.id)) || ',"level":' || coalesce(l.level::VARCHAR, 'null')
        || ',"name":' || CASE WHEN c.id IS NULL THEN 'null' WHEN length(c.text) >= 1000 THEN '"summary"' ELSE '"answer"' END
-       || ',"result":' || CASE WHEN r.content IS NULL THEN 'null' ELSE to_json(r.content) END || '}' AS json
+       || ',"result":' || CASE WHEN r.content IS NULL THEN 'null' ELSE to_json(r.content) END || '}' AS json,
+       coalesce(c.k, 0) + coalesce(r.k, 0) AS turns
 FROM calls c FULL OUTER JOIN results r ON r.id = c.id LEFT JOIN levels l ON l.id = c.id
+UNION ALL
+SELECT id, NULL, CASE WHEN id IS NULL THEN 'no_id' ELSE 'message' END, '',
+       '{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"id":' || coalesce(to_json(id)::VARCHAR, 'null')
+       || ',"role":' || coalesce(to_json(role)::VARCHAR, 'null') || '}', 1 FROM rest
 """

@@ -17,6 +17,14 @@ def text_of(docs: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(docs[text_col].cast("string"), F.lit(""))
 
 
+def unused_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores added until no column of ``df`` is called so (case ignored)."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def crc_fold(id_col: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null id: null)."""
     return F.crc32(id_col.cast("string").cast("binary")) % modulus

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_of
+from .common import materialize, text_of, unused_name
 
 
 def content_hash(text: Column) -> Column:
@@ -56,15 +56,18 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kept = exact_groups(docs.select(F.col(id_col), F.col(text_col)), id_col, text_col, keep).where("kept")
     # sha256 of the text stands for the group, which exact_groups has compared byte by byte
     per_key = kept.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("_rows"))
-    tagged = docs.withColumn("_tl_id", docs[id_col]).withColumn(
-        "_tl_sha", F.sha2(text_of(docs, text_col).cast("binary"), 256))
+    own_id, own_sha = unused_name(docs, "_tl_id"), unused_name(docs, "_tl_sha")
+    tagged = docs.withColumn(own_id, docs[id_col]).withColumn(
+        own_sha, F.sha2(text_of(docs, text_col).cast("binary"), 256))
+    per_key = per_key.toDF(*[unused_name(tagged, f"_tl_{c}") for c in per_key.columns])
+    key_id, key_sha, key_rows = per_key.columns
 
     def of(part):
-        return tagged.join(part, tagged["_tl_id"].eqNullSafe(part["doc_id"])
-                           & (tagged["_tl_sha"] == part["text_sha256"]), "left_semi")
+        return tagged.join(part, tagged[own_id].eqNullSafe(part[key_id])
+                           & (tagged[own_sha] == part[key_sha]), "left_semi")
     per_key = materialize(per_key, "exact-kept")
-    once = of(per_key.where("_rows = 1"))
-    again = of(per_key.where("_rows > 1"))
-    if per_key.where("_rows > 1").isEmpty():
+    once = of(per_key.where(F.col(key_rows) == 1))
+    again = of(per_key.where(F.col(key_rows) > 1))
+    if per_key.where(F.col(key_rows) > 1).isEmpty():
         return once.select(*docs.columns)
-    return once.unionByName(again.dropDuplicates(["_tl_id", "_tl_sha"])).select(*docs.columns)
+    return once.unionByName(again.dropDuplicates([own_id, own_sha])).select(*docs.columns)

@@ -14,17 +14,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import text_of
 
 BUCKETS = 2048
 TRIPLETS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 CHUNK = 1 << 20
-#: Text bytes of a bucket of consecutive documents.
-PART_BYTES = 8 << 20
+#: Text bytes of a bucket of consecutive documents, and the most buckets there are; a bucket is sorted on disk
+#: and streamed, so larger ones take longer, not more memory.
+PART_BYTES, MAX_PARTS = 8 << 20, 20_000
 _SHIFT = np.uint32(32 - BUCKETS.bit_length() + 1)
 #: Mean difference of independent codes (1.25 a bucket) bounds the score.
 MAX_DIFFERENCE = 1.25 * BUCKETS
@@ -93,12 +96,15 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
     in descending text; an empty table gives an empty result; other columns
     are ignored.  Documents are dealt to buckets of consecutive ids, so the
     text is shuffled once; each bucket also gets the first document of the
-    next one.  The driver sees one id a bucket."""
+    next one.  The driver sees one id a bucket (``MAX_PARTS`` at most).  Ids are
+    whole numbers; others raise an error."""
     kind = docs.schema[id_col].dataType
+    if kind.typeName() not in ("long", "integer", "short", "byte"):
+        raise ValueError(f"{id_col}: documents follow each other by whole numbers, not {kind.simpleString()}")
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text"))
     rows = rows.withColumn("_k", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size // PART_BYTES))
+    parts = min(MAX_PARTS, max(1, -(-size // PART_BYTES)))
     cuts = np.unique(np.array(rows.approxQuantile("_k", [k / parts for k in range(1, parts)], 0.25 / parts)
                               if parts > 1 else [], np.float64))
 
@@ -111,11 +117,12 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
     # the head of each bucket follows the last document of the next higher one; the highest head follows the end
     after = [(head, heads[(k + 1) % len(heads)][0]) for k, (_, head) in enumerate(heads)]
     spark = docs.sparkSession
-    guests = spark.createDataFrame(after, "_k long, _to int")                   # one row a bucket
-    guests = (rows.select("_k", "text").join(F.broadcast(guests), "_k").groupBy("_to").agg(F.max("text").alias("text"))
+    guests = spark.createDataFrame(after, "_k long, _to int")                   # one row a bucket, MAX_PARTS at most
+    guests = (rows.select("_k", "text").join(F.broadcast(guests), "_k")      # MAX_PARTS rows at most
+             .groupBy("_to").agg(F.max("text").alias("text"))
               .select(F.lit(None).cast(kind).alias("doc_id"), "text", F.lit(None).cast("long").alias("_k"),
                       F.col("_to").alias("_b"), F.lit(True).alias("_guest")))
-    dealt = (rows.withColumn("_guest", F.lit(False)).unionByName(guests).repartition("_b")
+    dealt = (rows.withColumn("_guest", F.lit(False)).unionByName(guests).repartition(parts, "_b")
              .sortWithinPartitions("_b", "_guest", F.desc("_k"), F.desc("text")))
 
     def one(doc, text: str, own: bytes, following: str, other: bytes):
@@ -124,20 +131,20 @@ def fingerprint_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: st
         return (doc, len(text), hashlib.sha256(new).hexdigest(), own.hex(), d.hex(), likeness(own, d),
                 likeness(own, other))
 
-    def run(batches) -> Iterator[pd.DataFrame]:
+    def run(batches) -> Iterator[pa.RecordBatch]:
         held = None                                   # (bucket, doc, text, digest)
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for doc, text, bucket, guest in zip(pdf["doc_id"], pdf["text"], pdf["_b"], pdf["_guest"]):
+            for doc, text, bucket, guest in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "_b", "_guest"))):
                 d = digest(text.encode("utf-8", "surrogatepass"))
                 if held is not None and held[0] == bucket:
                     out.append(one(held[1], held[2], held[3], text, d))
                 held = None if guest else (bucket, doc, text, d)
-            got = pd.DataFrame(out, columns=names)
-            if kind.typeName() in ("long", "integer", "short", "byte"):
-                got["doc_id"] = got["doc_id"].astype("Int64")
-            yield got
-    return dealt.select("doc_id", "text", "_b", "_guest").mapInPandas(
+            yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in out], schema)
+    schema = to_arrow_schema(T.StructType([T.StructField("doc_id", kind), T.StructField("n_chars", T.LongType()), *[
+        T.StructField(n, T.StringType()) for n in ("edited_sha256", "fingerprint", "edited_fingerprint")], *[
+        T.StructField(n, T.DoubleType()) for n in ("near_edited", "near_next")]]))
+    return dealt.select("doc_id", "text", "_b", "_guest").mapInArrow(
         run, f"doc_id {kind.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, "
              "edited_fingerprint string, near_edited double, near_next double")

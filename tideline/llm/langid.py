@@ -8,12 +8,13 @@ the one its windows give the highest mean log-probability."""
 
 from __future__ import annotations
 
-import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ WIDTHS, FILTERS, DEPTH = (2, 3, 4), 16, 6
 #: Labelled texts the fit samples, by a hash of the id, and windows of each.
 SAMPLE_DOCS, WINDOWS_PER_DOC = 3000, 4
 EPOCHS, BATCH, RATE = 8, 64, 0.01
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -157,7 +158,8 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 if not _LETTER.search(text):
                     continue
                 w = windows_of(text.encode("utf-8", "surrogatepass"))
-                rng = np.random.default_rng(int(doc) & 0xFFFFFFFF)
+                rng = np.random.default_rng(
+                    int(doc) & 0xFFFFFFFF if isinstance(doc, (int, float, np.integer)) else zlib.crc32(str(doc).encode()))
                 for k in rng.choice(len(w), min(len(w), WINDOWS_PER_DOC), replace=False):
                     out.append((w[k].tobytes(), lang))
             yield pd.DataFrame(out, columns=["window", "lang"])

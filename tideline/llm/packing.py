@@ -17,7 +17,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -276,19 +276,24 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0, id_
     tokens come from the tokenizer file."""
     def cut(batches):
         encode = tokenizer_encode(vocabulary)
-        for pdf in batches:
-            out = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                ids = np.array([*encode(text), end_id], "<u4")
-                at, k = 0, 0
+        for batch in batches:
+            row, out = [], []
+            for k, text in enumerate(batch.column("text")):
+                ids = np.array([*encode(text.as_py()), end_id], "<u4")
+                at, piece = 0, 0
                 while at < len(ids):
                     stop = at + (len(ids) - at) % capacity if at == 0 and len(ids) % capacity else at + capacity
-                    out.append((doc, k, at, stop - at, zlib.crc32(ids[at:stop].tobytes())))
-                    at, k = stop, k + 1
-            got = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield got.astype({"doc_id": pdf["doc_id"].dtype}) if pdf["doc_id"].notna().all() else got
+                    row.append(k)
+                    out.append((piece, at, stop - at, zlib.crc32(ids[at:stop].tobytes())))
+                    at, piece = stop, piece + 1
+            # ids stay Arrow values: a long column with a null must not pass through doubles
+            columns = zip(*out) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(row, pa.int64())),
+                 *[pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]],
+                ["doc_id", "piece", "start", "length", "ids_crc32"])
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text")).mapInPandas(
+    return docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text")).mapInArrow(
         cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
@@ -310,7 +315,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = 2048, e
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece with its ``sequence_id`` and ``offset``.
 
-    Null text is empty (one id).  Repeated rows and null ids are packed like any
+    Null text is empty (one id).  Texts of any length are encoded whole, runs of
+    a million blanks included.  Repeated rows and null ids are packed like any
     others; an empty table gives an empty result; other columns are ignored."""
     vocabulary = vocabulary or vocabulary_path("byte_bpe_50k.tiktoken")
     rows = materialize(pieces(docs, vocabulary, capacity, end_id, id_col, text_col), "pack-pieces")
@@ -328,16 +334,18 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = 2048, e
     table = {l: np.array(v, np.int64).T for l, v in places.items()}
 
     def lay_out(batches):
-        for pdf in batches:
-            length, rank = pdf["length"].to_numpy(), pdf["rank"].to_numpy()
-            seq, off = np.empty(len(pdf), np.int64), np.empty(len(pdf), np.int64)
+        for batch in batches:
+            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
+            seq, off = np.empty(len(batch), np.int64), np.empty(len(batch), np.int64)
             for l in np.unique(length):
                 rows_l = np.flatnonzero(length == l)
                 first, bin0, at = table[int(l)]
                 k = np.searchsorted(first, rank[rows_l], side="right") - 1
                 seq[rows_l], off[rows_l] = bin0[k] + rank[rows_l] - first[k], at[k]
-            yield pdf.drop(columns="rank").assign(sequence_id=seq, offset=off)
+            kept = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(seq), pa.array(off)],
+                                             [*kept, "sequence_id", "offset"])
     kind = rows.schema["doc_id"].dataType.simpleString()
     numbered = number_within_length(rows).select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
-    return numbered.mapInPandas(lay_out, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, "
+    return numbered.mapInArrow(lay_out, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, "
                                          "sequence_id long, offset long")

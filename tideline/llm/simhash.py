@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, materialize, text_of
+from .common import connected_components, materialize, text_of, unused_name
 
 #: See ``join_by_key``.
 HOT_SHARE = 1000
@@ -184,10 +184,13 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     key = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_h").alias("h"))
     kept = materialize(_labelled(fps, key, distance, blocks).groupBy("cid").agg(F.min("pick").alias("k"))
                        .select("k.id", "k.h"), "simhash-kept")
-    tagged = docs.withColumn("_tl_id", docs[id_col]).withColumn(
-        "_tl_h", F.md5(text_of(docs, text_col).cast("binary")))
-    out = tagged.join(kept, tagged["_tl_id"].eqNullSafe(kept["id"]) & (tagged["_tl_h"] == kept["h"]), "left_semi")
+    own_id, own_h = unused_name(docs, "_tl_id"), unused_name(docs, "_tl_h")
+    tagged = docs.withColumn(own_id, docs[id_col]).withColumn(
+        own_h, F.md5(text_of(docs, text_col).cast("binary")))
+    kept = kept.toDF(*[unused_name(tagged, f"_tl_kept_{c}") for c in kept.columns])
+    out = tagged.join(kept, tagged[own_id].eqNullSafe(kept[kept.columns[0]]) & (tagged[own_h] == kept[kept.columns[1]]),
+                      "left_semi")
     repeated = fps.groupBy("_id", "_h").agg(F.count("*").alias("n")).where("n > 1")
     if not repeated.isEmpty():                         # rows equal in id and text: one stays
-        out = out.dropDuplicates(["_tl_id", "_tl_h"])
+        out = out.dropDuplicates([own_id, own_h])
     return out.select(*docs.columns)

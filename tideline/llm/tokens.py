@@ -46,14 +46,49 @@ def added_tokens(path: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in added}
 
 
+#: Characters from which a text is split here: the library's own splitter gives up on a run of some 700,000 blanks.
+LONG_TEXT = 100_000
+
+
+def encode_word(own: tiktoken.Encoding, word: str | bytes) -> list[int]:
+    """Ids of one pre-token, which is not split again."""
+    return own._encode_single_piece(word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass"))
+
+
+def encode_plain(own: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text without special tokens, however long its runs are."""
+    if len(text) <= LONG_TEXT:
+        return own.encode_ordinary(text)
+    out, known = [], {}
+    for m in splitter().finditer(text):
+        word = m.group()
+        ids = known.get(word)
+        if ids is None:
+            ids = encode_word(own, word)
+            if len(known) < LONG_TEXT:
+                known[word] = ids
+        out += ids
+    return out
+
+
 @lru_cache(maxsize=4)
 def tokenizer_encode(path: str):
     """``text -> ids`` as the tokenizer file gives them without the tokens of a
     template: its added tokens are cut out first."""
-    added = added_tokens(path)
-    own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks(path), special_tokens=added)
-    names = set(added)
-    return lambda text: own.encode(text, allowed_special=names, disallowed_special=())
+    added, own = added_tokens(path), encoding(path)
+    if not added:
+        return lambda text: encode_plain(own, text)
+    cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def encode(text: str) -> list[int]:
+        parts = cut.split(text)
+        if len(parts) == 1:
+            return encode_plain(own, text)
+        out = []
+        for k, part in enumerate(parts):               # every second part is an added token
+            out += [added[part]] if k % 2 else encode_plain(own, part)
+        return out
+    return encode
 
 
 @lru_cache(maxsize=4)
