@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 from tideline.plans import registry
 
 SKIP_SIDE_EFFECTS = {"stream_cdc_flatten", "stream_append", "stream_restart", "asof_batch",
-                     "stream_validate"}
+                     "stream_validate", "stream_capture"}
 
 
 def _plan(df):

@@ -179,6 +179,30 @@ def envelope_wire(events: DataFrame) -> DataFrame:
     return _wire(events, F.lit(ENVELOPE_TOPIC), F.to_json(env), _div(i, 3))
 
 
+# The same topic with messages a capture hop must not lose or break on, by i % 31:
+#   1 -> ``"after": null``        2 -> no ``op``            3 -> ``{bad``           4 -> NULL
+#   5 -> ``[1,2]``                6 -> ``null``             7 -> no ``after``       8 -> ``"op":"t"``
+#   9 -> a table of other columns (one null, a list, an object; keys in another order)
+#   10 -> ``"after": {}``         11 -> ``{"a":1}``         12 -> the envelope cut off in the middle
+# else the envelope of envelope_wire.
+def messy_envelope_wire(events: DataFrame) -> DataFrame:
+    wire = envelope_wire(events).withColumn("_i", F.get_json_object(F.col("key").cast("string"), "$.id").cast("long"))
+    k, text = F.col("_i") % 31, F.col("value").cast("string")
+
+    def custom(op: str, after: str) -> Column:
+        return F.concat(F.lit('{"before":null' + after + ',"source":{"db":"d","schema":"public","table":"business_t"},'
+                              + op + '"ts_ms":'), F.col("_i").cast("string"), F.lit("}"))
+    c = '"op":"c",'
+    shapes = {1: custom(c, ',"after":null'), 2: custom("", ',"after":{"x":1}'), 3: F.lit("{bad"),
+              4: F.lit(None).cast("string"), 5: F.lit("[1,2]"), 6: F.lit("null"), 7: custom(c, ""),
+              8: custom('"op":"t",', ',"after":{"x":1}'), 9: custom(c, ',"after":{"z":{"k":"v"},"y":[1,2],"x":null}'),
+              10: custom(c, ',"after":{}'), 11: F.lit('{"a":1}'), 12: F.left(text, F.length(text) - 20)}
+    value = text
+    for n, shape in shapes.items():
+        value = F.when(k == n, shape).otherwise(value)
+    return wire.withColumn("value", value.cast("binary")).drop("_i")
+
+
 # --- CSV datasets derived from the TPC-H-style tables --------------------------
 # All columns are text, headers carry spaces, hyphens and parentheses, and
 # missing values are injected by key:

@@ -85,6 +85,25 @@ cap AS (
   SELECT * FROM env WHERE regexp_full_match(env_schema || '.' || env_table, 'public.business_.*')
 )"""
 
+# Outcome of each message of the messy envelope topic (see fixtures.messy_envelope_wire).
+MESSY_CTE = """
+env AS (
+  SELECT *, CASE WHEN i % 10 = 0 THEN 'd' WHEN i % 10 = 1 THEN 'r' WHEN i % 10 <= 4 THEN 'u' ELSE 'c' END AS env_op,
+         CASE WHEN i % 7 = 0 THEN 'staging' ELSE 'public' END AS env_schema,
+         CASE i % 4 WHEN 0 THEN 'business_ncr_ride_bookings' WHEN 1 THEN 'business_' || event_type
+                    WHEN 2 THEN event_type || '_log' ELSE 'xbusiness_' || event_type END AS env_table,
+         epoch_us(ts) // 1000 AS env_ms FROM ev
+),
+messy AS (
+  SELECT *, CASE i % 31 WHEN 1 THEN 'no row state' WHEN 7 THEN 'no row state' WHEN 2 THEN 'no operation'
+                        WHEN 3 THEN 'not an envelope' WHEN 5 THEN 'not an envelope' WHEN 6 THEN 'not an envelope'
+                        WHEN 11 THEN 'not an envelope' WHEN 12 THEN 'not an envelope' WHEN 4 THEN 'no value'
+                        WHEN 8 THEN 'unknown operation' WHEN 9 THEN 'change' WHEN 10 THEN 'change'
+         ELSE CASE WHEN NOT regexp_full_match(env_schema || '.' || env_table, 'public.business_.*') THEN 'not included'
+                   WHEN env_op = 'd' THEN 'delete' WHEN env_op = 'r' THEN 'snapshot' ELSE 'change' END END AS outcome
+  FROM env
+)"""
+
 # CSV views (see fixtures.customer_view / orders_view / part_view).
 CUST_V = """
 cust_v AS (

@@ -81,6 +81,32 @@ def read_as_of(spark: SparkSession, table_path: str, version: int) -> DataFrame:
     return df.where(F.col("batch_id") <= version)
 
 
+def start_capture_stream(spark: SparkSession, source: TopicSource, changes_path: str, rejected_path: str, *,
+                         checkpoint: str | None = None, trigger: str = TRIGGER_INTERVAL) -> StreamingQuery:
+    """The capture hop as a stream with two sinks: each micro-batch is parsed
+    once and kept, its changes (flat wire rows) go to ``changes_path`` and the
+    envelopes without a usable change, with their reason, to ``rejected_path``.
+    Both are folders ``batch_id=<n>`` that a replayed batch overwrites, so a
+    batch that failed between its two writes leaves no row twice."""
+    from pyspark import StorageLevel
+    from ..operators.capture import CHANGE, DELETE, REJECTED, captured_rows
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = captured_rows(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            (rows.where(F.col("outcome").isin(CHANGE, DELETE)).drop("outcome")
+             .write.mode("overwrite").parquet(f"{changes_path}/batch_id={batch_id}"))
+            (rows.where(F.col("outcome").isin(*REJECTED))
+             .select("topic", "partition", "offset", "timestamp", "value", F.col("outcome").alias("reason"))
+             .write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}"))
+        finally:
+            rows.unpersist()
+
+    writer = (source.read_stream(spark).writeStream.foreachBatch(write_batch)
+              .option("checkpointLocation", checkpoint or f"{changes_path}/{CHECKPOINT_SUBDIR}"))
+    return _trigger(writer, trigger).start()
+
+
 def start_validation_stream(spark: SparkSession, source: TopicSource, table_path: str, *,
                             trigger: str = TRIGGER_INTERVAL, checkpoint: str | None = None,
                             fmt: str = "parquet") -> StreamingQuery:
