@@ -250,6 +250,32 @@ def part_view(part: DataFrame) -> DataFrame:
     )
 
 
+# Free texts by key: % 2 = 0 -> a line break inside, % 3 = 0 -> quotes, % 5 = 0 -> empty, % 7 = 0 -> missing,
+# % 11 = 0 -> blanks around, else a delimiter; the first rule that holds counts, from the last.
+def note_view(orders: DataFrame) -> DataFrame:
+    k, p = F.col("o_orderkey"), F.col("o_orderpriority")
+    note = (F.when(k % 11 == 0, F.concat(F.lit("  "), p, F.lit(" "))).when(k % 7 == 0, F.lit(None).cast("string"))
+            .when(k % 5 == 0, F.lit("")).when(k % 3 == 0, F.concat(F.lit('say "'), p, F.lit('"')))
+            .when(k % 2 == 0, F.concat(p, F.lit("\n\nsecond, line")))
+            .otherwise(F.concat(p, F.lit(", more"))))
+    return orders.select(_txt("o_orderkey").alias("Order Key"), note.alias("Note (Text)"), p.alias("Priority"))
+
+
+# Raw lines of a dataset with bad records by key: % 37 = 0 -> two fields, % 41 = 0 -> four, % 43 = 0 -> a note of
+# two lines, else three fields.
+RAW_LINES = {"header": "true", "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
+
+
+def messy_lines(orders: DataFrame) -> DataFrame:
+    k, key, p = F.col("o_orderkey"), _txt("o_orderkey"), F.col("o_orderpriority")
+    lines = (F.when(k % 37 == 0, F.array(F.concat(key, F.lit(",short"))))
+             .when(k % 41 == 0, F.array(F.concat(key, F.lit(",long,"), p, F.lit(",more"))))
+             .when(k % 43 == 0, F.array(F.concat(key, F.lit(',"first')), F.concat(F.lit('second",'), p)))
+             .otherwise(F.array(F.concat(key, F.lit(",note,"), p))))
+    return orders.select(F.explode(lines).alias("Order Key,Note,Priority"))
+
+
 def text_view(df: DataFrame) -> DataFrame:
     return df.select(*[_txt(c).alias(c) for c in df.columns])
 

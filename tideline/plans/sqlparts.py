@@ -135,6 +135,26 @@ part_v AS (
          CASE WHEN p_type LIKE 'PROMO%' THEN 'True' ELSE 'False' END AS "Promo"
   FROM part
 )"""
+# Free texts and bad records (see fixtures.note_view / messy_lines).
+NOTE_CTE = """
+notes AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS "Order Key",
+         CASE WHEN o_orderkey % 11 = 0 THEN '  ' || o_orderpriority || ' ' WHEN o_orderkey % 7 = 0 THEN NULL
+              WHEN o_orderkey % 5 = 0 THEN '' WHEN o_orderkey % 3 = 0 THEN 'say "' || o_orderpriority || '"'
+              WHEN o_orderkey % 2 = 0 THEN o_orderpriority || chr(10) || chr(10) || 'second, line'
+              ELSE o_orderpriority || ', more' END AS "Note (Text)",
+         o_orderpriority AS "Priority"
+  FROM orders
+)"""
+MESSY_CSV_CTE = """
+messy AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS "Order Key",
+         CASE WHEN o_orderkey % 43 = 0 THEN 'first' || chr(10) || 'second' ELSE 'note' END AS "Note", o_orderpriority AS "Priority",
+         CASE WHEN o_orderkey % 37 = 0 OR o_orderkey % 41 = 0 THEN 'wrong number of fields' END AS reason,
+         CASE WHEN o_orderkey % 37 = 0 THEN CAST(o_orderkey AS VARCHAR) || ',short'
+              ELSE CAST(o_orderkey AS VARCHAR) || ',long,' || o_orderpriority || ',more' END AS bad
+  FROM orders
+)"""
 CSV_VIEWS = f"{CUST_V}, {ORD_V}, {PART_V}"
 
 # Typed customer table as the loader stores it.

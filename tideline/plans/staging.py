@@ -14,7 +14,7 @@ from ..schemas import WIRE_SCHEMA
 from ..session import fresh_path, path_exists, scratch_path
 
 
-LAYOUT_VERSION = "4"   # bump when a staged layout changes; old copies are left alone
+LAYOUT_VERSION = "5"   # bump when a staged layout changes; old copies are left alone
 
 
 def input_stamp(spark: SparkSession, sf_dir: str) -> str:
@@ -35,11 +35,15 @@ def input_key(spark: SparkSession, sf_dir: str) -> str:
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, build, fmt: str = "parquet",
-           options: dict | None = None) -> str:
-    """Path of ``build()`` written under the scratch folder (once)."""
+           options: dict | None = None, write=None) -> str:
+    """Path of ``build()`` written under the scratch folder (once), by
+    ``write(df, path)`` if given."""
     path = scratch_path(spark, "staged", input_key(spark, sf_dir), name)
     if not path_exists(spark, f"{path}/_SUCCESS"):
         df: DataFrame = build()
+        if write is not None:
+            write(df, path)
+            return path
         df.write.mode("overwrite").options(**(options or {})).format(fmt).save(path)
     return path
 

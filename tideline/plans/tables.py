@@ -18,13 +18,14 @@ from ..operators.profile import profile_datasets, profiles_frame, report_rows, s
 from ..operators.shape import (ColumnType, add_audit_columns, cast_failures, fill_missing, infer_types,
                                infer_types_many, normalize_columns, typed_load, types_frame)
 from ..sinks import business_table, cluster_by_time, replace_table, write_json_report, write_record_sets
-from ..sources.csvfiles import (CSV_OPTIONS, read_csv_dataset, read_local_csv_files, dataset_row_counts,
+from ..sources.csvfiles import (read_csv_dataset, read_local_csv_files, dataset_row_counts,
                                 write_csv_dataset)
-from ..session import scratch_path
-from .fixtures import (CSV_DATASETS, LOCAL_FILES, capture_wire, customer_view, load,
-                       load_ordered, orders_view)
+from ..session import scratch_path, touch
+from ..sources.csvrecords import bad_records, file_status, good_records, read_csv_records
+from .fixtures import (CSV_DATASETS, LOCAL_FILES, RAW_LINES, capture_wire, customer_view, load,
+                       load_ordered, messy_lines, note_view, orders_view)
 from .registry import register
-from .sqlparts import CSV_VIEWS, CUST_TYPED, CUST_V, EVENTS_CTE, ORD_V, TS_TEXT
+from .sqlparts import CSV_VIEWS, CUST_TYPED, CUST_V, EVENTS_CTE, MESSY_CSV_CTE, NOTE_CTE, ORD_V, TS_TEXT
 from .staging import fresh, input_key, staged
 
 CUSTOMERS = "ncr_ride_bookings_customers"
@@ -34,8 +35,7 @@ def csv_root(spark, sf_dir) -> str:
     """Folder holding every CSV dataset (staged once per input folder)."""
     for name, (table, key, view) in CSV_DATASETS.items():
         staged(spark, sf_dir, f"csv/{name}.csv",
-               lambda t=table, k=key, v=view: v(load_ordered(spark, sf_dir, t, k)),
-               fmt="csv", options=CSV_OPTIONS)
+               lambda t=table, k=key, v=view: v(load_ordered(spark, sf_dir, t, k)), write=write_csv_dataset)
     return scratch_path(spark, "staged", input_key(spark, sf_dir), "csv")
 
 
@@ -277,6 +277,49 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv_dataset(spark, out)
 
 
+@register("csv_text_roundtrip", f"WITH {NOTE_CTE} SELECT * FROM notes")
+def csv_text_roundtrip(spark, sf_dir):
+    """Texts with line breaks, quotes, delimiters, blanks, empty and missing values
+    -> CSV -> read back as they were."""
+    out = f"{fresh(spark, 'csv_text_roundtrip')}/notes.csv"
+    write_csv_dataset(note_view(load(spark, sf_dir, "orders")), out)
+    return read_csv_dataset(spark, out)
+
+
+def _messy_csv(spark, sf_dir) -> str:
+    return staged(spark, sf_dir, "csv_messy/order_lines.csv",
+                  lambda: messy_lines(load_ordered(spark, sf_dir, "orders", "o_orderkey")), fmt="csv", options=RAW_LINES)
+
+
+@register("csv_good_records", f"WITH {MESSY_CSV_CTE} SELECT \"Order Key\", \"Note\", \"Priority\" FROM messy WHERE reason IS NULL")
+def csv_good_records(spark, sf_dir):
+    """Well-formed records of a dataset that also holds ragged ones."""
+    return good_records(read_csv_records(spark, _messy_csv(spark, sf_dir)))
+
+
+@register("csv_bad_records", f"WITH {MESSY_CSV_CTE} SELECT 'order_lines' AS dataset, reason, bad AS text FROM messy WHERE reason IS NOT NULL")
+def csv_bad_records(spark, sf_dir):
+    """Records set aside, with their dataset, reason and text."""
+    bad = bad_records(read_csv_records(spark, _messy_csv(spark, sf_dir)))
+    return bad.select(dataset_from_path(F.col("file")).alias("dataset"), "reason", "text")
+
+
+@register("csv_file_status", f"""
+WITH {MESSY_CSV_CTE}
+SELECT 'loaded' AS status, count(*) FILTER (reason IS NULL) AS rows, count(*) FILTER (reason IS NOT NULL) AS bad_rows FROM messy
+UNION ALL SELECT 'unreadable', 0, 0 UNION ALL SELECT 'missing', 0, 0
+""")
+def csv_file_status(spark, sf_dir):
+    """Files by status, with the records they gave: the dataset's own files, one
+    that is no gzip file, and one that is not there."""
+    path = _messy_csv(spark, sf_dir)
+    broken = f"{fresh(spark, 'csv_file_status')}/broken.csv.gz"
+    touch(spark, broken, b"this is no gzip file")
+    records = read_csv_records(spark, [path, broken], columns=["Order Key", "Note", "Priority"])
+    status = file_status(spark, [path, broken, f"{broken}.missing"], records)
+    return status.where("status <> 'empty'").groupBy("status").agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
+
+
 @register("json_produce", "SELECT * FROM customer")
 def json_produce(spark, sf_dir):
     """Rows -> JSON message values on a wire table -> read and parsed back

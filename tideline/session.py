@@ -80,6 +80,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def is_blank_file(spark: SparkSession, path: str) -> bool:
+    """True for a file of no bytes (metadata only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    return status.isFile() and status.getLen() == 0
+
+
+def touch(spark: SparkSession, path: str, content: bytes = b"") -> None:
+    """A small file, written by the driver."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p)
+    try:
+        if content:
+            out.write(content)
+    finally:
+        out.close()
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries in a folder (metadata only, no data)."""
     jvm = spark.sparkContext._jvm
@@ -91,4 +110,4 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 
 __all__ = ["build_session", "apply_conventions", "scratch_root", "scratch_path",
-           "fresh_path", "path_exists", "list_names"]
+           "fresh_path", "path_exists", "touch", "list_names"]
