@@ -74,3 +74,16 @@ def test_more_files_than_cores_and_no_rows(spark, tmp_path):
     out = surrogate_ids(text, fresh_path(spark, "test_ids_many"))
     assert out.where("id <> x + 1").count() == 0 and out.count() == 300
     assert surrogate_ids(text.where("false"), fresh_path(spark, "test_ids_none")).count() == 0
+
+
+def test_ranges_grow_with_the_size_of_the_data(spark, monkeypatch):
+    from tideline.operators import ids
+    df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    assert ids.range_count(df) is None                 # the session's number is enough
+    counts = []
+    for size in (40_000, 10_000):
+        monkeypatch.setattr(ids, "RANGE_BYTES", size)
+        counts.append(ids.by_ranges(df, ["o_orderkey"]).rdd.getNumPartitions())
+    assert counts[0] > 4 and 3 * counts[0] <= counts[1] <= 4 * counts[0]
+    assert surrogate_ids(df.select("o_orderkey"), fresh_path(spark, "test_ids_ranges"), order_by=["o_orderkey"]) \
+        .agg(F.max("id")).first()[0] == df.count()

@@ -27,6 +27,25 @@ from pyspark.sql import functions as F
 BROADCAST_GROUPS_MAX = 4_000_000
 
 
+#: Estimated bytes of a range, at most.
+RANGE_BYTES, MOST_RANGES = 128 << 20, 1_000_000
+
+
+def range_count(df: DataFrame) -> int | None:
+    """Number of ranges that ``df`` needs by the optimizer's estimate of its size;
+    None where the session's number of shuffle partitions is enough (adaptive
+    execution only ever merges those)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    need = min(MOST_RANGES, -(-size // RANGE_BYTES))
+    return need if need > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def by_ranges(df: DataFrame, by, num_partitions: int | None = None) -> DataFrame:
+    """``repartitionByRange`` into the given number of ranges, or as many as the size of the data asks for."""
+    n = num_partitions or range_count(df)
+    return df.repartitionByRange(n, *by) if n else df.repartitionByRange(*by)
+
+
 def prefix_offsets(stats: DataFrame, order: list[str], count: str, stage_path: str,
                    ranges: int | None = None) -> DataFrame:
     """Exclusive running totals of ``count`` in ``order`` order, in Spark.
@@ -37,7 +56,7 @@ def prefix_offsets(stats: DataFrame, order: list[str], count: str, stage_path: s
     slice, and only the slice totals (one row a shuffle partition at most)
     reach the driver."""
     spark = stats.sparkSession
-    sliced = stats.repartitionByRange(ranges, *order) if ranges else stats.repartitionByRange(*order)
+    sliced = by_ranges(stats, order, ranges)
     sliced.withColumn("_rp", F.spark_partition_id()).write.mode("overwrite").parquet(stage_path)
     sliced = spark.read.parquet(stage_path)
     totals = sorted((r["_rp"], r["_t"]) for r in
@@ -99,7 +118,7 @@ def surrogate_ids(df: DataFrame, stage_path: str, *, order_by: Sequence[str] | N
     if order_by:
         keyed = df.withColumn("_tb", F.monotonically_increasing_id())
         by = [*order_by, "_tb"]
-        ranged = keyed.repartitionByRange(num_partitions, *by) if num_partitions else keyed.repartitionByRange(*by)
+        ranged = by_ranges(keyed, by, num_partitions)
         tagged = (ranged.sortWithinPartitions(*by).withColumn("_g", F.spark_partition_id().cast("long"))
                   .withColumn("_m", F.monotonically_increasing_id()).drop("_tb"))
         order = ["_g"]

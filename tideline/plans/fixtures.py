@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..constants import (BOOKING_FIELD, CAPTURE_TOPIC, PRODUCER_TOPIC, RIDE_FIELD,
                          TEST_ACTION)
 from ..functions.timefmt import ts_to_micros
+from ..operators.ids import by_ranges
 
 UPDATE_SHIFT_US = 90_000_000
 
@@ -37,7 +38,7 @@ def load_ordered(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataF
     """A given table whose row order matters downstream (CSV files that are
     numbered in input order): ranges of the key, sorted within, so that the
     order of the files is the order of the key whatever the input's layout."""
-    return load(spark, sf_dir, name).repartitionByRange(key).sortWithinPartitions(key)
+    return by_ranges(load(spark, sf_dir, name), [key]).sortWithinPartitions(key)
 
 
 def _i() -> Column:

@@ -9,15 +9,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (KAGGLE_GLOB, LOCAL_PREFIX, MISSING_TOKENS, SOURCE_DOWNLOADED, SOURCE_LOCAL,
+from ..constants import (KAGGLE_GLOB, LOCAL_PREFIX, MISSING_TOKENS, PRODUCER_TOPIC, SOURCE_DOWNLOADED, SOURCE_LOCAL,
                          TABLE_PREFIX)
 from ..functions.naming import dataset_from_path, normalize_name, table_name
 from ..operators.flatten import flatten_changes
 from ..operators.ids import surrogate_ids
+from ..operators.loading import load_datasets, load_report, load_status
 from ..operators.profile import profile_datasets, profiles_frame, report_rows, string_widths
 from ..operators.shape import (ColumnType, add_audit_columns, cast_failures, fill_missing, infer_types,
                                infer_types_many, normalize_columns, typed_load, types_frame)
-from ..sinks import business_table, cluster_by_time, replace_table, write_json_report, write_record_sets
+from ..sinks import business_table, cluster_by_time, produce_json, replace_table, write_json_report, write_record_sets
 from ..sources.csvfiles import (read_csv_dataset, read_local_csv_files, dataset_row_counts,
                                 write_csv_dataset)
 from ..session import scratch_path, touch
@@ -325,14 +326,32 @@ def json_produce(spark, sf_dir):
     """Rows -> JSON message values on a wire table -> read and parsed back
     with the table's schema."""
     customer = load(spark, sf_dir, "customer")
-    wire = customer.select(F.to_json(F.struct(*customer.columns)).cast("binary").alias("value"))
     out = fresh(spark, "json_produce")
-    wire.write.parquet(out)
+    produce_json(customer, PRODUCER_TOPIC).write.parquet(out)
     back = spark.read.parquet(out)
     return back.select(F.from_json(F.col("value").cast("string"), customer.schema).alias("r")) \
         .select("r.*")
 
 
+@register("json_produce_messages", f"""
+SELECT '{PRODUCER_TOPIC}' AS topic, '{{"c_custkey":' || c_custkey || '}}' AS key_text,
+       '{{"id":' || c_custkey || ',"name":' || CASE WHEN c_custkey % 3 = 0 THEN 'null' ELSE '"' || c_name || '"' END
+       || ',"segment":' || CASE WHEN c_custkey % 5 = 0 THEN 'null' ELSE '"' || c_mktsegment || '"' END || '}}' AS value_text
+FROM customer
+""")
+def json_produce_messages(spark, sf_dir):
+    """Produced messages as they stand on the topic: key, and the value with its
+    null fields."""
+    k = F.col("c_custkey")
+    rows = load(spark, sf_dir, "customer").select(
+        "c_custkey", F.struct(k.alias("id"), F.when(k % 3 != 0, F.col("c_name")).alias("name"),
+                              F.when(k % 5 != 0, F.col("c_mktsegment")).alias("segment")).alias("m"))
+    out = fresh(spark, "json_produce_messages")
+    produce_json(rows, PRODUCER_TOPIC, key=["c_custkey"], value="m").write.parquet(out)
+    return spark.read.parquet(out).select("topic", F.col("key").cast("string").alias("key_text"),
+                                          F.col("value").cast("string").alias("value_text"))
+
+
 TIME_LO, TIME_HI = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
 
 
@@ -359,28 +378,46 @@ def time_range_lookup(spark, sf_dir):
                                    "ride_distance")
 
 
-@register("load_report", """
-SELECT 6 AS total_datasets,
+_TOTALS = """SELECT 6 AS total_datasets,
        (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer) + (SELECT count(*) FROM part)
        + (SELECT count(*) FROM region) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM supplier)
        AS total_records,
-       2 AS kaggle_datasets, 4 AS local_datasets, 1 AS missing_files
-""")
-def load_report_q(spark, sf_dir):
-    """Datasets loaded, records, datasets by source, files not found."""
+       2 AS kaggle_datasets, 4 AS local_datasets, 1 AS missing_files"""
+
+
+def _load_all(spark, sf_dir, extra=None):
+    """Every dataset into its typed table; types of the well-formed ones from one job."""
     frames, missing = _all_frames(spark, sf_dir)
-    counts = None
-    for name, df in frames.items():
-        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
-        counts = c if counts is None else counts.unionByName(c)
-    local = F.col("dataset").startswith(LOCAL_PREFIX)
-    loaded = F.count(F.lit(1)).cast("int")
-    none = F.raise_error(F.lit("no dataset has data")).cast("int")
-    return counts.where("rows > 0").agg(F.when(loaded > 0, loaded).otherwise(none).alias("total_datasets"),
-                      F.sum("rows").alias("total_records"),
-                      F.count_if(~local).cast("int").alias("kaggle_datasets"),
-                      F.count_if(local).cast("int").alias("local_datasets"),
-                      F.lit(len(missing)).cast("int").alias("missing_files"))
+    types = infer_types_many(frames)
+    known = {id(df): types[n] for n, df in frames.items()}
+    return load_datasets(frames | (extra or {}), fresh(spark, "warehouse"),
+                         tuple(f"{LOCAL_PREFIX}{p.rsplit('/', 1)[-1].removesuffix('.csv')}" for p in missing),
+                         lambda df: add_audit_columns(typed_load(df, known.get(id(df)))))
+
+
+@register("load_report", f"{_TOTALS}, 0 AS failed_datasets, false AS success")
+def load_report_q(spark, sf_dir):
+    """Datasets loaded, records, datasets by source, files not found, datasets that
+    failed and the verdict, all from the load itself; the time is checked here."""
+    report = load_report(spark, _load_all(spark, sf_dir))
+    return report.where(F.col("timestamp").try_cast("timestamp").isNotNull()).drop("timestamp")
+
+
+@register("load_status", """
+SELECT 'ncr_ride_bookings' AS dataset, 'kaggle' AS source, 'loaded' AS status, count(*) AS rows, false AS has_error FROM orders
+UNION ALL SELECT 'ncr_ride_bookings_customers', 'kaggle', 'loaded', count(*), false FROM customer
+UNION ALL SELECT 'local_parts', 'local', 'loaded', count(*), false FROM part
+UNION ALL SELECT 'local_regions', 'local', 'loaded', count(*), false FROM region
+UNION ALL SELECT 'local_nations', 'local', 'loaded', count(*), false FROM nation
+UNION ALL SELECT 'local_suppliers', 'local', 'loaded', count(*), false FROM supplier
+UNION ALL SELECT 'local_order_lines', 'local', 'failed', 0, true
+UNION ALL SELECT 'local_missing', 'local', 'missing', 0, false
+""")
+def load_status_q(spark, sf_dir):
+    """What became of each dataset, one with ragged records among them."""
+    ragged = read_csv_dataset(spark, _messy_csv(spark, sf_dir))
+    loads = _load_all(spark, sf_dir, {f"{LOCAL_PREFIX}order_lines": ragged})
+    return load_status(spark, loads).select("dataset", "source", "status", "rows", F.col("error").isNotNull().alias("has_error"))
 
 
 _PROFILE_EXPECT = {

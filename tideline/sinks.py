@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .constants import TABLE_PREFIX
 from .functions.naming import normalize_name
+from .operators.ids import by_ranges
 from .operators.shape import fill_missing, normalize_columns
 from .sources.csvfiles import write_csv_dataset
 
@@ -40,8 +41,7 @@ def cluster_by_time(df: DataFrame, column: str, num_partitions: int | None = Non
     # such a value over several ranges instead of one task.
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     tied, by = df.withColumn("_tie", tie), (F.col(column), F.col("_tie"))
-    # without a number AQE sizes the ranges
-    ranged = tied.repartitionByRange(num_partitions, *by) if num_partitions else tied.repartitionByRange(*by)
+    ranged = by_ranges(tied, by, num_partitions)
     return ranged.sortWithinPartitions(column).drop("_tie")
 
 
@@ -60,6 +60,17 @@ def write_record_sets(sets: dict[str, DataFrame], folder: str) -> dict[str, str]
     return paths
 
 
+def produce_json(df: DataFrame, topic: str, key: list[str] | None = None, value: str | None = None) -> DataFrame:
+    """Rows as messages ``key, value, topic`` for a Kafka or wire sink.  The value is
+    the row (or the struct column ``value``) as a JSON object in which null
+    fields are written as null; the key is the JSON object of the ``key``
+    columns, or null, which spreads the messages over the partitions."""
+    keep = {"ignoreNullFields": "false"}
+    body = F.col(value) if value else F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    name = F.to_json(F.struct(*[F.col(f"`{c}`") for c in key]), keep).cast("binary") if key else F.lit(None).cast("binary")
+    return df.select(name.alias("key"), F.to_json(body, keep).cast("binary").alias("value"), F.lit(topic).alias("topic"))
+
+
 def write_json_report(df: DataFrame, path: str) -> None:
     """Report rows as JSON lines; non-JSON types are written as text."""
     df.write.mode("overwrite").json(path)
