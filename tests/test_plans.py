@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 from tideline.plans import registry
 
 SKIP_SIDE_EFFECTS = {"stream_cdc_flatten", "stream_append", "stream_restart", "asof_batch",
-                     "stream_validate", "stream_capture"}
+                     "stream_validate", "stream_capture", "stream_consumer_lag", "stream_latest"}
 
 
 def _plan(df):
@@ -46,6 +46,15 @@ def test_time_filter_reaches_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*created_at", plan)
 
 
+def test_topic_offsets_come_from_file_statistics(spark):
+    df = E.queries()["topic_offsets"](spark, SF_SMALL)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = df._jdf.queryExecution().explainString(mode)
+    assert re.search(r"PushedAggregation: \[MIN\(offset\), MAX\(offset\), COUNT\(", plan)
+    assert re.search(r"PushedGroupBy: \[[^\]]*topic[^\]]*partition", plan)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"      # the caller's session is left alone
+
+
 def test_offsets_read_only_three_columns(spark):
     from tideline.plans.streams import _capture_source
     from tideline.operators.offsets import end_offsets

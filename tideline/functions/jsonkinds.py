@@ -25,6 +25,21 @@ END_MARK = "tideline end of message"
 ZERO_RE = r"^-?0(\.0+)?([eE][+-]?[0-9]+)?$"
 
 
+#: Numbers that a Python consumer reads and JSON does not know; a text that holds one is parsed a second time.
+NON_NUMBER = r"(?:^|[\s\[{:,])(?:NaN|-?Infinity)(?:$|[\s\]},])"
+NON_NUMERIC = {"allowNonNumericNumbers": "true"}
+
+
+def _marked(text: Column) -> Column:
+    """The text as the first of two array items, so that what follows its value does not pass unread."""
+    return F.concat(F.lit("["), text, F.lit(f'\n,"{END_MARK}"]'))
+
+
+def _lenient(text: Column) -> Column:
+    items = F.from_json(_marked(text), "array<string>", NON_NUMERIC)
+    return (F.size(items) == 2) & (F.get(items, F.lit(1)) == END_MARK) & ~text.rlike(r"[+]Infinity|\bINF\b")
+
+
 def _trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(JSON_WS))
 
@@ -47,11 +62,15 @@ def add_validation(df: DataFrame, text: str) -> DataFrame:
     staged = (df.withColumn("_first", first_char(t))
               .withColumn("_kind", kind_of_first(F.col("_first")))
               # as the first of two array items, so that text after the value does not pass unread
-              .withColumn("_ok", F.coalesce(F.try_variant_get(
-                  F.try_parse_json(F.concat(F.lit("["), t, F.lit(f'\n,"{END_MARK}"]'))), "$[1]", "string")
-                  == END_MARK, F.lit(False)))
-              .withColumn("_keys", F.when((F.col("_kind") == "object") & F.col("_ok"),
-                                          F.json_object_keys(t))))
+              .withColumn("_v", F.try_parse_json(_marked(t)))
+              .withColumn("_odd", F.col("_v").isNull() & t.rlike(NON_NUMBER))
+              .withColumn("_ok", F.coalesce(
+                  F.when(F.col("_odd"), _lenient(t)).otherwise(
+                      (F.try_variant_get("_v", "$[1]", "string") == END_MARK)
+                      & F.try_variant_get("_v", "$[2]", "string").isNull()), F.lit(False)))
+              .withColumn("_keys", F.when((F.col("_kind") == "object") & F.col("_ok"), F.when(
+                  F.col("_odd"), F.map_keys(F.from_json(t, "map<string,string>", NON_NUMERIC))).otherwise(
+                  F.json_object_keys(t)))))
     kind, keys = F.col("_kind"), F.col("_keys")
     has_ts = F.exists(keys, lambda k: k.isin(list(TIMESTAMP_KEYS)))
     reason = (
@@ -69,7 +88,7 @@ def add_validation(df: DataFrame, text: str) -> DataFrame:
         .otherwise(F.when(_trimmed(t).rlike(ZERO_RE), F.lit(REASON_EMPTY))
                    .otherwise(F.lit(REASON_NOT_OBJECT)))
     )
-    return staged.withColumn("reason", reason).drop("_first", "_kind", "_ok", "_keys")
+    return staged.withColumn("reason", reason).drop("_first", "_kind", "_ok", "_keys", "_v", "_odd")
 
 
 def is_valid_reason(reason: Column) -> Column:

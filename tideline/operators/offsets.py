@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import WIRE_SCHEMA
+
 BROADCAST_MAX_ROWS = 100_000
 EARLIEST, LATEST = -2, -1
 
@@ -39,12 +41,33 @@ def end_offsets(wire: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("messages")))
 
 
-def topic_offsets(wire: DataFrame) -> DataFrame:
-    """End offsets plus, per topic, the partition count and whether it holds
-    any message.  The window runs over the aggregate (one row per
-    topic-partition), never over messages."""
+def footer_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`end_offsets` of a wire table laid out by topic and partition
+    (``write_by_partition``), from the statistics in its parquet footers: the
+    aggregate is pushed into the scan and no row is read.  A sister session
+    holds the two settings this needs, the caller's stay as they are."""
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    wire = reader.read.schema(WIRE_SCHEMA).parquet(path)
+    # without an alias inside: only bare MIN, MAX and COUNT are pushed
+    return (wire.groupBy("topic", "partition").agg(F.min("offset"), F.max("offset"), F.count(F.lit(1)))
+            .toDF("topic", "partition", "start_offset", "last", "messages")
+            .select("topic", "partition", "start_offset", (F.col("last") + 1).alias("end_offset"), "messages"))
+
+
+def write_by_partition(wire: DataFrame, path: str) -> None:
+    """Wire rows laid out by topic and partition, in offset order within files."""
+    (wire.sortWithinPartitions("topic", "partition", "offset").write.mode("append")
+     .partitionBy("topic", "partition").parquet(path))
+
+
+def topic_offsets(wire: DataFrame, ends: DataFrame | None = None) -> DataFrame:
+    """End offsets (``ends`` if they are known) plus, per topic, the partition
+    count and whether it holds any message.  The window runs over the aggregate
+    (one row per topic-partition), never over messages."""
     per_topic = Window.partitionBy("topic")
-    return (end_offsets(wire)
+    return ((end_offsets(wire) if ends is None else ends)
             .withColumn("partitions", F.count(F.lit(1)).over(per_topic))
             .withColumn("has_messages", F.max(F.col("end_offset") > 0).over(per_topic)))
 
@@ -87,13 +110,21 @@ def offset_range(wire: DataFrame, starting="earliest", ending="latest",
     return out.select(*wire.columns)
 
 
+def read_commits(spark: SparkSession, path: str) -> DataFrame:
+    """``topic, partition, committed_offset`` of a consumer that wrote the next
+    offset to read of every batch below ``path`` (``streaming.jobs.write_commits``)."""
+    commits = spark.read.schema("topic string, partition int, committed_offset long").parquet(f"{path}/batch_id=*")
+    return commits.groupBy("topic", "partition").agg(F.max("committed_offset").alias("committed_offset"))
+
+
 def consumer_lag(wire: DataFrame, committed) -> DataFrame:
     """End offsets left-joined with a consumer group's committed offsets
-    (next offset to read).  Lag = end - committed; a partition without a
-    commit lags by all its messages (end - start), committed shown NULL."""
+    (next offset to read): a DataFrame as :func:`read_commits` gives it, or an
+    offset map.  Lag = end - committed; a partition without a commit lags by all
+    its messages (end - start), committed shown NULL."""
     spark = wire.sparkSession
     ends = end_offsets(wire)
-    com = offset_map(spark, committed, "committed_offset")
+    com = committed if isinstance(committed, DataFrame) else offset_map(spark, committed, "committed_offset")
     return (ends.join(com, ["topic", "partition"], "left")
             .select("topic", "partition", "end_offset", "committed_offset",
                     (F.col("end_offset") - F.coalesce(F.col("committed_offset"), F.col("start_offset")))

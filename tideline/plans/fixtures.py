@@ -105,11 +105,11 @@ def capture_wire(events: DataFrame) -> DataFrame:
     return _wire(events, F.lit(CAPTURE_TOPIC), capture_value_text(), _div(_i(), 3))
 
 
-# Producer-topic message shapes, chosen by (i div 2) % 18 for odd i; the SQL
+# Producer-topic message shapes, chosen by (i div 2) % 24 for odd i; the SQL
 # oracles spell out the expected validation reason for each.
 def producer_value_text() -> Column:
     i = _i()
-    k = _div(i, 2) % 18
+    k = _div(i, 2) % 24
     test_msg = F.to_json(F.struct(
         i.alias("id"),
         F.concat(F.lit("Customer "), F.col("user_id").cast("string")).alias("name"),
@@ -125,6 +125,8 @@ def producer_value_text() -> Column:
         F.lit("{bad"), F.lit("0.0"), F.lit('"0"'), F.lit('{"x":{"op":1}}'),
         F.lit("[null]"), F.lit("null"),
         F.concat(F.lit(' {"created_at": '), ts_to_micros(F.col("ts")).cast("string"), F.lit("} ")),
+        F.lit('{"op":NaN}'), F.lit("[NaN,-Infinity]"), F.lit("Infinity"), F.lit('{"op":1} x'),
+        F.lit('1,"tideline end of message"'), F.lit('{"text":"NaN","op":nan}'),
     ]
     expr = F.when(i % 23 == 0, F.lit(None).cast("string"))
     for n, shape in enumerate(shapes):

@@ -6,11 +6,14 @@ import json
 
 from ..constants import CAPTURE_TOPIC, PRODUCER_TOPIC
 from ..operators.flatten import decode_value
-from ..operators.offsets import consumer_lag, offset_range, topic_offsets
+from ..operators.offsets import (consumer_lag, footer_offsets, offset_range, read_commits, topic_offsets,
+                                 write_by_partition)
+from ..sources.topic import TopicSource
+from ..streaming.jobs import run_available, start_committing_stream
 from .fixtures import load, mixed_wire
 from .registry import register
 from .sqlparts import EVENTS_CTE
-from .staging import staged_wire
+from .staging import fresh, staged, staged_wire
 
 START_SPEC = json.dumps({CAPTURE_TOPIC: {"0": 100, "1": -2, "2": -1}})
 END_SPEC = json.dumps({PRODUCER_TOPIC: {"0": 50}})
@@ -34,8 +37,10 @@ FROM ends
 """)
 def topic_offsets_q(spark, sf_dir):
     """Per topic-partition start/end offsets and message counts; per topic
-    the partition count and whether it holds messages."""
-    return topic_offsets(_mixed(spark, sf_dir))
+    the partition count and whether it holds messages; from file statistics."""
+    path = staged(spark, sf_dir, "mixed_wire_by_partition", lambda: mixed_wire(load(spark, sf_dir, "events")),
+                  write=write_by_partition)
+    return topic_offsets(None, footer_offsets(spark, path))
 
 
 @register("offset_range_scan", f"""
@@ -65,3 +70,23 @@ def consumer_lag_q(spark, sf_dir):
     """Lag of a consumer group per topic-partition from its committed
     offsets (three commits, the other partitions never committed)."""
     return consumer_lag(_mixed(spark, sf_dir), COMMITTED_SPEC)
+
+
+_SEEN = 40                                             # offsets per topic-partition that the consumer got to read
+
+
+@register("stream_consumer_lag", f"""
+WITH {EVENTS_CTE}, {_ENDS}
+SELECT topic, partition, end_offset, least(end_offset, {_SEEN}) AS committed_offset,
+       end_offset - least(end_offset, {_SEEN}) AS lag FROM ends
+""")
+def stream_consumer_lag(spark, sf_dir):
+    """Lag of a consumer that was stopped before the topic's second half landed,
+    from the offsets its batches have committed."""
+    wire = _mixed(spark, sf_dir)
+    root, table, commits = (fresh(spark, f"lag_{n}") for n in ("wire", "table", "commits"))
+    wire.where(f"offset < {_SEEN}").write.parquet(root)
+    source = TopicSource(wire_path=root, starting_offsets="earliest", max_per_trigger=3)
+    run_available(start_committing_stream(spark, source, table, commits, trigger="availableNow"))
+    wire.where(f"offset >= {_SEEN}").write.mode("append").parquet(root)
+    return consumer_lag(source.read(spark), read_commits(spark, commits))

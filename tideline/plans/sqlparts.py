@@ -16,7 +16,7 @@ ev AS (
          CAST(event_id // 3 AS BIGINT) AS off3,
          CAST(event_id // 6 AS BIGINT) AS off6,
          CASE WHEN event_id % 2 = 0 THEN '{CAPTURE_TOPIC}' ELSE '{PRODUCER_TOPIC}' END AS mixed_topic,
-         (event_id // 2) % 18 AS kind
+         (event_id // 2) % 24 AS kind
   FROM events
 )"""
 
@@ -49,6 +49,8 @@ PRODUCER_SHAPES = [
     "'{\"event_type\":\"' || event_type || '\",\"value\":' || CAST(value AS VARCHAR) || '}'",
     "'{\"op\":null,\"id\":' || i || '}'", "'{bad'", "'0.0'", "'\"0\"'", "'{\"x\":{\"op\":1}}'",
     "'[null]'", "'null'", "' {\"created_at\": ' || created_us || '} '",
+    "'{\"op\":NaN}'", "'[NaN,-Infinity]'", "'Infinity'", "'{\"op\":1} x'", "'1,\"tideline end of message\"'",
+    "'{\"text\":\"NaN\",\"op\":nan}'",
 ]
 PRODUCER_REASONS = [
     "Valid JSON message", "Empty message", "Empty message", "Empty message", "Empty message",
@@ -57,6 +59,8 @@ PRODUCER_REASONS = [
     "JSON validation error", "Empty message", "Message is not a JSON object",
     "Valid JSON message (no timestamp field)", "Message is not a JSON object", "Empty message",
     "Valid JSON message",
+    "Valid JSON message", "Message is not a JSON object", "Message is not a JSON object", "JSON validation error",
+    "JSON validation error", "JSON validation error",
 ]
 
 

@@ -14,7 +14,7 @@ from ..schemas import WIRE_SCHEMA
 from ..session import fresh_path, path_exists, scratch_path
 
 
-LAYOUT_VERSION = "5"   # bump when a staged layout changes; old copies are left alone
+LAYOUT_VERSION = "6"   # bump when a staged layout changes; old copies are left alone
 
 
 def input_stamp(spark: SparkSession, sf_dir: str) -> str:

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 from ..constants import FAIL_ON_DATA_LOSS, STARTING_OFFSETS
 from ..schemas import WIRE_SCHEMA
+from ..session import path_exists, touch
+
+#: File in a checkpoint folder that holds the start of a ``latest`` stream over a wire table.
+START_BOUND = "start_bound.json"
 
 
 def format_available(spark: SparkSession, fmt: str) -> bool:
@@ -72,18 +76,30 @@ class TopicSource:
             return df.where(F.col("topic").isin(list(self.topics)))
         return df
 
-    def read_stream(self, spark: SparkSession) -> DataFrame:
-        """Unbounded DataFrame of wire rows.  A wire table is a file stream:
-        files already present are read first, new files as they land."""
+    def read_stream(self, spark: SparkSession, checkpoint: str | None = None) -> DataFrame:
+        """Unbounded DataFrame of wire rows.  A wire table is a file stream: from
+        ``earliest``, files already present are read first; from ``latest``,
+        only files that land after the first start, which ``checkpoint`` (the
+        query's checkpoint folder) remembers over restarts.
+
+        ``fail_on_data_loss="false"`` lets a run go on without files that were
+        deleted before they were read; :func:`lost_files` names them."""
         if self.bootstrap:
             _require_kafka(spark)
             return spark.readStream.format("kafka").options(**self._kafka_options()).load()
-        if self.starting_offsets != "earliest":
-            raise ValueError("a wire table is streamed from its first file: starting_offsets='earliest'")
+        if self.starting_offsets not in ("earliest", "latest"):
+            raise ValueError("a wire table is streamed from 'earliest' or 'latest'")
         reader = spark.readStream.schema(WIRE_SCHEMA)
         if self.max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_per_trigger)
-        return self._select_topics(reader.parquet(self.wire_path))
+        if str(self.fail_on_data_loss).lower() == "false":
+            reader = reader.option("ignoreMissingFiles", "true")
+        rows = reader.parquet(self.wire_path)
+        if self.starting_offsets == "latest":
+            if not checkpoint:
+                raise ValueError("a wire table is streamed from 'latest' with a checkpoint folder, which keeps the start")
+            rows = rows.where(_landed_after(start_bound(spark, self.wire_path, checkpoint)))
+        return self._select_topics(rows)
 
     def read(self, spark: SparkSession, ending_offsets: str = "latest") -> DataFrame:
         """Bounded read between ``starting_offsets`` and ``ending_offsets``
@@ -101,6 +117,52 @@ class TopicSource:
         return offset_range(df, self.starting_offsets, ending_offsets)
 
 
+def start_bound(spark: SparkSession, wire_path: str, checkpoint: str) -> dict:
+    """Where a ``latest`` start of a wire table begins: the time of the newest file
+    that was there at the first start, and the names of the files of that very
+    time.  Kept in the checkpoint folder, so a restart goes on where the first
+    start began.  Spark lists the files; one row comes to the driver beside the
+    names of one millisecond."""
+    kept = f"{checkpoint.rstrip('/')}/{START_BOUND}"
+    if path_exists(spark, kept):
+        return json.loads(spark.read.option("wholetext", "true").text(kept).first()[0])
+    bound = {"time": 0, "names": []}
+    if path_exists(spark, wire_path):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true") \
+            .load(wire_path).select("path", F.unix_millis("modificationTime").alias("t"))
+        newest = files.agg(F.max("t")).first()[0]
+        if newest is not None:
+            names = files.where(F.col("t") == newest).select(F.element_at(F.split("path", "/"), -1).alias("n"))
+            bound = {"time": newest, "names": sorted(r["n"] for r in names.collect())}
+    touch(spark, kept, json.dumps(bound).encode())
+    return bound
+
+
+def _landed_after(bound: dict):
+    at = F.unix_millis(F.col("_metadata.file_modification_time"))
+    return (at > bound["time"]) | ((at == bound["time"]) & ~F.col("_metadata.file_name").isin(bound["names"]))
+
+
+def lost_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``path, batch_id`` of the files that a file stream's checkpoint has recorded
+    and that are gone: input that was deleted before or after it was read."""
+    log = f"{checkpoint.rstrip('/')}/sources/0"
+    if not path_exists(spark, log):
+        return spark.createDataFrame([], "path string, batch_id long")
+    def plain(c):                                      # file:///x and file:/x are one path
+        return F.regexp_replace(c, r"^([A-Za-z0-9]+):/+", "$1:/")
+    seen = (spark.read.text(log).where(F.col("value").startswith("{"))
+            .select(F.from_json("value", "path string, timestamp long, batchId long").alias("e"))
+            .select(plain("e.path").alias("path"), F.col("e.batchId").alias("batch_id")).distinct())
+    folders = seen.select(F.regexp_replace("path", r"/[^/]*$", "").alias("d")).distinct()
+    # one row a folder comes to the driver, and those that are there are listed by Spark
+    there = [r["d"] for r in folders.collect() if path_exists(spark, r["d"])]
+    if not there:
+        return seen
+    listed = spark.read.format("binaryFile").load(there).select(plain("_metadata.file_path").alias("path"))
+    return seen.join(listed, "path", "left_anti")
+
+
 def parse_offset_spec(spec: str) -> list[tuple[str, int, int]]:
     """Spark's JSON offset map ``{"topic": {"0": 23, "1": -2}}`` -> rows
     (topic, partition, offset); -2 means earliest, -1 latest."""

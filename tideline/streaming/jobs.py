@@ -6,6 +6,8 @@ exactly-once through the sink's checkpoint, kept inside the table folder
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -45,7 +47,8 @@ def start_change_stream(spark: SparkSession, source: TopicSource, table_path: st
                         fmt: str | None = None, trigger: str = TRIGGER_INTERVAL,
                         checkpoint: str | None = None, typed_time: bool = False) -> StreamingQuery:
     """The streaming job: read the topic, flatten each message, append."""
-    flat = flatten_changes(source.read_stream(spark), typed_time=typed_time)
+    checkpoint = checkpoint or f"{table_path}/{CHECKPOINT_SUBDIR}"
+    flat = flatten_changes(source.read_stream(spark, checkpoint), typed_time=typed_time)
     return append_stream(flat, table_path, fmt=fmt or lake_format(spark),
                          checkpoint=checkpoint, trigger=trigger)
 
@@ -62,6 +65,30 @@ def run_available(query: StreamingQuery, timeout_s: float | None = None) -> Stre
     return query
 
 
+def run_until_idle(query: StreamingQuery, idle_s: float, timeout_s: float) -> StreamingQuery:
+    """Let a processing-time query run until no message has come for ``idle_s``
+    seconds or ``timeout_s`` have passed, and stop it; its own progress reports
+    say whether messages came.  The query ends normally: a batch under way is
+    finished first, and its failure is raised."""
+    start = last = time.monotonic()
+    seen = None
+    while query.isActive and time.monotonic() - start < timeout_s and time.monotonic() - last < idle_s:
+        query.awaitTermination(0.2)
+        for p in query.recentProgress:
+            if (seen is None or p.batchId > seen) and p.numInputRows:
+                seen, last = p.batchId, time.monotonic()
+        if query.isActive and query.status["isTriggerActive"] and query.status["isDataAvailable"]:
+            last = time.monotonic()
+    if query.isActive:
+        deadline = time.monotonic() + timeout_s
+        while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+            query.awaitTermination(0.05)
+        query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return query
+
+
 def append_batches_tagged(df: DataFrame, table_path: str, *, checkpoint: str | None = None,
                           trigger: str = "availableNow") -> StreamingQuery:
     """Append each micro-batch under ``batch_id=<n>`` so that a reader can ask
@@ -107,6 +134,27 @@ def start_capture_stream(spark: SparkSession, source: TopicSource, changes_path:
     return _trigger(writer, trigger).start()
 
 
+def write_commits(batch: DataFrame, commits_path: str, batch_id: int) -> None:
+    """The next offset to read of every topic-partition in a batch, written after
+    the batch's own output; a replayed batch overwrites its entry."""
+    (batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("committed_offset"))
+     .write.mode("overwrite").parquet(f"{commits_path}/batch_id={batch_id}"))
+
+
+def start_committing_stream(spark: SparkSession, source: TopicSource, table_path: str, commits_path: str, *,
+                            checkpoint: str | None = None, trigger: str = TRIGGER_INTERVAL) -> StreamingQuery:
+    """The change job as a consumer that records how far it has come: each batch
+    appends its flat rows (folder ``batch_id=<n>``) and then its offsets, which
+    ``operators.offsets.consumer_lag`` compares with the end of the topic."""
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        flatten_changes(batch).write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+        write_commits(batch, commits_path, batch_id)
+
+    writer = (source.read_stream(spark, checkpoint).writeStream.foreachBatch(write_batch)
+              .option("checkpointLocation", checkpoint or f"{table_path}/{CHECKPOINT_SUBDIR}"))
+    return _trigger(writer, trigger).start()
+
+
 def start_validation_stream(spark: SparkSession, source: TopicSource, table_path: str, *,
                             trigger: str = TRIGGER_INTERVAL, checkpoint: str | None = None,
                             fmt: str = "parquet") -> StreamingQuery:
