@@ -102,3 +102,13 @@ def test_second_load_replaces_the_first(spark, tmp_path):
 
 def test_widths_of_a_file_without_text_columns(spark):
     assert string_widths(spark.range(3)).collect() == []
+
+
+def test_a_failed_swap_leaves_the_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tideline.sinks import swap_table
+    swap_table(spark.range(5), str(tmp_path), "swap_test")
+    with pytest.raises(Exception):
+        swap_table(spark.range(9).select(F.raise_error(F.lit("no")).cast("int").alias("x")), str(tmp_path), "swap_test")
+    assert spark.table("swap_test").columns == ["id"] and spark.table("swap_test").count() == 5
+    spark.sql("DROP VIEW swap_test")

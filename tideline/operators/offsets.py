@@ -117,13 +117,13 @@ def read_commits(spark: SparkSession, path: str) -> DataFrame:
     return commits.groupBy("topic", "partition").agg(F.max("committed_offset").alias("committed_offset"))
 
 
-def consumer_lag(wire: DataFrame, committed) -> DataFrame:
+def consumer_lag(wire: DataFrame, committed, ends: DataFrame | None = None) -> DataFrame:
     """End offsets left-joined with a consumer group's committed offsets
     (next offset to read): a DataFrame as :func:`read_commits` gives it, or an
-    offset map.  Lag = end - committed; a partition without a commit lags by all
+    offset map.  ``ends`` are the topic's end offsets if they are known.  Lag = end - committed; a partition without a commit lags by all
     its messages (end - start), committed shown NULL."""
-    spark = wire.sparkSession
-    ends = end_offsets(wire)
+    ends = end_offsets(wire) if ends is None else ends
+    spark = ends.sparkSession
     com = committed if isinstance(committed, DataFrame) else offset_map(spark, committed, "committed_offset")
     return (ends.join(com, ["topic", "partition"], "left")
             .select("topic", "partition", "end_offset", "committed_offset",

@@ -18,7 +18,6 @@ of per-column counts):
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 from functools import reduce
 
@@ -60,40 +59,29 @@ def fill_missing(df: DataFrame, columns=None) -> DataFrame:
 MISSING, INT, NUMBER, BOOL, TEXT = range(5)
 
 
-def classify_cells(df: DataFrame) -> DataFrame:
-    """Per data column ``i``: class ``k<i>``, integer ``n<i>`` (its wide form
-    ``d<i>`` only beyond 64 bits), length ``l<i>`` and UTF-8 bytes ``b<i>`` of
-    the present texts."""
-    cols = [F.col(f"`{c}`") for c in data_columns(df)]
-    kinds = df.select(*[x.alias(f"x{i}") for i, x in enumerate(cols)], *[
-        F.when(is_missing(x), MISSING).when(x.rlike(INT_RE), INT).when(x.rlike(FLOAT_RE), NUMBER)
-        .when(x.isin(*(TRUE_TOKENS + FALSE_TOKENS)), BOOL).otherwise(TEXT).alias(f"k{i}")
-        for i, x in enumerate(cols)])
-    out = []
-    for i in range(len(cols)):
-        x, k = F.col(f"x{i}"), F.col(f"k{i}")
-        n = F.when(k == INT, F.trim(x).try_cast("bigint"))
-        out += [k, n.alias(f"n{i}"),
-                F.when((k == INT) & n.isNull(), F.trim(x).try_cast("decimal(38,0)")).alias(f"d{i}"),
-                F.when(k != MISSING, F.length(x)).alias(f"l{i}"),
-                F.when(k != MISSING, F.octet_length(x)).alias(f"b{i}")]
-    return kinds.select(*out)
-
-
-def _column_stats(i: int) -> list:
-    k, n, d = F.col(f"k{i}"), F.col(f"n{i}"), F.col(f"d{i}")
-    return [
-        F.count_if(k == MISSING).alias(f"miss{i}"),
-        F.count_if(k == INT).alias(f"int{i}"),
-        F.count_if(k == NUMBER).alias(f"num{i}"),
-        F.count_if(k == BOOL).alias(f"bool{i}"),
-        F.count_if(k == TEXT).alias(f"text{i}"),
-        F.count_if((k == INT) & n.isNull() & d.isNull()).alias(f"over{i}"),
-        F.min(n).alias(f"lo{i}"), F.max(n).alias(f"hi{i}"),
-        F.min(d).alias(f"dlo{i}"), F.max(d).alias(f"dhi{i}"),
-        F.max(f"l{i}").alias(f"width{i}"),
-        F.sum(f"b{i}").alias(f"bytes{i}"),
-    ]
+def cells_of(name: str, df: DataFrame) -> DataFrame:
+    """One row a cell: ``dataset, i, x`` (number of the data column and its text)."""
+    texts = F.array(*[F.col(f"`{c}`").cast("string") for c in data_columns(df)])
+    return df.select(F.lit(name).alias("dataset"), F.posexplode(texts).alias("i", "x"))
+
+
+def classify_cells(cells: DataFrame) -> DataFrame:
+    """Adds to each cell its class ``k``, integer ``n`` (its wide form ``d`` only
+    beyond 64 bits), and length ``l`` and UTF-8 bytes ``b`` of a present text."""
+    x, k, n = F.col("x"), F.col("k"), F.col("n")
+    kind = (F.when(is_missing(x), MISSING).when(x.rlike(INT_RE), INT).when(x.rlike(FLOAT_RE), NUMBER)
+            .when(x.isin(*(TRUE_TOKENS + FALSE_TOKENS)), BOOL).otherwise(TEXT))
+    return (cells.withColumn("k", kind).withColumn("n", F.when(k == INT, F.trim(x).try_cast("bigint")))
+            .withColumn("d", F.when((k == INT) & n.isNull(), F.trim(x).try_cast("decimal(38,0)")))
+            .withColumn("l", F.when(k != MISSING, F.length(x))).withColumn("b", F.when(k != MISSING, F.octet_length(x))))
+
+
+def _cell_stats() -> list:
+    k, n, d = F.col("k"), F.col("n"), F.col("d")
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(k == MISSING).alias("miss"), F.count_if(k == INT).alias("int"),
+            F.count_if(k == NUMBER).alias("num"), F.count_if(k == BOOL).alias("bool"), F.count_if(k == TEXT).alias("text"),
+            F.count_if((k == INT) & n.isNull() & d.isNull()).alias("over"), F.min(n).alias("lo"), F.max(n).alias("hi"),
+            F.min(d).alias("dlo"), F.max(d).alias("dhi"), F.max("l").alias("width"), F.sum("b").alias("bytes")]
 
 
 def _decide(c: str, i: int, s: dict) -> ColumnType:
@@ -132,14 +120,18 @@ def infer_types(df: DataFrame) -> list[ColumnType]:
 
 
 def column_stats_of_many(frames: dict[str, DataFrame]) -> dict[str, dict]:
-    """Row count and column statistics of several datasets from one Spark job
-    (a union of the per-dataset aggregates, each reduced to one JSON row)."""
-    parts = [classify_cells(df).agg(F.count(F.lit(1)).alias("rows"),
-                                    *[e for i in range(len(data_columns(df))) for e in _column_stats(i)])
-             .select(F.lit(name).alias("dataset"), F.to_json(F.struct("*")).alias("stats"))
-             for name, df in frames.items()]
-    rows = reduce(DataFrame.unionByName, parts).collect()   # one row per dataset
-    return {r.dataset: json.loads(r.stats) for r in rows}
+    """Row count and column statistics of several datasets from one Spark job.
+    Cells become rows, so one small aggregate serves every column of every
+    dataset, however many there are; the shuffle carries one row a column and
+    map task, and the driver gets one row a column."""
+    out: dict[str, dict] = {name: {"rows": 0} for name in frames}
+    cells = reduce(DataFrame.unionByName, [cells_of(name, df) for name, df in frames.items()])
+    for r in classify_cells(cells).groupBy("dataset", "i").agg(*_cell_stats()).collect():
+        stats = r.asDict()
+        name, i = stats.pop("dataset"), stats.pop("i")
+        out[name]["rows"] = stats.pop("rows")
+        out[name].update({f"{k}{i}": v for k, v in stats.items()})
+    return out
 
 
 def decide_types(df: DataFrame, stats: dict) -> list[ColumnType]:
@@ -152,12 +144,10 @@ def infer_types_many(frames: dict[str, DataFrame]) -> dict[str, list[ColumnType]
     return {n: decide_types(df, stats[n]) for n, df in frames.items()}
 
 
-def types_frame(spark: SparkSession, dataset: str, types: list[ColumnType],
-                lowercase: bool = False) -> DataFrame:
-    """Inference result as rows (one per column: metadata, not data)."""
-    names = normalize_names([t.column for t in types], lowercase)
-    rows = [(dataset, i + 1, t.column, n, t.sql_type, t.spark_type, t.pandas_dtype)
-            for i, (t, n) in enumerate(zip(types, names))]
+def types_frame(spark: SparkSession, found: dict[str, list[ColumnType]], lowercase: bool = False) -> DataFrame:
+    """Inference result of datasets as rows (one per column: metadata, not data)."""
+    rows = [(dataset, i + 1, t.column, n, t.sql_type, t.spark_type, t.pandas_dtype) for dataset, types in found.items()
+            for i, (t, n) in enumerate(zip(types, normalize_names([t.column for t in types], lowercase)))]
     schema = ("dataset string, ordinal int, column_name string, table_column string, "
               "sql_type string, spark_type string, pandas_dtype string")
     return spark.createDataFrame(rows, schema)

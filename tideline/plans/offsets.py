@@ -28,6 +28,11 @@ def _mixed(spark, sf_dir):
     return staged_wire(spark, sf_dir, "mixed_wire", lambda: mixed_wire(load(spark, sf_dir, "events")))
 
 
+def _by_partition(spark, sf_dir) -> str:
+    return staged(spark, sf_dir, "mixed_wire_by_partition", lambda: mixed_wire(load(spark, sf_dir, "events")),
+                  write=write_by_partition)
+
+
 @register("topic_offsets", f"""
 WITH {EVENTS_CTE}, {_ENDS}
 SELECT topic, partition, start_offset, end_offset, messages,
@@ -38,9 +43,7 @@ FROM ends
 def topic_offsets_q(spark, sf_dir):
     """Per topic-partition start/end offsets and message counts; per topic
     the partition count and whether it holds messages; from file statistics."""
-    path = staged(spark, sf_dir, "mixed_wire_by_partition", lambda: mixed_wire(load(spark, sf_dir, "events")),
-                  write=write_by_partition)
-    return topic_offsets(None, footer_offsets(spark, path))
+    return topic_offsets(None, footer_offsets(spark, _by_partition(spark, sf_dir)))
 
 
 @register("offset_range_scan", f"""
@@ -69,7 +72,7 @@ FROM ends e LEFT JOIN com c ON e.topic = c.topic AND e.partition = c.partition
 def consumer_lag_q(spark, sf_dir):
     """Lag of a consumer group per topic-partition from its committed
     offsets (three commits, the other partitions never committed)."""
-    return consumer_lag(_mixed(spark, sf_dir), COMMITTED_SPEC)
+    return consumer_lag(None, COMMITTED_SPEC, footer_offsets(spark, _by_partition(spark, sf_dir)))
 
 
 _SEEN = 40                                             # offsets per topic-partition that the consumer got to read

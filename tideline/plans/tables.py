@@ -4,9 +4,6 @@ tables with surrogate ids and audit columns, profiles and the report."""
 from __future__ import annotations
 
 import json
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (KAGGLE_GLOB, LOCAL_PREFIX, MISSING_TOKENS, PRODUCER_TOPIC, SOURCE_DOWNLOADED, SOURCE_LOCAL,
@@ -18,7 +15,7 @@ from ..operators.loading import load_datasets, load_report, load_status
 from ..operators.profile import profile_datasets, profiles_frame, report_rows, string_widths
 from ..operators.shape import (ColumnType, add_audit_columns, cast_failures, fill_missing, infer_types,
                                infer_types_many, normalize_columns, typed_load, types_frame)
-from ..sinks import business_table, cluster_by_time, produce_json, replace_table, write_json_report, write_record_sets
+from ..sinks import business_table, cluster_by_time, produce_json, replace_table, swap_table, write_json_report, write_record_sets
 from ..sources.csvfiles import (read_csv_dataset, read_local_csv_files, dataset_row_counts,
                                 write_csv_dataset)
 from ..session import scratch_path, touch
@@ -157,8 +154,7 @@ def infer_types_q(spark, sf_dir):
     """Column types of all six CSV datasets from one aggregate job."""
     root = csv_root(spark, sf_dir)
     frames = {ds: read_csv_dataset(spark, f"{root}/{ds}.csv") for ds in CSV_DATASETS}
-    return reduce(DataFrame.unionByName,
-                  [types_frame(spark, ds, types) for ds, types in infer_types_many(frames).items()])
+    return types_frame(spark, infer_types_many(frames))
 
 
 _DECLARED = [ColumnType("Booking ID", "INTEGER", "int", "int64"),
@@ -227,6 +223,25 @@ def table_replace(spark, sf_dir):
         .drop("created_at", "updated_at")
 
 
+@register("table_swap", f"""
+WITH {CUST_V}, typed AS (SELECT row_number() OVER (ORDER BY k) AS id, {CUST_TYPED} FROM cust_v)
+SELECT 'before' AS reader, "Customer_Key", "Nation_Key" FROM typed
+UNION ALL SELECT 'after', "Customer_Key", NULL FROM typed WHERE "Nation_Key" < 10
+""")
+def table_swap(spark, sf_dir):
+    """A table replaced while it is read: a reader from before the swap goes on
+    with the old rows, one from after it gets the new rows and columns."""
+    typed = typed_load(_customers(spark, sf_dir))
+    warehouse = fresh(spark, "swap")
+    name = f"{business_table(CUSTOMERS)}_{warehouse.rsplit('/', 1)[-1]}"
+    swap_table(typed, warehouse, name)
+    before = spark.table(name).select(F.lit("before").alias("reader"), "Customer_Key", "Nation_Key")
+    swap_table(spark.table(name).where("Nation_Key < 10").select("Customer_Key"), warehouse, name)
+    after = spark.table(name).select(F.lit("after").alias("reader"), "*", F.lit(None).cast("int").alias("Nation_Key"))
+    spark.sql(f"DROP VIEW `{name}`")
+    return before.unionByName(after)
+
+
 _RS_COLS = [("Customer Key", '"Customer Key"'), ("Customer-Name", "COALESCE(\"Customer-Name\", 'NULL')"),
             ("Nation Key", '"Nation Key"'),
             ("Account Balance (USD)", "CASE WHEN \"Account Balance (USD)\" = 'NA' THEN 'NULL' "

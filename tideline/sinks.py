@@ -3,6 +3,8 @@ reports and JDBC tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,19 @@ def replace_table(df: DataFrame, warehouse: str, name: str, fmt: str = "parquet"
     return path
 
 
+def swap_table(df: DataFrame, warehouse: str, name: str) -> str:
+    """Replace as one catalog change: the rows go to a new folder, and the view
+    ``name`` is then pointed at it.  A reader sees all of the old table or all of
+    the new one, whatever their columns; a write that fails changes nothing, and
+    the table may be replaced by rows that were read from itself.  Folders of
+    earlier versions stay for readers under way (remove them when none is left)."""
+    spark = df.sparkSession
+    path = f"{warehouse.rstrip('/')}/{name}/{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM parquet.`{path}`")
+    return path
+
+
 def replace_jdbc_table(df: DataFrame, url: str, name: str, properties: dict) -> None:
     """Same, into a relational database (needs its JDBC driver jar);
     partitions write in parallel, one connection each."""
