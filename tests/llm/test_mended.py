@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SF_SMALL
-from tideline.llm import bpe, chat, exact_dedup, fingerprint, langid, packing, queries, simhash
+from tideline.llm import bpe, chat, exact_dedup, fingerprint, langid, licences, packing, queries, simhash
 from tideline.llm.common import read_table
 from tideline.llm.tokens import tokenizer_encode, vocabulary_path
 
@@ -101,3 +101,24 @@ def test_internal_names_of_the_caller_come_back_unchanged(spark):
         for r in out.collect():
             assert all(r[n] == f"{n}{r.doc_id}" for n in names)
         assert out.count() == 2
+
+
+def test_licence_lines_by_lookup_and_by_join(spark, monkeypatch):
+    texts = ["MIT License", "x\nSPDX-License-Identifier: GPL-3.0-or-later\ny", "SPDX-License-Identifier: MIT OR Apache-2.0\n",
+             'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not', "plain", None, "", "a\nMIT License\nb"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("license", F.lit("clash"))
+    got = {r.doc_id: (r.license, r.line_licenses) for r in licences.scan_licences(docs).collect()}
+    assert [got[k][1] for k in range(8)] == ["MIT", "GPL-3.0", "Apache-2.0,MIT", "Apache-2.0", "", "", "", "MIT"]
+    assert got[0][0] == "MIT" and got[7][0] is None
+    known = licences.known_digests(spark).select("digest", "license").where("license <> 'MIT' or digest is not null")
+    looked = Counter(map(tuple, licences.scan_licences(docs.where("doc_id <> 2"), known=known).collect()))
+    monkeypatch.setattr(licences, "BROADCAST_ROWS", 3)
+    assert Counter(map(tuple, licences.scan_licences(docs.where("doc_id <> 2"), known=known).collect())) == looked
+
+
+def test_large_groups_of_copies_are_joined_by_broadcast(spark, monkeypatch):
+    rows = [(k, "hot" if k % 3 == 0 else f"pair {k // 2}") for k in range(300)] + [(None, "hot"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter(map(tuple, exact_dedup.exact_groups(docs).collect()))
+    monkeypatch.setattr(exact_dedup, "HOT_SHARE", 4)
+    assert Counter(map(tuple, exact_dedup.exact_groups(docs).collect())) == want

@@ -573,7 +573,7 @@ def test_licence_scan(spark, edge, none):
             (7, "Licensed under the Apache Licence, Version 2.0\nSPDX-License-Identifier: MIT"), (1, mit.upper())]
     got = sorted((r.doc_id, r.license, r.line_licenses) for r in licences.scan_licences(
         spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id != 1)
-    assert got == [(2, "MIT", ""), (3, None, "MIT"), (4, None, ""), (5, None, ""), (6, None, ""),
+    assert got == [(2, "MIT", "MIT"), (3, None, "MIT"), (4, None, "MIT"), (5, None, ""), (6, None, ""),
                    (7, None, "Apache-2.0,MIT")]
     assert licences.scan_licences(edge).count() == len(EDGE_ROWS) and licences.scan_licences(none).count() == 0
 

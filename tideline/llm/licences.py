@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lookup, text_of
+from .common import BROADCAST_ROWS, text_of
 
 # Published licence texts and notices, by SPDX identifier.
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -119,6 +119,12 @@ KNOWN: list[tuple[str, str]] = [
     *((k, f"{opening} under {article}{name}.") for k, names in NAMES.items() for name in names
       for opening in OPENINGS for article in ("", "the ", "a ")),
     *((k, f"SPDX-License-Identifier: {k}") for k in NAMES),
+    *((k, title) for k, titles, _ in TEXTS for title in titles),
+    *((k, f"SPDX-License-Identifier: {k}{how}") for k in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+      for how in ("", "-only", "-or-later")),
+    *((k, f"SPDX-License-Identifier: {choice}") for choice in ("MIT OR Apache-2.0", "Apache-2.0 OR MIT")
+      for k in ("MIT", "Apache-2.0")),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
 ]
 # Spellings that licence matching treats as equal.
 SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("sublicence", "sublicense"),
@@ -156,22 +162,62 @@ def canonical(lines: Column) -> Column:
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
-    """``(digest, license)`` of the fixed list."""
+    """``(digest, license, chars)`` of the fixed list; ``chars`` is the length of
+    the normalised text."""
     known = spark.createDataFrame(KNOWN, "license string, text string")
-    return known.select(F.sha2(canonical(canonical_lines(F.col("text"))), 256).alias("digest"), "license").distinct()
+    norm = canonical(canonical_lines(F.col("text")))
+    return known.select(F.sha2(norm, 256).alias("digest"), "license", F.length(norm).alias("chars")).distinct()
+
+
+def _line_lookup(known: DataFrame) -> tuple[dict[str, list[str]], set[int]]:
+    """Licences by digest and the lengths of their texts (none where the table does
+    not tell), of a table with a proven bound on its rows."""
+    chars = F.col("chars") if "chars" in known.columns else F.lit(None).cast("int")
+    names: dict[str, set[str]] = {}
+    sizes = set()
+    for r in known.select("digest", "license", chars.alias("chars")).collect():
+        names.setdefault(r["digest"], set()).add(r["license"])
+        sizes.add(r["chars"])
+    return {d: sorted(n) for d, n in names.items()}, set() if None in sizes else sizes
+
+
+def _licences_of(lines: Column, names: dict[str, list[str]], sizes: set[int]) -> Column:
+    """Licences of the lines of a normalised text, row by row: a line is hashed where its length may match."""
+    if not names:
+        return F.lit("")
+    items = F.transform(F.split(lines, "\n"), lambda x: F.trim(x))
+    items = F.filter(items, lambda x: F.length(x).isin(*sizes) if sizes else x != "")
+    found = F.filter(F.transform(items, lambda x: F.sha2(x, 256)), lambda d: d.isin(*names))
+    table = F.create_map(*[F.lit(x) for d, n in names.items() for x in (d, ",".join(n))])
+    each = F.flatten(F.transform(found, lambda d: F.split(F.element_at(table, d), ",")))
+    return F.array_join(F.array_sort(F.array_distinct(each)), ",")
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   known: DataFrame | None = None) -> DataFrame:
     """Per row: ``doc_id, canonical_sha256, license`` (of the entire text, else
     null) and ``line_licenses`` (distinct licences of its lines, sorted and
-    comma-separated; empty without any).
+    comma-separated; empty without any).  Every text is normalised once, and no
+    row is shuffled: the fixed list is broadcast to the join of entire texts and
+    looked up line by line.  ``known(digest, license)`` replaces the list;
+    beyond ``BROADCAST_ROWS`` rows its lines are joined instead.
 
     Null text is empty and matches nothing; repeated rows get the same result;
     an empty table gives an empty result; other columns are ignored."""
-    known = lookup(known) if known is not None else F.broadcast(known_digests(docs.sparkSession))   # a fixed list
+    spark = docs.sparkSession
+    given = known
+    known = known_digests(spark) if given is None else given
     rows = docs.select(docs[id_col].alias("doc_id"), canonical_lines(text_of(docs, text_col)).alias("_lines"))
-    rows = rows.withColumn("canonical_sha256", F.sha2(canonical(F.col("_lines")), 256))
+    digest = F.sha2(canonical(F.col("_lines")), 256).alias("canonical_sha256")
+    if given is not None and given.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return _scan_by_joins(rows.select("doc_id", "_lines", digest), given)
+    slim = rows.select("doc_id", digest, _licences_of(F.col("_lines"), *_line_lookup(known)).alias("line_licenses"))
+    whole = F.broadcast(known.select(F.col("digest").alias("canonical_sha256"), "license"))
+    return slim.join(whole, "canonical_sha256", "left").select("doc_id", "canonical_sha256", "license", "line_licenses")
+
+
+def _scan_by_joins(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The same against a table of any size."""
     line = F.explode(F.array_distinct(F.transform(F.split("_lines", "\n"), lambda x: F.trim(x))))
     lines = (rows.select("doc_id", "canonical_sha256", line.alias("_line")).where("_line <> ''")
              .select("doc_id", "canonical_sha256", F.sha2("_line", 256).alias("digest"))
