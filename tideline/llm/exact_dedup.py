@@ -35,10 +35,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     slim = rows.select("_id", "_h", F.sha2(F.col("_t").cast("binary"), 256).alias("_sha"))
     sound = by_hash.where("_texts = 1")
-    out = slim.join(sound, "_h", "left").select("_id", "_keep", "_n", "_sha")
+    out = _join_groups(slim, sound, docs.count()).select("_id", "_keep", "_n", "_sha")
     collided = by_hash.where("_texts > 1").select("_h")
     if not collided.isEmpty():                         # different bytes under one hash
-        out = slim.join(collided, "_h", "left_anti").join(sound, "_h", "left").select("_id", "_keep", "_n", "_sha")
+        out = _join_groups(slim.join(collided, "_h", "left_anti"), sound, docs.count()).select("_id", "_keep", "_n", "_sha")
         bad = rows.join(collided, "_h", "left_semi")
         exact = bad.groupBy("_h", "_t").agg(pick("_id").alias("_keep"), F.count("*").alias("_n"))
         out = out.unionByName(bad.join(exact, ["_h", "_t"]).select(
@@ -49,6 +49,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       F.col("_id").eqNullSafe(keep_id).alias("kept"), F.col("_sha").alias("text_sha256"))
 
 
+#: A group of more than one row in this many is joined by broadcast; there are fewer of them than that.
+HOT_SHARE = 1000
+
+
+def _join_groups(slim: DataFrame, groups: DataFrame, total: int) -> DataFrame:
+    """``slim`` left-joined with its groups on the hash.  Rows of large groups meet
+    them in a broadcast and then carry a key of their own, so they are spread in
+    the join of the others instead of meeting in one task."""
+    hot = groups.where(F.col("_n") * HOT_SHARE > total).select("_h", F.struct("_keep", "_n").alias("_hot"))
+    rest = groups.where(F.col("_n") * HOT_SHARE <= total).select(F.col("_h").alias("_key"), F.struct("_keep", "_n").alias("_own"))
+    key = F.when(F.col("_hot").isNull(), F.col("_h")).otherwise(F.concat(F.lit("-"), F.xxhash64("_id").cast("string")))
+    both = slim.join(F.broadcast(hot), "_h", "left").withColumn("_key", key).join(rest, "_key", "left")
+    g = F.coalesce("_hot", "_own")
+    return both.select("_id", "_h", "_sha", g.getField("_keep").alias("_keep"), g.getField("_n").alias("_n"))
+
+
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       keep: str = "min") -> DataFrame:
     """``docs`` with one row per distinct text; columns unchanged.  Of repeated
