@@ -122,8 +122,7 @@ KNOWN: list[tuple[str, str]] = [
     *((k, title) for k, titles, _ in TEXTS for title in titles),
     *((k, f"SPDX-License-Identifier: {k}{how}") for k in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
       for how in ("", "-only", "-or-later")),
-    *((k, f"SPDX-License-Identifier: {choice}") for choice in ("MIT OR Apache-2.0", "Apache-2.0 OR MIT")
-      for k in ("MIT", "Apache-2.0")),
+    *(("MIT OR Apache-2.0", f"SPDX-License-Identifier: {choice}") for choice in ("MIT OR Apache-2.0", "Apache-2.0 OR MIT")),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
 ]
 # Spellings that licence matching treats as equal.
@@ -212,10 +211,16 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if given is not None and given.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
         return _scan_by_joins(rows.select("doc_id", "_lines", digest), given)
     slim = rows.select("doc_id", digest, _licences_of(F.col("_lines"), *_line_lookup(known)).alias("line_licenses"))
-    whole = F.broadcast(known.select(F.col("digest").alias("canonical_sha256"), "license"))
+    whole = F.broadcast(_one_row_a_digest(known))
     return slim.join(whole, "canonical_sha256", "left").select("doc_id", "canonical_sha256", "license", "line_licenses")
 
 
+def _one_row_a_digest(known: DataFrame) -> DataFrame:
+    """A digest that stands for several licences names them all, sorted and comma-separated."""
+    return known.groupBy(F.col("digest").alias("canonical_sha256")).agg(
+        F.array_join(F.array_sort(F.collect_set("license")), ",").alias("license"))
+
+
 def _scan_by_joins(rows: DataFrame, known: DataFrame) -> DataFrame:
     """The same against a table of any size."""
     line = F.explode(F.array_distinct(F.transform(F.split("_lines", "\n"), lambda x: F.trim(x))))
@@ -224,7 +229,7 @@ def _scan_by_joins(rows: DataFrame, known: DataFrame) -> DataFrame:
              .join(known, "digest").groupBy("doc_id", "canonical_sha256")
              .agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("line_licenses"))
              .select(F.col("doc_id").alias("_id"), F.col("canonical_sha256").alias("_sha"), "line_licenses"))
-    whole = known.select(F.col("digest").alias("canonical_sha256"), "license")
+    whole = _one_row_a_digest(known)
     slim = rows.select("doc_id", "canonical_sha256").join(whole, "canonical_sha256", "left")
     return slim.join(lines, slim["doc_id"].eqNullSafe(lines["_id"]) & (slim["canonical_sha256"] == lines["_sha"]),
                      "left").select("doc_id", "canonical_sha256", "license",
