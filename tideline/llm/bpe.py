@@ -10,6 +10,7 @@ shuffled once (both uses read the same exchange)."""
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,10 +130,11 @@ def _reassemble(vocabulary: str, buckets: int, schema: pa.Schema):
         if not len(blocks):
             return schema.empty_table()
         table = token_bytes(vocabulary)
-        position: dict[str, int] = {}                 # word -> number, in order of first sight
+        position: dict[str, int] = defaultdict()      # word -> number, in order of first sight
+        position.default_factory = position.__len__
         rows = []
         for ids, texts in _part_texts(blocks):
-            at = [np.fromiter([position.setdefault(w, len(position)) for w in pre_tokens(t)], np.int64) for t in texts]
+            at = [np.fromiter(map(position.__getitem__, pre_tokens(t)), np.int64) for t in texts]
             rows.append((ids, at))
         word_ids: list = [None] * len(position)
         returned = {r["bucket"]: r["ids"] for r in found.to_pylist()}
