@@ -126,3 +126,14 @@ def test_large_groups_of_copies_are_joined_by_broadcast(spark, monkeypatch):
     want = Counter(map(tuple, exact_dedup.exact_groups(docs).collect()))
     monkeypatch.setattr(exact_dedup, "HOT_SHARE", 4)
     assert Counter(map(tuple, exact_dedup.exact_groups(docs).collect())) == want
+
+
+def test_both_splitters_find_the_same_words():
+    from tideline.llm.tokens import split_words, splitter
+    latin = [chr(k) for k in range(256)]
+    rng = np.random.default_rng(3)
+    texts = ["".join(x) for a in latin for x in ((a, b) for b in latin)]
+    picks = latin + list(" \n\t'aZ09.") * 30
+    texts += ["".join(rng.choice(picks, rng.integers(1, 12))) for _ in range(20_000)]
+    texts += ["日本 " + t for t in texts[-50:]] + ["it's 'll", " " * 1_200_000 + "x", "\n" * 1_200_000]
+    assert [t for t in texts if split_words(t) != splitter().findall(t)] == []

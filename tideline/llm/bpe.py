@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 from .suffix_dedup import _pack_docs, _unpack_docs
-from .tokens import encode_word, encoding, splitter, token_bytes, vocabulary_path
+from .tokens import encode_word, encoding, split_words, token_bytes, vocabulary_path
 
 #: Text bytes of a part, and the most tasks that hold them.
 PART_BYTES, MAX_TASKS = 8 << 20, 100_000
@@ -32,7 +32,7 @@ BUCKETS, KNOWN_WORDS = 128, 1_000_000
 
 
 def pre_tokens(text: str) -> list[str]:
-    return splitter().findall(text)
+    return split_words(text)
 
 
 def pack_words(words: list[bytes]) -> bytes:
