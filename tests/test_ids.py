@@ -80,6 +80,10 @@ def test_ranges_grow_with_the_size_of_the_data(spark, monkeypatch):
     from tideline.operators import ids
     df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
     assert ids.range_count(df) is None                 # the session's number is enough
+    monkeypatch.setattr(ids, "RANGE_BYTES", 1 << 20)
+    big = df.join(df.select("o_custkey"), "o_custkey")   # estimated as a product
+    assert (ids.range_count(big) or 0) < 100
+    assert ids.range_count(spark.sparkContext.parallelize([(1,)]).toDF(["x"])) is None
     counts = []
     for size in (40_000, 10_000):
         monkeypatch.setattr(ids, "RANGE_BYTES", size)

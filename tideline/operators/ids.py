@@ -29,13 +29,22 @@ BROADCAST_GROUPS_MAX = 4_000_000
 
 #: Estimated bytes of a range, at most.
 RANGE_BYTES, MOST_RANGES = 128 << 20, 1_000_000
+#: Spark's estimate for an input it knows nothing about is beyond this.
+UNKNOWN_SIZE = 1 << 60
 
 
 def range_count(df: DataFrame) -> int | None:
-    """Number of ranges that ``df`` needs by the optimizer's estimate of its size;
-    None where the session's number of shuffle partitions is enough (adaptive
-    execution only ever merges those)."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Number of ranges that ``df`` needs by the optimizer's estimate of its size,
+    but for no more than its inputs together (a join without statistics is
+    estimated as a product).  None where the session's number of shuffle
+    partitions is enough (adaptive execution only ever merges those), or an
+    input's size is not known."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    if not sizes or max(sizes) >= UNKNOWN_SIZE:
+        return None
+    size = min(int(str(plan.stats().sizeInBytes())), sum(sizes))
     need = min(MOST_RANGES, -(-size // RANGE_BYTES))
     return need if need > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
 
