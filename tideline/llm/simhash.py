@@ -42,18 +42,15 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
 
 def simhash(text: str, shingle: int = 4) -> int:
     """Unsigned 64-bit fingerprint of one text (contract in ``fingerprints``)."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()   # bytes: A-Z and ASCII blanks only
-    if not words:
+    # bytes: A-Z and ASCII blanks only; of the words only their places are kept
+    joined = b" ".join(text.encode("utf-8", "surrogatepass").lower().split())
+    if not joined:
         return 0
-    joined = b" ".join(words)
-    if len(words) <= shingle:
-        starts, stops = [0], [len(joined)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts, stops = [0, *ends[:-shingle].tolist()], (ends[shingle - 1:] - 1).tolist()
-    digest, n, counts = xxhash.xxh64_intdigest, len(starts), np.zeros(64, np.int64)
+    ends = np.append(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32), len(joined))
+    starts, stops = np.r_[0, ends[:-1] + 1], ends[shingle - 1:] if len(ends) > shingle else ends[-1:]
+    digest, n, counts = xxhash.xxh64_intdigest, len(stops), np.zeros(64, np.int64)
     for lo in range(0, n, CHUNK):
-        hashes = [digest(joined[i:j], 42) for i, j in zip(starts[lo:lo + CHUNK], stops[lo:lo + CHUNK])]
+        hashes = [digest(joined[i:j], 42) for i, j in zip(starts[lo:min(lo + CHUNK, n)].tolist(), stops[lo:lo + CHUNK].tolist())]
         counts += _bit_counts(np.array(hashes, dtype="<u8"))
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
