@@ -265,9 +265,12 @@ def _cut_repeats(texts, window):
     return out
 
 
-@pytest.mark.parametrize("part_bytes", [1 << 14, 1 << 22])
-def test_suffix_dedup_matches_brute_force(spark, monkeypatch, part_bytes):
+@pytest.mark.parametrize("part_bytes, hot, flush", [(1 << 14, 1 << 16, 1 << 17), (1 << 22, 1 << 16, 1 << 17),
+                                                    (1 << 14, 4, 50), (1 << 14, 1, 1 << 17)])
+def test_suffix_dedup_matches_brute_force(spark, monkeypatch, part_bytes, hot, flush):
     monkeypatch.setattr(suffix_dedup, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(suffix_dedup, "HOT_ITEMS", hot)
+    monkeypatch.setattr(suffix_dedup, "FLUSH", flush)
     rng = np.random.default_rng(5)
     passage = letters(rng, 700).decode()
     rows = [(r.doc_id, r.text) for r in read_table(spark, SF_SMALL, "documents").limit(60).collect()]

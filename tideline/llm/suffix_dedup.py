@@ -14,28 +14,39 @@ Steps:
    common-prefix lengths along and never compares known prefixes again.
 4. In the merged order two strings at the same distance from their anchors are
    equal when they agree right of the anchor (a run of common-prefix lengths)
-   and left of it; both are compared as bytes, never as hashes.
+   and left of it; both are compared as bytes.  Results return to the documents
+   under 128-bit BLAKE2b digests of the contexts.
+
+A gram that occurs more than ``HOT_ITEMS`` times (a passage that a third of the
+documents hold) would meet in one merge.  Its strings are counted instead, each
+under its own digest: distinct ones per part, summed in Spark, so no task holds
+the gram; the counts return to the parts that hold a repeated string.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import materialize, text_of
+from .simhash import join_by_key
 
 GRAM = 32
 #: Text bytes of a part and item bytes of a gram bucket; both counts follow the data.
 PART_BYTES = 8 << 20
+#: Occurrences of a gram beyond which its strings are counted in Spark rather than merged in one task.
+HOT_ITEMS = 1 << 16
+#: Distinct strings of hot grams that a task collects before it hands them on.
+FLUSH = 1 << 17
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -123,7 +134,12 @@ def text_anchors(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray,
 
 
 def context_id(left: bytes, right: bytes, r0: int, r1: int) -> bytes:
-    return xxhash.xxh3_128_digest(b"%d,%d,%b%b" % (r0, r1, left, right))
+    return blake2b(b"%d,%d,%b%b" % (r0, r1, left, right), digest_size=16).digest()
+
+
+def window_ids(text: bytes, at: int, r0: int, r1: int, window: int) -> list[bytes]:
+    """Digests of the strings that start ``r0`` to ``r1`` bytes before the anchor."""
+    return [blake2b(text[at - r:at - r + window], digest_size=16).digest() for r in range(r0, r1 + 1)]
 
 
 # --- runs: sorted, front-coded, exchanged as compressed blobs ------------------------
@@ -274,10 +290,10 @@ def _slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator
         yield batch.slice(lo, hi - lo)
 
 
-def _gram_rows(window: int):
+def _gram_rows(window: int, column: str):
     def run(batches):
-        for batch in (piece for whole in batches for piece in _slices(whole, "_sfx_text")):
-            texts, part = _texts(batch, "_sfx_text"), batch.column("_sfx_part").to_numpy()
+        for batch in (piece for whole in batches for piece in _slices(whole, column)):
+            texts, part = _texts(batch, column), batch.column("_sfx_part").to_numpy()
             found = [(h, part[i]) for i, _, h, _, _ in text_anchors(texts, window)]
             if not found:
                 continue
@@ -285,9 +301,9 @@ def _gram_rows(window: int):
             order = np.lexsort((where, gram))
             gram, where = gram[order], where[order]
             first = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (where[1:] != where[:-1])])
-            count = np.minimum(np.diff(np.r_[first, len(gram)]), 2)
+            count = np.diff(np.r_[first, len(gram)])
             yield pa.RecordBatch.from_arrays([pa.array(gram[first].view(np.int64)), pa.array(where[first].astype(np.int32)),
-                                              pa.array(count.astype(np.int8))], names=["gram", "part", "n"])
+                                              pa.array(count.astype(np.int32))], names=["gram", "part", "n"])
     return run
 
 
@@ -314,21 +330,52 @@ def _unpack_docs(blocks: pa.Table) -> Iterator[pa.Table]:
         yield pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(block)).read_all()
 
 
-def _runs(window: int, dests: int):
+def _hits(blocks: pa.Table, grams: pa.Table, column: str, window: int) -> Iterator[tuple]:
+    """Anchors of a part's texts whose gram is listed: batches of texts with text
+    index, position, gram, least and greatest distance."""
+    known = np.sort(grams.column("gram").to_numpy().view(np.uint64))
+    for rows in _unpack_docs(blocks) if len(known) else ():
+        texts = _texts(rows, column)
+        for i, a, h, r0, r1 in text_anchors(texts, window):
+            slot = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = np.flatnonzero(known[slot] == h)
+            yield texts, i[hit], a[hit], h[hit], r0[hit], r1[hit]
+
+
+def _hot_windows(window: int, column: str, most: int):
+    """Strings of a part's hot grams with their counts, each once in about ``most``."""
+    schema = pa.schema([("part", pa.int32()), ("gram", pa.int64()), ("id", pa.binary()), ("n", pa.int32())])
+
+    def run(blocks: pa.Table, grams: pa.Table) -> pa.Table:
+        part = grams.column("part")[0].as_py() if len(grams) else -1
+        out: list[pa.Table] = []
+        bag: dict[tuple[int, bytes], int] = {}
+
+        def flush():
+            out.append(pa.table([pa.array([part] * len(bag), pa.int32()), pa.array([g for g, _ in bag], pa.int64()),
+                                 pa.array([w for _, w in bag], pa.binary()), pa.array(bag.values(), pa.int32())],
+                                schema=schema))
+            bag.clear()
+        for texts, i, a, h, r0, r1 in _hits(blocks, grams, column, window):
+            for t, at, g, lo, hi in zip(i.tolist(), a.tolist(), h.view(np.int64).tolist(), r0.tolist(), r1.tolist()):
+                for w in window_ids(texts[t], at, lo, hi, window):
+                    bag[g, w] = bag.get((g, w), 0) + 1
+                if len(bag) > most:
+                    flush()
+        flush()
+        return pa.concat_tables(out)
+    return run
+
+
+def _runs(window: int, dests: int, column: str):
     def run(blocks: pa.Table, grams: pa.Table) -> pa.Table:
-        known = np.sort(grams.column("gram").to_numpy().view(np.uint64))
         items: list[dict] = [{} for _ in range(dests)] if dests < 4096 else []
         sparse: dict[int, dict] = {}
-        for rows in _unpack_docs(blocks) if len(known) else ():
-            texts = _texts(rows, "_sfx_text")
-            for i, a, h, r0, r1 in text_anchors(texts, window):
-                slot = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                hit = np.flatnonzero(known[slot] == h)
-                for t, at, g, lo, hi in zip(i[hit].tolist(), a[hit].tolist(), (h[hit] % np.uint64(dests)).tolist(),
-                                            r0[hit].tolist(), r1[hit].tolist()):
-                    bag = items[g] if items else sparse.setdefault(g, {})
-                    key = (texts[t][at:at - lo + window], texts[t][at - hi:at], lo, hi)
-                    bag[key] = bag.get(key, 0) + 1
+        for texts, i, a, h, r0, r1 in _hits(blocks, grams, column, window):
+            for t, at, g, lo, hi in zip(i.tolist(), a.tolist(), (h % np.uint64(dests)).tolist(), r0.tolist(), r1.tolist()):
+                bag = items[g] if items else sparse.setdefault(g, {})
+                key = (texts[t][at:at - lo + window], texts[t][at - hi:at], lo, hi)
+                bag[key] = bag.get(key, 0) + 1
         part = blocks.column("part")[0].as_py() if len(blocks) else -1
         bags = [(g, b) for g, b in enumerate(items) if b] if items else sorted(sparse.items())
         blobs = [pack_run([(*key, n) for key, n in sorted(b.items())]) for _, b in bags]
@@ -359,10 +406,13 @@ def _merge(window: int):
     return run
 
 
-def _cut(window: int, names: list[str], schema: pa.Schema):
+def _cut(window: int, names: list[str], schema: pa.Schema, column: str):
     def run(blocks: pa.Table, found: pa.Table) -> pa.Table:
         spans: dict[bytes, np.ndarray] = {}
-        for blob in found.column("spans").to_pylist():
+        counted = found.filter(pc.is_valid(found.column("id")))
+        hot = set(pc.unique(counted.column("gram")).to_pylist())
+        repeated = set(counted.column("id").to_pylist())
+        for blob in found.column("spans").drop_null().to_pylist():
             at = 0
             while at < len(blob):
                 n = int(np.frombuffer(blob, np.uint16, 1, at + 16)[0])
@@ -370,10 +420,16 @@ def _cut(window: int, names: list[str], schema: pa.Schema):
                 at += 18 + 4 * n
         out = []
         for rows in _unpack_docs(blocks):
-            texts = _texts(rows, "_sfx_text")
+            texts = _texts(rows, column)
             cover: dict[int, list[tuple[int, int]]] = {}
-            for i, a, _, r0, r1 in text_anchors(texts, window) if spans else ():
-                for t, at, lo, hi in zip(i.tolist(), a.tolist(), r0.tolist(), r1.tolist()):
+            for i, a, h, r0, r1 in text_anchors(texts, window) if spans or hot else ():
+                grams = h.view(np.int64).tolist() if hot else [None] * len(h)
+                for t, at, g, lo, hi in zip(i.tolist(), a.tolist(), grams, r0.tolist(), r1.tolist()):
+                    if g in hot:
+                        cover.setdefault(t, []).extend(
+                            (at - r, at - r + window) for r, w in enumerate(window_ids(texts[t], at, lo, hi, window), lo)
+                            if w in repeated)
+                        continue
                     got = spans.get(context_id(texts[t][at - hi:at], texts[t][at:at - lo + window], lo, hi))
                     if got is not None:
                         cover.setdefault(t, []).extend((at - far, at - near + window) for near, far in got.tolist())
@@ -402,6 +458,16 @@ def _cut(window: int, names: list[str], schema: pa.Schema):
     return run
 
 
+def _repeated_windows(blocks: DataFrame, hot: DataFrame, window: int, column: str) -> DataFrame:
+    """``(part, gram, id)`` of the strings of hot grams that occur more than once."""
+    counts = materialize(blocks.groupBy("part").cogroup(hot.groupBy("part")).applyInArrow(
+        _hot_windows(window, column, FLUSH), "part int, gram long, id binary, n int"), "suffix-windows")
+    twice = materialize(counts.groupBy("gram", "id").agg(F.sum("n").alias("total"), F.count("*").alias("held"))
+                        .where("total > 1").select("gram", "id", "held"), "suffix-repeated-windows")
+    return join_by_key(counts.select("part", "gram", "id"), twice, ["gram", "id"], "held", counts.count()).select(
+        "part", "gram", "id").distinct()
+
+
 def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 200) -> DataFrame:
     """``docs`` with, per row, ``_sfx_kept`` (bytes that stay), ``_sfx_kept_text``
     (the same as text, without characters that were cut in two),
@@ -419,26 +485,35 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 200) -
     size = docs.agg(F.sum(F.octet_length(text)).alias("b")).first()["b"] or 0
     parts = max(1, -(-size // PART_BYTES))
     names = docs.columns
-    rows = docs.withColumn("_sfx_text", text)
+    source = docs.select(docs[text_col]).schema[0]
+    column = source.name if isinstance(source.dataType, T.StringType) else "_sfx_text"
+    rows = docs if column == source.name else docs.withColumn("_sfx_text", text)
     seed = [rows[f"`{c}`"] for c in names if not isinstance(docs.schema[c].dataType, (T.MapType, T.VariantType))]
-    rows = rows.withColumn("_sfx_part", F.pmod(F.xxhash64(*seed, "_sfx_text"), F.lit(parts)).cast("int"))
-
-    grams = rows.select("_sfx_part", "_sfx_text").mapInArrow(_gram_rows(window), "gram long, part int, n tinyint")
-    total = F.sum("n").over(Window.partitionBy("gram"))
-    grams = materialize(grams.withColumn("total", total).where("total > 1").select("part", "gram").distinct(),
-                        "suffix-grams")
+    rows = rows.withColumn("_sfx_part", F.pmod(F.xxhash64(*seed, text), F.lit(parts)).cast("int"))
+
+    each = materialize(rows.select("_sfx_part", F.col(f"`{column}`").alias("_sfx_text")).mapInArrow(
+        _gram_rows(window, "_sfx_text"), "gram long, part int, n int"), "suffix-grams")
+    repeated = materialize(each.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("held"))
+                           .where("total > 1").select("gram", "held", (F.col("total") > HOT_ITEMS).alias("hot")),
+                           "suffix-repeated")
+    grams = materialize(join_by_key(each.select("gram", "part"), repeated, "gram", "held", each.count())
+                        .select("part", "gram", "hot").distinct(), "suffix-repeated-parts")
+    cold, hot = grams.where("NOT hot").select("part", "gram"), grams.where("hot").select("part", "gram")
     # about window + span/2 bytes an item; a merge holds its items as objects, so half as much as a part
-    dests = max(1, -(-grams.count() * (window + 45) // (PART_BYTES // 2)))
+    dests = max(1, -(-cold.count() * (window + 45) // (PART_BYTES // 2)))
 
     blocks = rows.mapInArrow(_pack_docs, "part int, block binary")
-    runs = blocks.groupBy("part").cogroup(grams.groupBy("part")).applyInArrow(
-        _runs(window, dests), "dest int, part int, run binary")
-    found = runs.groupBy("dest").applyInArrow(_merge(window), "part int, spans binary")
+    runs = blocks.groupBy("part").cogroup(cold.groupBy("part")).applyInArrow(
+        _runs(window, dests, column), "dest int, part int, run binary")
+    found = runs.groupBy("dest").applyInArrow(_merge(window), "part int, spans binary").select(
+        "part", "spans", F.lit(None).cast("long").alias("gram"), F.lit(None).cast("binary").alias("id"))
+    if not hot.isEmpty():
+        found = found.unionByName(_repeated_windows(blocks, hot, window, column), allowMissingColumns=True)
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in docs.schema.fields],
                            T.StructField("_sfx_kept", T.BinaryType()), T.StructField("_sfx_kept_text", T.StringType()),
                            *[T.StructField(f"_sfx_{n}", T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]])
     return blocks.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(
-        _cut(window, names, to_arrow_schema(schema)), schema)
+        _cut(window, names, to_arrow_schema(schema), column), schema)
 
 
 def drop_repeats(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars",
