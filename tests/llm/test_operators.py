@@ -2,6 +2,7 @@
 accuracy and the defined results of edge cases."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -696,3 +697,14 @@ def test_pipeline_runs_on_an_empty_table(spark, none):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, labels_dir)
     assert docs.count() == 0
+
+
+def test_suffix_dedup_tasks_follow_the_number_of_parts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 1 << 12)
+    docs = read_table(spark, SF_SMALL, "documents")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    tasks = -(-size // (1 << 12)) // suffix_dedup.PARTS_PER_TASK
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = suffix_dedup.remove_repeats(docs)._jdf.queryExecution().executedPlan().toString()
+    by_part = re.findall(r"Exchange hashpartitioning\(part#\d+, (\d+)\)", plan)
+    assert by_part and set(by_part) == {str(tasks)}

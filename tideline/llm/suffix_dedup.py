@@ -43,6 +43,8 @@ from .simhash import join_by_key
 GRAM = 32
 #: Text bytes of a part and item bytes of a gram bucket; both counts follow the data.
 PART_BYTES = 8 << 20
+#: Parts and gram buckets of one task, where there are more of them than the session has shuffle partitions.
+PARTS_PER_TASK, BUCKETS_PER_TASK = 8, 16
 #: Occurrences of a gram beyond which its strings are counted in Spark rather than merged in one task.
 HOT_ITEMS = 1 << 16
 #: Distinct strings of hot grams that a task collects before it hands them on.
@@ -458,6 +460,12 @@ def _cut(window: int, names: list[str], schema: pa.Schema, column: str):
     return run
 
 
+def _dealt(df: DataFrame, key: str, groups: int, per_task: int) -> DataFrame:
+    """``df`` by hash of ``key``, in a number of partitions that follows the number of groups."""
+    least = min(groups, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(max(1, least, groups // per_task), key)
+
+
 def _repeated_windows(blocks: DataFrame, hot: DataFrame, window: int, column: str) -> DataFrame:
     """``(part, gram, id)`` of the strings of hot grams that occur more than once."""
     counts = materialize(blocks.groupBy("part").cogroup(hot.groupBy("part")).applyInArrow(
@@ -502,17 +510,19 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = 200) -
     # about window + span/2 bytes an item; a merge holds its items as objects, so half as much as a part
     dests = max(1, -(-cold.count() * (window + 45) // (PART_BYTES // 2)))
 
-    blocks = rows.mapInArrow(_pack_docs, "part int, block binary")
-    runs = blocks.groupBy("part").cogroup(cold.groupBy("part")).applyInArrow(
+    def by_part(df: DataFrame) -> DataFrame:
+        return _dealt(df, "part", parts, PARTS_PER_TASK)
+    blocks = by_part(rows.mapInArrow(_pack_docs, "part int, block binary"))
+    runs = blocks.groupBy("part").cogroup(by_part(cold).groupBy("part")).applyInArrow(
         _runs(window, dests, column), "dest int, part int, run binary")
-    found = runs.groupBy("dest").applyInArrow(_merge(window), "part int, spans binary").select(
+    found = _dealt(runs, "dest", dests, BUCKETS_PER_TASK).groupBy("dest").applyInArrow(_merge(window), "part int, spans binary").select(
         "part", "spans", F.lit(None).cast("long").alias("gram"), F.lit(None).cast("binary").alias("id"))
     if not hot.isEmpty():
-        found = found.unionByName(_repeated_windows(blocks, hot, window, column), allowMissingColumns=True)
+        found = found.unionByName(_repeated_windows(blocks, by_part(hot), window, column), allowMissingColumns=True)
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in docs.schema.fields],
                            T.StructField("_sfx_kept", T.BinaryType()), T.StructField("_sfx_kept_text", T.StringType()),
                            *[T.StructField(f"_sfx_{n}", T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]])
-    return blocks.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(
+    return blocks.groupBy("part").cogroup(by_part(found).groupBy("part")).applyInArrow(
         _cut(window, names, to_arrow_schema(schema), column), schema)
 
 
